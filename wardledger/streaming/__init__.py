@@ -1,0 +1,5 @@
+"""No streaming jobs: loads are batch intervals over ``modified``.
+
+Late edits arrive with a new ``modified`` value and are picked up by a later
+interval, see :func:`wardledger.sources.sinks.overwrite_interval`.
+"""
