@@ -92,18 +92,20 @@ class Queries:
         return method(**values)
 
     def audit_overview(self) -> DataFrame:
-        """The run with the number of active and of all rules.
-
-        Rule counts and the run row meet in one grouped aggregate instead of a
-        cross join; ``_slot`` is the constant that pairs them.
-        """
-        run_columns = "records_scanned rule_set_version data_snapshot status started_at finished_at".split()
-        counted = self.rule.agg(
-            F.count_if(F.col("status") == "ACTIVE").alias("applicable_checks"),
-            F.count("*").alias("total_rules_in_registry"),
-        ).withColumn("_slot", F.lit(1))
-        runs = self.run_row.select(*run_columns).withColumn("_slot", F.lit(1))
-        return runs.join(counted, "_slot").select(*run_columns, "applicable_checks", "total_rules_in_registry")
+        """The run with the number of active and of all rules (scalar subqueries)."""
+        counts = self.rule.agg(
+            F.count_if(F.col("status") == "ACTIVE").alias("active"), F.count("*").alias("total")
+        )
+        return self.run_row.select(
+            "records_scanned",
+            "rule_set_version",
+            "data_snapshot",
+            "status",
+            "started_at",
+            "finished_at",
+            counts.select("active").scalar().alias("applicable_checks"),
+            counts.select("total").scalar().alias("total_rules_in_registry"),
+        )
 
     def findings_summary(self) -> DataFrame:
         status, severity = F.col("status"), F.col("severity")
