@@ -1,7 +1,8 @@
 """Compile the path forms of the view definitions into Spark columns.
 
-Supported forms: ``a.b.c``, ``first()`` and ``where(field='text')``. A node is a
-VARIANT column; a path always walks *collections*: one object and a list of one
+Supported forms: ``a.b.c``, ``first()`` and ``where(field='text')``. A node is the
+name of a VARIANT column and an expression is SQL text, which goes into one
+``selectExpr``. A path always walks *collections*: one object and a list of one
 object are the same thing, missing values and JSON nulls are no elements, and a
 step over several elements maps and flattens.
 """
@@ -9,10 +10,6 @@ step over several elements maps and flattens.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 _STEP = re.compile(
     r"(?:^|\.)(?:(?P<first>first\(\))|where\((?P<field>\w+)='(?P<text>[^']*)'\)|(?P<name>[A-Za-z_]\w*))(?=\.|$)"
@@ -38,63 +35,52 @@ def steps_of(path: str) -> list[tuple[str, ...]]:
     return steps
 
 
-def text_at(node: Column, json_path: str) -> Column:
-    return F.try_variant_get(node, json_path, "string")
+def text_at(node: str, json_path: str) -> str:
+    return f"try_variant_get({node}, '{json_path}', 'string')"
 
 
-def members(node: Column, name: str) -> Column:
+def members(node: str, name: str) -> str:
     """The collection ``node.name`` as an array (may hold NULL or JSON null)."""
-    return F.coalesce(
-        F.try_variant_get(node, f"$.{name}", "array<variant>"),
-        F.array(F.try_variant_get(node, f"$.{name}", "variant")),
-    )
-
-
-def is_element(node: Column) -> Column:
-    return node.isNotNull() & ~F.is_variant_null(node)
-
-
-def _members_of(name: str) -> Callable[[Column], Column]:
-    return lambda element: members(element, name)
+    at = f"{node}, '$.{name}'"
+    return f"coalesce(try_variant_get({at}, 'array<variant>'), array(try_variant_get({at}, 'variant')))"
 
 
-def _has_text(name: str, text: str) -> Callable[[Column], Column]:
-    return lambda element: text_at(element, f"$.{name}") == text
+def is_element(node: str) -> str:
+    return f"{node} IS NOT NULL AND NOT is_variant_null({node})"
 
 
-def collection(node: Column, steps: list[tuple[str, ...]]) -> Column:
+def collection(node: str, steps: list[tuple[str, ...]]) -> str:
     """Array of all elements a path reaches."""
-    found = members(node, steps[0][1])
-    found = F.filter(found, is_element)
+    present = f"e -> {is_element('e')}"
+    found = f"filter({members(node, steps[0][1])}, {present})"
     for step in steps[1:]:
         if step[0] == "first":
-            found = F.slice(found, 1, 1)
+            found = f"slice({found}, 1, 1)"
         elif step[0] == "where":
-            found = F.filter(found, _has_text(step[1], step[2]))
+            found = f"filter({found}, e -> {text_at('e', '$.' + step[1])} = '{step[2]}')"
         else:
-            found = F.filter(F.flatten(F.transform(found, _members_of(step[1]))), is_element)
+            found = f"filter(flatten(transform({found}, e -> {members('e', step[1])})), {present})"
     return found
 
 
-def value_at(node: Column, path: str) -> Column:
-    """First value of ``path`` as text.
+def value_at(node: str, path: str) -> str:
+    """First value of ``path`` below the VARIANT column ``node``, as text.
 
     The usual spelling (a list where ``first()`` is written, else no list) is one
     direct lookup. Only when that finds nothing, or finds a list, and the leading
     field does exist is the collection walked.
     """
     steps = steps_of(path)
-    general = text_at(F.get(collection(node, steps), F.lit(0)), "$")
-    present = F.try_variant_get(node, f"$.{steps[0][1]}", "variant").isNotNull()
+    general = text_at(f"get({collection(node, steps)}, 0)", "$")
+    present = f"try_variant_get({node}, '$.{steps[0][1]}', 'variant') IS NOT NULL"
     if any(step[0] == "where" for step in steps):
-        return F.when(present, general)
-    direct = "$" + "".join(f".{s[1]}" if s[0] == "get" else "[0]" for s in steps)
-    text = text_at(node, direct)
-    settled = text.isNotNull() & ~text.startswith("[")
-    return F.when(settled, text).when(present, general)
+        return f"CASE WHEN {present} THEN {general} END"
+    direct = text_at(node, "$" + "".join(f".{s[1]}" if s[0] == "get" else "[0]" for s in steps))
+    settled = f"{direct} IS NOT NULL AND NOT startswith({direct}, '[')"
+    return f"CASE WHEN {settled} THEN {direct} WHEN {present} THEN {general} END"
 
 
-def coerce(column: Column, type_name: str) -> Column:
+def coerce(value: str, type_name: str) -> str:
     """Cast text to a declared type; what does not fit becomes NULL."""
     targets = {
         "TIMESTAMP": "timestamp_ntz",
@@ -103,4 +89,4 @@ def coerce(column: Column, type_name: str) -> Column:
         "INT": "int",
         "BOOLEAN": "boolean",
     }
-    return column.try_cast(targets[type_name]) if type_name in targets else column
+    return f"try_cast({value} AS {targets[type_name]})" if type_name in targets else value

@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def blank_to_null(column: Column | str) -> Column:
-    """Trim spaces (only spaces, not tabs) and turn an empty result into NULL."""
-    col = F.col(column) if isinstance(column, str) else column
-    return F.nullif(F.trim(col), F.lit(""))
+def blank_to_null(name: str) -> str:
+    """SQL text: trim spaces (only spaces, not tabs), an empty result is NULL."""
+    return f"nullif(trim({name}), '')"
+
+
+def populated(name: str) -> str:
+    """SQL text: present and not blank after trimming."""
+    return f"{name} IS NOT NULL AND trim({name}) <> ''"
+
+
+def literal(text: str) -> str:
+    """SQL text literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def populated(column: Column | str) -> Column:
-    """Present and not blank after trimming."""
-    col = F.col(column) if isinstance(column, str) else column
-    return col.isNotNull() & (F.trim(col) != "")
+def filled(template: str) -> str:
+    """SQL text of a template such as ``Code '{code}' unknown``; NULL in gives NULL."""
+    parts = [
+        f"cast({part[1:-1]} AS string)" if part.startswith("{") else literal(part)
+        for part in re.split(r"(\{\w+\})", template)
+        if part
+    ]
+    return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
 
 
 def timestamp_text(column: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,9 @@ def typed_projection(df: DataFrame, schema: T.StructType) -> DataFrame:
     The cast follows ``spark.sql.ansi.enabled`` (on by default), so Spark itself
     raises on text that is no number, date or timestamp.
     """
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(
+        *[f"cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
+    )
 
 
 def clean_text(df: DataFrame, drop: tuple[str, ...] = (), keep_raw: tuple[str, ...] = ()) -> DataFrame:
@@ -26,9 +28,10 @@ def clean_text(df: DataFrame, drop: tuple[str, ...] = (), keep_raw: tuple[str, .
     for f in df.schema.fields:
         if f.name in drop:
             continue
+        name = f"`{f.name}`"
         is_text = isinstance(f.dataType, T.StringType) and f.name not in keep_raw
-        out.append(blank_to_null(f.name).alias(f.name) if is_text else F.col(f.name))
-    return df.select(*out)
+        out.append(f"{blank_to_null(name)} AS {name}" if is_text else name)
+    return df.selectExpr(*out)
 
 
 def latest_per_key(df: DataFrame, key: str = "name", order_by: str = "modified") -> DataFrame:
@@ -37,10 +40,11 @@ def latest_per_key(df: DataFrame, key: str = "name", order_by: str = "modified")
     ``row_number() = 1`` lets Spark place a group limit in front of the shuffle,
     so every map task sends one row per key however many versions a key has.
     """
-    newest = Window.partitionBy(key).orderBy(
-        F.col(order_by).desc(), F.xxhash64(*[F.col(c) for c in df.columns]).desc()
+    rank = (
+        f"row_number() OVER (PARTITION BY `{key}` "
+        f"ORDER BY `{order_by}` DESC NULLS LAST, xxhash64(*) DESC) AS _rank"
     )
-    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    return df.selectExpr("*", rank).where("_rank = 1").drop("_rank")
 
 
 def current_state(df: DataFrame) -> DataFrame:

@@ -44,22 +44,22 @@ def flatten(
     types, renames = types or {}, renames or {}
     carried = list(dict.fromkeys(passthrough.values()))
     rows = _elements(df, carried, payload, is_array)
-    rows = rows.where(text_at(F.col("_node"), "$.resourceType") == view.resource)
+    rows = rows.where(F.expr(text_at("_node", "$.resourceType")) == view.resource)
     position = "_position"
     if view.for_each:
         rows = rows.select(
-            *carried, "_node", F.posexplode(members(F.col("_node"), view.for_each)).alias("_item_position", "_item")
-        ).where(is_element(F.col("_item")))
+            *carried, "_node", F.posexplode(F.expr(members("_node", view.for_each))).alias("_item_position", "_item")
+        ).where(is_element("_item"))
         position = "_item_position"
 
-    out = {name: F.col(source) for name, source in passthrough.items()}
+    out = dict(passthrough)
     for node, pairs in (("_node", view.columns), ("_item", view.nested)):
         for name, path in pairs:
             target = renames.get(name, name)
-            out[target] = coerce(value_at(F.col(node), path), types.get(target, "STRING"))
+            out[target] = coerce(value_at(node, path), types.get(target, "STRING"))
     if index_column:
-        out[index_column] = F.col(position)
-    return rows.select(*[column.alias(name) for name, column in out.items()])
+        out[index_column] = position
+    return rows.selectExpr(*[f"{expression} AS `{name}`" for name, expression in out.items()])
 
 
 def flatten_resource(bronze: DataFrame, resource: Resource | str) -> DataFrame:
@@ -89,20 +89,17 @@ def flatten_children(bronze: DataFrame, view_name: str) -> DataFrame:
 def flatten_rejects(bronze: DataFrame, resource: Resource | str, payload: str = "payload_json") -> DataFrame:
     """Counts of the payloads that ``flatten_resource`` leaves out, by reason."""
     spec = RESOURCES[resource] if isinstance(resource, str) else resource
-    document = F.col("_document")
-    listed = F.try_variant_get(document, "$", "array<variant>")
+    own = f"coalesce({text_at('{node}', '$.resourceType')} = '{spec.view.resource}', false)"
     if spec.is_array:
-        foreign = listed.isNotNull() & ~F.exists(
-            listed, lambda e: F.coalesce(text_at(e, "$.resourceType") == spec.view.resource, F.lit(False))
-        )
-        unreadable = document.isNull() | listed.isNull()
+        listed = "try_variant_get(_document, '$', 'array<variant>')"
+        unreadable = f"{listed} IS NULL"
+        foreign = f"NOT exists({listed}, e -> {own.format(node='e')})"
     else:
-        unreadable = document.isNull()
-        kind = text_at(document, "$.resourceType")
-        foreign = document.isNotNull() & ~F.coalesce(kind == spec.view.resource, F.lit(False))
+        unreadable = "_document IS NULL"
+        foreign = f"_document IS NOT NULL AND NOT {own.format(node='_document')}"
     parsed = bronze.select(F.col(payload), F.try_parse_json(payload).alias("_document"))
     return parsed.agg(
         F.count_if(F.col(payload).isNull()).alias("missing"),
-        F.count_if(F.col(payload).isNotNull() & unreadable).alias("unreadable"),
-        F.count_if(foreign).alias("foreign"),
+        F.count_if(F.expr(f"{payload} IS NOT NULL AND {unreadable}")).alias("unreadable"),
+        F.count_if(F.expr(foreign)).alias("foreign"),
     )

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import populated
@@ -41,32 +41,28 @@ class KeySet:
 
 def _measured(keys: DataFrame, max_rows: int, max_bytes: int) -> KeySet:
     keys = cut_lineage(keys)
-    size = keys.agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("_key")), F.lit(0)).alias("bytes")
-    ).first()
+    size = keys.selectExpr("count(*) AS rows", "coalesce(sum(octet_length(_key)), 0) AS bytes").first()
     return KeySet(keys, size["rows"], size["bytes"], max_rows, max_bytes)
 
 
 def key_set(
     df: DataFrame,
-    key: Column | str,
+    key: str,
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> KeySet:
-    """Distinct populated values of ``key``, written once and measured."""
-    column = F.col(key) if isinstance(key, str) else key
-    keys = df.select(column.alias("_key")).where(populated("_key")).distinct()
+    """Distinct populated values of the SQL text ``key``, written once and measured."""
+    keys = df.selectExpr(f"{key} AS _key").where(populated("_key")).distinct()
     return _measured(keys, max_rows, max_bytes)
 
 
-def without_match(child: DataFrame, key: Column | str, known: KeySet) -> DataFrame:
+def without_match(child: DataFrame, key: str, known: KeySet) -> DataFrame:
     """Rows of ``child`` with a populated ``key`` that is not in ``known``.
 
     Nothing fans out: ``known`` holds each key once and only the columns of
     ``child`` come back, duplicates included.
     """
-    column = F.col(key) if isinstance(key, str) else key
-    keyed = child.where(populated(column)).withColumn("_key", column)
+    keyed = child.selectExpr("*", f"{key} AS _key").where(populated("_key"))
     if known.fits:
         return keyed.join(F.broadcast(known.keys), "_key", "left_anti").drop("_key")
     missing = _measured(

@@ -23,8 +23,8 @@ ERROR_TYPE = "OperationOutcome"
 
 def _with_body(df: DataFrame, node: str, prefixed: Column | None) -> DataFrame:
     """Add ``_body`` (VARIANT) and ``submission_http_status``."""
-    wrapped = text_at(F.col(node), "$.response")
-    code = text_at(F.col(node), "$.status_code").try_cast("int")
+    wrapped = F.expr(text_at(node, "$.response"))
+    code = F.expr(text_at(node, "$.status_code")).try_cast("int")
     body = F.when(wrapped.isNotNull(), F.try_parse_json(wrapped)).otherwise(F.col(node))
     if prefixed is not None:
         text = F.col("api_response")
@@ -36,28 +36,26 @@ def _with_body(df: DataFrame, node: str, prefixed: Column | None) -> DataFrame:
     return df.select(*kept, code.alias("submission_http_status"), body.alias("_body"))
 
 
-def _outcome_columns() -> list[Column]:
-    body = F.col("_body")
-    kind = text_at(body, "$.resourceType")
-    failed = kind == ERROR_TYPE
-    accepted = kind != ERROR_TYPE
+def _outcome_columns() -> list[str]:
+    kind = text_at("_body", "$.resourceType")
+    failed, accepted = f"{kind} = '{ERROR_TYPE}'", f"{kind} <> '{ERROR_TYPE}'"
 
-    def error(path: str) -> Column:
-        return F.when(failed, text_at(body, path))
+    def error(path: str) -> str:
+        return f"CASE WHEN {failed} THEN {text_at('_body', path)} END"
 
-    def success(path: str) -> Column:
-        return F.when(accepted, text_at(body, path))
+    def success(path: str) -> str:
+        return f"CASE WHEN {accepted} THEN {text_at('_body', path)} END"
 
     return [
-        kind.alias("response_resource_type"),
-        failed.alias("is_submission_error"),
-        error("$.issue[0].severity").alias("error_severity"),
-        error("$.issue[0].code").alias("error_code"),
-        error("$.issue[0].details.text").alias("error_message"),
-        error("$.issue[0].expression[0]").alias("error_expression"),
-        success("$.id").alias("submitted_resource_id"),
-        success("$.meta.lastUpdated").try_cast("timestamp_ntz").alias("submitted_last_updated"),
-        success("$.meta.versionId").alias("submitted_version_id"),
+        f"{kind} AS response_resource_type",
+        f"{failed} AS is_submission_error",
+        f"{error('$.issue[0].severity')} AS error_severity",
+        f"{error('$.issue[0].code')} AS error_code",
+        f"{error('$.issue[0].details.text')} AS error_message",
+        f"{error('$.issue[0].expression[0]')} AS error_expression",
+        f"{success('$.id')} AS submitted_resource_id",
+        f"try_cast({success('$.meta.lastUpdated')} AS timestamp_ntz) AS submitted_last_updated",
+        f"{success('$.meta.versionId')} AS submitted_version_id",
     ]
 
 
@@ -81,4 +79,4 @@ def parse_responses(
     else:
         prefixed = F.col("api_response").startswith(STATUS_PREFIX)
         bodies = _with_body(parsed, "_response", prefixed)
-    return bodies.select(*lead, "submission_http_status", *_outcome_columns())
+    return bodies.selectExpr(*lead, "submission_http_status", *_outcome_columns())

@@ -7,16 +7,14 @@ Rules on the rows of one entity are evaluated in one pass.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..functions.text import populated
-from .clean import ntz
+from ..functions.text import filled, literal, populated
 from .membership import KeySet, key_set, without_match
 
 TEXT, STAMP = T.StringType(), T.TimestampNTZType()
@@ -57,7 +55,11 @@ SOURCE_SYSTEM = "Frappe"
 
 @dataclass(frozen=True)
 class Rule:
-    """One rule. ``text`` parts of ``actual`` and ``explanation`` are columns."""
+    """One rule.
+
+    ``actual`` and ``explanation`` are templates with columns in braces;
+    ``violation``, ``key`` and ``reference_key`` are SQL text.
+    """
 
     rule_id: str
     check: str
@@ -69,14 +71,14 @@ class Rule:
     entity_id: str
     patient_id: str
     encounter_id: str | None
+    actual: str
     expected: str
-    actual: Callable[[], Column]
-    explanation: Callable[[], Column]
+    explanation: str
     version: int = 1
-    violation: Callable[[], Column] | None = None
-    key: Callable[[], Column] | None = None
+    violation: str | None = None
+    key: str | None = None
     reference: str | None = None
-    reference_key: Callable[[], Column] | None = None
+    reference_key: str | None = None
 
     @property
     def needs_reference(self) -> bool:
@@ -105,33 +107,31 @@ def rules(rule_ids: list[str] | None = None) -> list[Rule]:
     return sorted(chosen.values(), key=lambda rule: rule.check)
 
 
-def as_finding(rule: Rule, as_of: str) -> dict[str, Column]:
-    """The contract columns of a violating row; text parts propagate NULL."""
-    entity = F.col(rule.entity_id)
-    encounter = F.col(rule.encounter_id) if rule.encounter_id else F.lit(None).cast(TEXT)
-    evidence = f"silver.{rule.source}:{rule.entity_id}="
+def as_finding(rule: Rule, as_of: str) -> dict[str, str]:
+    """The contract columns of a violating row as SQL text."""
+    entity = f"{{{rule.entity_id}}}"
     values = {
-        "finding_id": F.md5(F.concat(F.lit(f"{RUN_SLOT}|{rule.rule_id}|{rule.entity_type}|"), entity)),
-        "rule_id": F.lit(rule.rule_id),
-        "rule_version": F.lit(rule.version),
-        "audit_domain": F.lit(rule.audit_domain),
-        "focus_area": F.lit(rule.focus_area),
-        "entity_type": F.lit(rule.entity_type),
-        "entity_id": entity,
-        "patient_id": F.col(rule.patient_id),
-        "encounter_id": encounter,
-        "actual_value": rule.actual(),
-        "expected_value": F.lit(rule.expected),
-        "severity": F.lit(rule.severity),
-        "status": F.lit(NEW_STATUS),
-        "detected_at": ntz(as_of),
-        "source_system": F.lit(SOURCE_SYSTEM),
-        "source_record_id": entity,
-        "evidence_reference": F.concat(F.lit(evidence), entity),
-        "explanation": rule.explanation(),
+        "finding_id": f"md5({filled(f'{RUN_SLOT}|{rule.rule_id}|{rule.entity_type}|{entity}')})",
+        "rule_id": literal(rule.rule_id),
+        "rule_version": str(rule.version),
+        "audit_domain": literal(rule.audit_domain),
+        "focus_area": literal(rule.focus_area),
+        "entity_type": literal(rule.entity_type),
+        "entity_id": rule.entity_id,
+        "patient_id": rule.patient_id,
+        "encounter_id": rule.encounter_id or "NULL",
+        "actual_value": filled(rule.actual),
+        "expected_value": literal(rule.expected),
+        "severity": literal(rule.severity),
+        "status": literal(NEW_STATUS),
+        "detected_at": literal(as_of),
+        "source_system": literal(SOURCE_SYSTEM),
+        "source_record_id": rule.entity_id,
+        "evidence_reference": filled(f"silver.{rule.source}:{rule.entity_id}={entity}"),
+        "explanation": filled(rule.explanation),
     }
     return {
-        f.name: values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in FINDING.fields
+        f.name: f"cast({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()})" for f in FINDING.fields
     }
 
 
@@ -141,25 +141,26 @@ def row_rule_findings(entity: DataFrame, group: list[Rule], as_of: str) -> DataF
     First the numbers of the violated rules are exploded, so rows without a
     violation are gone before any text is built.
     """
-    violated = F.array(*[F.when(rule.violation(), F.lit(i)) for i, rule in enumerate(group)])
-    hits = entity.withColumn("_rule", F.explode(violated)).where(F.col("_rule").isNotNull())
+    numbers = ", ".join(f"CASE WHEN {rule.violation} THEN {i} END" for i, rule in enumerate(group))
+    hits = entity.selectExpr("*", f"explode(array({numbers})) AS _rule").where("_rule IS NOT NULL")
     per_rule = [as_finding(rule, as_of) for rule in group]
     out = []
     for f in FINDING.fields:
-        chosen = per_rule[-1][f.name]
-        for i in range(len(group) - 2, -1, -1):
-            chosen = F.when(F.col("_rule") == i, per_rule[i][f.name]).otherwise(chosen)
-        out.append(chosen.alias(f.name))
-    return hits.select(*out)
+        texts = [columns[f.name] for columns in per_rule]
+        branches = " ".join(f"WHEN {i} THEN {text}" for i, text in enumerate(texts))
+        chosen = texts[0] if len(set(texts)) == 1 else f"CASE _rule {branches} END"
+        out.append(f"{chosen} AS {f.name}")
+    return hits.selectExpr(*out)
 
 
 def reference_findings(entity: DataFrame, rule: Rule, known: KeySet, as_of: str) -> DataFrame:
     """Findings of one rule whose key must exist in a reference."""
-    return without_match(entity, rule.key(), known).select(*as_finding(rule, as_of).values())
+    unmatched = without_match(entity, rule.key, known)
+    return unmatched.selectExpr(*[f"{text} AS {name}" for name, text in as_finding(rule, as_of).items()])
 
 
 def known_keys(rule: Rule, tables: Mapping[str, DataFrame], **bounds: int) -> KeySet:
-    return key_set(tables[rule.reference], rule.reference_key(), **bounds)
+    return key_set(tables[rule.reference], rule.reference_key, **bounds)
 
 
 def check(rule: Rule, tables: Mapping[str, DataFrame], as_of: str, known: KeySet | None = None) -> DataFrame:
@@ -197,7 +198,7 @@ def evaluate(
     shared: dict[tuple[str, str], KeySet] = {}
     for rule in chosen:
         if rule.needs_reference:
-            slot = (rule.reference, str(rule.reference_key()))
+            slot = (rule.reference, rule.reference_key)
             if slot not in shared:
                 shared[slot] = known_keys(rule, tables, **bounds)
             parts.append(reference_findings(tables[rule.source], rule, shared[slot], as_of))
@@ -223,13 +224,11 @@ register(
         patient_id="patient",
         encounter_id="satusehat_encounter_id",
         expected="Kode harus terdaftar di bronze.icd_10 (ICD-10 2010)",
-        actual=lambda: F.col("icd_code"),
-        explanation=lambda: F.concat(
-            F.lit("Diagnosis code '"), "icd_code", F.lit("' tidak ditemukan di bronze.icd_10 (ICD-10 2010)")
-        ),
-        key=lambda: F.trim("icd_code"),
+        actual="{icd_code}",
+        explanation="Diagnosis code '{icd_code}' tidak ditemukan di bronze.icd_10 (ICD-10 2010)",
+        key="trim(icd_code)",
         reference="icd_10",
-        reference_key=lambda: F.trim("CODE"),
+        reference_key="trim(CODE)",
     )
 )
 register(
@@ -245,13 +244,11 @@ register(
         patient_id="patient_ihs",
         encounter_id="satusehat_encounter_id",
         expected="Kode harus terdaftar di bronze.icd_9cm (ICD-9-CM 2010)",
-        actual=lambda: F.col("code"),
-        explanation=lambda: F.concat(
-            F.lit("Procedure code '"), "code", F.lit("' tidak ditemukan di bronze.icd_9cm (ICD-9-CM 2010)")
-        ),
-        key=lambda: F.trim("code"),
+        actual="{code}",
+        explanation="Procedure code '{code}' tidak ditemukan di bronze.icd_9cm (ICD-9-CM 2010)",
+        key="trim(code)",
         reference="icd_9cm",
-        reference_key=lambda: F.trim("CODE"),
+        reference_key="trim(CODE)",
     )
 )
 for _id, _check, _severity, _entity, _patient in (
@@ -272,15 +269,14 @@ for _id, _check, _severity, _entity, _patient in (
             patient_id=_patient,
             encounter_id="satusehat_encounter_id",
             expected=ENCOUNTER_EXPECTED,
-            actual=lambda: F.col("satusehat_encounter_id"),
-            explanation=lambda entity=_entity: F.concat(
-                F.lit(f"{entity} mereferensikan Encounter (satusehat_encounter_id = '"),
-                "satusehat_encounter_id",
-                F.lit("') yang tidak ditemukan di silver.encounter_fhir_resource"),
+            actual="{satusehat_encounter_id}",
+            explanation=(
+                f"{_entity} mereferensikan Encounter (satusehat_encounter_id = '{{satusehat_encounter_id}}') "
+                "yang tidak ditemukan di silver.encounter_fhir_resource"
             ),
-            key=lambda: F.col("satusehat_encounter_id"),
+            key="satusehat_encounter_id",
             reference=ENCOUNTER_TABLE,
-            reference_key=lambda: F.col("satusehat_id"),
+            reference_key="satusehat_id",
         )
     )
 register(
@@ -296,13 +292,12 @@ register(
         patient_id="patient",
         encounter_id="satusehat_id",
         expected=" | ".join(ENCOUNTER_STATUSES),
-        actual=lambda: F.col("fhir_status"),
-        explanation=lambda: F.concat(
-            F.lit("Encounter.status ('"),
-            "fhir_status",
-            F.lit("') bukan salah satu dari 3 status yang wajib dikirim SatuSehat: arrived, in-progress, finished"),
+        actual="{fhir_status}",
+        explanation=(
+            "Encounter.status ('{fhir_status}') bukan salah satu dari 3 status yang wajib dikirim SatuSehat: "
+            "arrived, in-progress, finished"
         ),
-        violation=lambda: populated("fhir_status") & ~F.col("fhir_status").isin(*ENCOUNTER_STATUSES),
+        violation=f"{populated('fhir_status')} AND fhir_status NOT IN {ENCOUNTER_STATUSES}",
     )
 )
 register(
@@ -318,17 +313,12 @@ register(
         patient_id="patient",
         encounter_id="satusehat_id",
         expected="period_start <= period_end",
-        actual=lambda: F.concat(
-            F.col("period_start").cast("string"), F.lit(" > "), F.col("period_end").cast("string")
-        ),
-        explanation=lambda: F.concat(
-            F.lit("Encounter.period_start ("),
-            F.col("period_start").cast("string"),
-            F.lit(") lebih besar dari period_end ("),
-            F.col("period_end").cast("string"),
-            F.lit(") -- timeline tidak mungkin"),
+        actual="{period_start} > {period_end}",
+        explanation=(
+            "Encounter.period_start ({period_start}) lebih besar dari period_end ({period_end}) -- "
+            "timeline tidak mungkin"
         ),
-        violation=lambda: F.col("period_start") > F.col("period_end"),
+        violation="period_start > period_end",
     )
 )
 register(
@@ -344,16 +334,12 @@ register(
         patient_id="name",
         encounter_id=None,
         expected="16 digit numerik (format-check saja, bukan validasi NIK resmi)",
-        actual=lambda: F.col("uid"),
-        explanation=lambda: F.concat(
-            F.lit("Patient.uid ('"),
-            "uid",
-            F.lit(
-                "') tidak berformat 16 digit numerik. Catatan: ini format-check saja -- definisi resmi "
-                "field uid belum dikonfirmasi (lihat rule_basis = UNVERIFIED)"
-            ),
+        actual="{uid}",
+        explanation=(
+            "Patient.uid ('{uid}') tidak berformat 16 digit numerik. Catatan: ini format-check saja -- "
+            "definisi resmi field uid belum dikonfirmasi (lihat rule_basis = UNVERIFIED)"
         ),
-        violation=lambda: populated("uid") & ~F.trim("uid").rlike(UID_PATTERN),
+        violation=rf"{populated('uid')} AND NOT trim(uid) RLIKE r'{UID_PATTERN}'",
     )
 )
 # ---- end of fixed values ----------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,18 +25,28 @@ class DerivedClinic(Mapping[str, DataFrame]):
 
     def __init__(self, spark: SparkSession, folder: str, as_of: str = derived.AS_OF) -> None:
         self.spark, self.folder, self.as_of = spark, folder, as_of
+        self._frames: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Keep the (lazy) frame, so a plan is built once and equal parts stay equal."""
+        if name not in self._frames:
+            self._frames[name] = build()
+        return self._frames[name]
 
     def bronze(self, table: str) -> DataFrame:
-        return load_bronze(derived.raw_table(self.spark, self.folder, table), table)
+        return self._once(
+            table, lambda: load_bronze(derived.raw_table(self.spark, self.folder, table), table)
+        )
 
     def master(self, table: str) -> DataFrame:
-        return current_state(self.bronze(table))
+        return self._once(f"current {table}", lambda: current_state(self.bronze(table)))
 
     def parent(self, resource: str) -> DataFrame:
         return clean_text(self.bronze(RESOURCES[resource].table), drop=PARENT_DROPS)
 
     def flat(self, resource: str) -> DataFrame:
-        return flatten_resource(self.bronze(RESOURCES[resource].table), resource)
+        spec = RESOURCES[resource]
+        return self._once(spec.silver_table, lambda: flatten_resource(self.bronze(spec.table), spec))
 
     def children(self, view: str) -> DataFrame:
         return flatten_children(self.bronze(RESOURCES[CHILD_VIEWS[view]].table), view)
@@ -56,7 +66,7 @@ class DerivedClinic(Mapping[str, DataFrame]):
         return check(rules([rule_id])[0], self, self.as_of)
 
     def findings(self) -> DataFrame:
-        return evaluate(self, self.as_of)
+        return self._once("findings", lambda: evaluate(self, self.as_of))
 
     def run(self) -> DataFrame:
         return audit_run(self, self.rule_registry(), self.findings(), self.as_of)

@@ -6,7 +6,6 @@ from datetime import date, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null
@@ -87,9 +86,11 @@ def read_code_list(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def typed_rules(raw: DataFrame) -> DataFrame:
     """Registry rows (all text) to their types, blank optional cells to NULL."""
-    cells = {f.name: F.col(f.name) for f in RULE.fields}
-    cells.update({name: blank_to_null(name) for name in BLANK_IS_NULL})
-    return raw.select(*[cells[f.name].cast(f.dataType).alias(f.name) for f in RULE.fields])
+    out = []
+    for f in RULE.fields:
+        cell = blank_to_null(f.name) if f.name in BLANK_IS_NULL else f.name
+        out.append(f"cast({cell} AS {f.dataType.simpleString()}) AS {f.name}")
+    return raw.selectExpr(*out)
 
 
 def raw_rule_schema() -> T.StructType:
