@@ -67,17 +67,24 @@ def value_at(node: str, path: str) -> str:
     """First value of ``path`` below the VARIANT column ``node``, as text.
 
     The usual spelling (a list where ``first()`` is written, else no list) is one
-    direct lookup. Only when that finds nothing, or finds a list, and the leading
-    field does exist is the collection walked.
+    direct lookup. When it finds nothing but its parent is there in the usual
+    spelling, the field is just absent. Only other spellings walk the collection.
     """
     steps = steps_of(path)
     general = text_at(f"get({collection(node, steps)}, 0)", "$")
     present = f"try_variant_get({node}, '$.{steps[0][1]}', 'variant') IS NOT NULL"
     if any(step[0] == "where" for step in steps):
         return f"CASE WHEN {present} THEN {general} END"
-    direct = text_at(node, "$" + "".join(f".{s[1]}" if s[0] == "get" else "[0]" for s in steps))
+    usual = "$" + "".join(f".{s[1]}" if s[0] == "get" else "[0]" for s in steps)
+    direct = text_at(node, usual)
     settled = f"{direct} IS NOT NULL AND NOT startswith({direct}, '[')"
-    return f"CASE WHEN {settled} THEN {direct} WHEN {present} THEN {general} END"
+    branches = f"WHEN {settled} THEN {direct} "
+    above = usual[: usual.rindex(".")]
+    if above != "$" and steps[-1][0] == "get":
+        parent = f"try_variant_get({node}, '{above}', 'variant')"
+        listed = f"try_variant_get({node}, '{above}[0]', 'variant') IS NOT NULL"
+        branches += f"WHEN {direct} IS NULL AND {is_element(parent)} AND NOT {listed} THEN NULL "
+    return f"CASE {branches}WHEN {present} THEN {general} END"
 
 
 def coerce(value: str, type_name: str) -> str:

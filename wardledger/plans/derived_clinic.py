@@ -10,6 +10,7 @@ from ..operators.clean import clean_text, current_state
 from ..operators.flatten import flatten_children, flatten_resource
 from ..operators.responses import parse_responses
 from ..operators.rules import check, evaluate, rules
+from ..session import tune
 from ..sources import derived
 from ..sources.readers import RULES_CSV, load_bronze, raw_rule_schema, read_csv, typed_rules
 from ..sources.resources import CHILD_VIEWS, RESOURCES
@@ -24,7 +25,7 @@ class DerivedClinic(Mapping[str, DataFrame]):
     """``clinic[name]`` builds the frame of any table of the chain by its name."""
 
     def __init__(self, spark: SparkSession, folder: str, as_of: str = derived.AS_OF) -> None:
-        self.spark, self.folder, self.as_of = spark, folder, as_of
+        self.spark, self.folder, self.as_of = tune(spark), folder, as_of
         self._frames: dict[str, DataFrame] = {}
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

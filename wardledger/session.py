@@ -12,6 +12,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes; past that, Spark's split
+    # projections are faster than one large generated method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -25,6 +28,13 @@ def build_session(app: str = "wardledger", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the code generation limit to a session that was built elsewhere."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, DEFAULTS[name])
+    return spark
+
+
 def _has_checkpoint_dir(spark: SparkSession) -> bool:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
