@@ -3,6 +3,7 @@
 The payload is parsed once per row. Elements come out of ``posexplode``, also
 for a payload that is one object: Spark does not move a predicate below a
 generator, so the resource-type guard cannot drag a second parse to the scan.
+A missing or unreadable payload is a NULL document, which the guard drops.
 """
 
 from __future__ import annotations
@@ -17,9 +18,7 @@ from ..sources.views import VIEWS, View
 
 def _elements(df: DataFrame, carried: list[str], payload: str, is_array: bool) -> DataFrame:
     document = F.col("_document")
-    parsed = df.where(F.col(payload).isNotNull()).select(
-        *carried, F.try_parse_json(payload).alias("_document")
-    )
+    parsed = df.select(*carried, F.try_parse_json(payload).alias("_document"))
     resources = F.try_variant_get(document, "$", "array<variant>") if is_array else F.array(document)
     return parsed.select(*carried, F.posexplode(resources).alias("_position", "_node"))
 
