@@ -72,6 +72,9 @@ def without_match(child: DataFrame, key: str, known: KeySet) -> DataFrame:
     )
     if missing.fits:
         return keyed.join(F.broadcast(missing.keys), "_key", "left_semi").drop("_key")
-    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*child.columns), F.lit(SALTS)).cast("int"))
-    spread = missing.keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Any spread of the salts is right because every key carries all of them; the
+    # partition number tells equal copies apart and is the same in a repeated task.
+    salt = f"CAST(pmod(xxhash64(*, spark_partition_id()), {SALTS}) AS int) AS _salt"
+    salted = keyed.selectExpr("*", salt)
+    spread = missing.keys.selectExpr("_key", f"explode(sequence(0, {SALTS - 1})) AS _salt")
     return salted.join(spread, ["_key", "_salt"], "left_semi").drop("_key", "_salt")

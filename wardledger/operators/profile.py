@@ -25,7 +25,6 @@ PUBLISHED = (
     "audit_check_terminology_icd10_validity",
 )
 FLAT_SUFFIX = "_fhir_resource"
-AUDIT_SUFFIX = "_data_submission_audit"
 # ---- end of fixed values ----------------------------------------------------
 
 

@@ -7,6 +7,7 @@ Rules on the rows of one entity are evaluated in one pass.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -88,6 +89,12 @@ class Rule:
     def table(self) -> str:
         return f"audit_check_{self.check}"
 
+    @property
+    def columns(self) -> list[str]:
+        """Columns of the entity that a finding shows."""
+        named = re.findall(r"\{(\w+)\}", f"{self.actual} {self.explanation}")
+        return list(dict.fromkeys(filter(None, (self.entity_id, self.patient_id, self.encounter_id, *named))))
+
 
 REGISTRY: dict[str, Rule] = {}
 
@@ -155,7 +162,7 @@ def row_rule_findings(entity: DataFrame, group: list[Rule], as_of: str) -> DataF
 
 def reference_findings(entity: DataFrame, rule: Rule, known: KeySet, as_of: str) -> DataFrame:
     """Findings of one rule whose key must exist in a reference."""
-    unmatched = without_match(entity, rule.key, known)
+    unmatched = without_match(entity.select(*rule.columns), rule.key, known)
     return unmatched.selectExpr(*[f"{text} AS {name}" for name, text in as_finding(rule, as_of).items()])
 
 

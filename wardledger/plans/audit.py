@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.clean import ntz
+from ..operators.clean import latest_per_key, ntz
 
 # ---- fixed values: tables a run counts --------------------------------------
 SCANNED = (
@@ -76,7 +76,5 @@ def newest_versions(flat: DataFrame, grain: tuple[str, ...]) -> DataFrame:
     By default a document edited in two intervals keeps both rows and its
     findings fire twice under the same ``finding_id``.
     """
-    from ..operators.clean import latest_per_key
-
     keyed = flat.withColumn("_grain", F.struct(*grain))
     return latest_per_key(keyed, key="_grain").drop("_grain")

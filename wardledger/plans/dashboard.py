@@ -78,7 +78,9 @@ def checked(action: str, params: dict[str, Any]) -> dict[str, Any]:
 class Queries:
     """Queries over ``audit_rule``, ``audit_finding`` and ``audit_run``."""
 
-    def __init__(self, rule: DataFrame, finding: DataFrame, run: DataFrame) -> None:
+    def __init__(
+        self, rule: DataFrame, finding: DataFrame | None = None, run: DataFrame | None = None
+    ) -> None:
         self.rule, self.finding, self.run_row = rule, finding, run
 
     @classmethod
