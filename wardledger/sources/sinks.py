@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,18 @@ def _partition_days(spark: SparkSession, table: str, start: str, end: str) -> se
     return {row["day"] for row in stored.where((F.col("day") >= start) & (F.col("day") < end)).collect()}
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """``insertInto`` takes the overwrite mode from the session, not from write options."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def overwrite_interval(
     df: DataFrame,
     table: str,
@@ -55,14 +69,14 @@ def overwrite_interval(
         days.write.format("parquet").partitionBy(LOAD_DATE).saveAsTable(table)
         return
     stored = spark.table(table).columns
-    writer = days.select(*stored).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     before = _partition_days(spark, table, first, last)
     if before:
         present = {
             str(row[LOAD_DATE])
             for row in days.select(LOAD_DATE).distinct().collect()  # bounded by the days of the interval
         }
-    writer.insertInto(table)
+    with _dynamic_overwrite(spark):
+        days.select(*stored).write.mode("overwrite").insertInto(table)
     if before:
         for day in sorted(before - present):
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({LOAD_DATE}='{day}')")
