@@ -13,6 +13,7 @@ from ..operators.flatten import flatten_resource
 from ..operators.profile import FLAT_SUFFIX, list_tables, row_counts
 from ..operators.responses import parse_responses
 from ..operators.rules import ENCOUNTER_TABLE, evaluate, rules
+from ..session import tune
 from ..sources.readers import load_bronze
 from ..sources.resources import RESOURCES
 from ..sources.schemas import MASTER_TABLES, bronze_tables
@@ -35,7 +36,7 @@ class Medallion:
     """Builders of the three layers; ``run`` calls them in order."""
 
     def __init__(self, spark: SparkSession, layout: Layout) -> None:
-        self.spark, self.layout = spark, layout
+        self.spark, self.layout = tune(spark), layout
         layout.create(spark)
 
     def table(self, layer: str, name: str) -> DataFrame:

@@ -29,9 +29,17 @@ def build_session(app: str = "wardledger", master: str | None = None, **conf: st
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the code generation limit to a session that was built elsewhere."""
-    name = "spark.sql.codegen.hugeMethodLimit"
-    spark.conf.set(name, DEFAULTS[name])
+    """Settings for a session that was built elsewhere.
+
+    AQE only merges shuffle partitions, so on a large cluster it has to start from
+    more than the default 200; small sessions keep their own number.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(limit, DEFAULTS[limit])
+    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    cores = spark.sparkContext.defaultParallelism
+    if spark.conf.get(start, None) is None and cores > 64:
+        spark.conf.set(start, str(4 * cores))
     return spark
 
 

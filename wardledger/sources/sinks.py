@@ -9,6 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.clean import interval_slice
 from .readers import day_of
 
 LOAD_DATE = "load_date"
@@ -59,9 +60,8 @@ def overwrite_interval(
     """
     spark = df.sparkSession
     first, last = day_of(start), day_of(end)
-    days = df.withColumn(LOAD_DATE, F.to_date(column)).where(
-        (F.col(LOAD_DATE) >= F.lit(first).cast("date")) & (F.col(LOAD_DATE) < F.lit(last).cast("date"))
-    )
+    # The range on the column itself reaches the source; the day is derived from it.
+    days = interval_slice(df, first, last, column).withColumn(LOAD_DATE, F.to_date(column))
     # One file set per day and a bounded number of rows per file; a day that holds
     # most rows is spread over many tasks by AQE instead of landing in one.
     days = days.hint("rebalance", F.col(LOAD_DATE))
