@@ -16,7 +16,7 @@ def test_batch_run_equals_lazy_chain(spark, folder, tmp_path):
     shift = "concat('2026-07-0', 2 + pmod(xxhash64(name), 3), substr(modified, 11)) AS modified"
     raw = {}
     for name in bronze_tables():
-        table = derived.raw_table(spark, folder, name)
+        table = derived.raw_table(spark, clinic.base, name)
         columns = [shift if c == "modified" else c for c in table.columns]
         table.selectExpr(*columns).write.parquet(f"{tmp_path}/raw/{name}")
         raw[name] = spark.read.parquet(f"{tmp_path}/raw/{name}")

@@ -8,7 +8,7 @@ from wardledger.operators.clean import interval_slice, latest_per_key
 from wardledger.operators.flatten import flatten_resource
 from wardledger.operators.membership import key_set, without_match
 from wardledger.operators.responses import parse_responses
-from wardledger.operators.rules import rules, row_rule_findings
+from wardledger.operators.rules import entity_findings, rules
 from wardledger.plans.derived_clinic import DerivedClinic
 from wardledger.sources.resources import RESOURCES
 
@@ -77,4 +77,4 @@ def test_large_reference_shuffles_keys_only(stored):
 def test_row_rules_scan_once(stored):
     flat = flatten_resource(stored["encounter"], "encounter")
     group = [r for r in rules() if r.source == "encounter_fhir_resource"]
-    assert physical(row_rule_findings(flat, group, "2026-08-12")).count("FileScan") == 1
+    assert physical(entity_findings(flat, group, "2026-08-12")).count("FileScan") == 1

@@ -83,7 +83,7 @@ def test_row_rules_in_one_pass(spark):
         ("e6", "p", "S6", "finished", "2026-07-01", "2026-07-02"),
     )
     group = [r for r in R.rules() if r.source == "encounter_fhir_resource"]
-    got = R.row_rule_findings(table, group, AS_OF)
+    got = R.entity_findings(table, group, AS_OF)
     pairs = sorted((r["rule_id"], r["entity_id"]) for r in got.collect())
     assert pairs == [
         ("CTL-STRUCT-ENC-STATUS-001", "e2"), ("CTL-STRUCT-ENC-STATUS-001", "e3"),
@@ -125,3 +125,37 @@ def test_registration_guards():
     with pytest.raises(ValueError):
         R.register(rule)
     assert len(R.rules()) == 8 and "CTL-IDENT-PAT-COMPLETE-001" not in R.REGISTRY
+
+
+def entity_tables(spark):
+    """All tables of the rules, with one hot dangling key and one hot unknown code."""
+    rows = spark.range(300).selectExpr(
+        "concat('d', id) AS frappe_doc_name", "'p' AS patient", "'i' AS patient_ihs",
+        "IF(id % 3 = 0, 'lost', concat('SS-', id % 40)) AS satusehat_encounter_id",
+        "CASE WHEN id % 3 = 1 THEN 'ZZ' WHEN id % 7 = 0 THEN ' ' ELSE concat(' A', id % 9) END AS icd_code",
+        "concat('P', id % 9) AS code",
+    )
+    return {
+        "condition_fhir_resource": rows, "procedure_fhir_resource": rows, "observation_fhir_resource": rows,
+        "encounter_fhir_resource": spark.range(30).selectExpr(
+            "concat('e', id) AS frappe_doc_name", "'p' AS patient", "concat('SS-', id) AS satusehat_id",
+            "IF(id % 4 = 0, 'planned', 'arrived') AS fhir_status", "timestamp_ntz'2026-07-02 00:00:00' AS period_start",
+            "IF(id % 5 = 0, timestamp_ntz'2026-07-01 00:00:00', NULL) AS period_end",
+        ),
+        "tabPatient": spark.createDataFrame([("a", "1"), ("b", "1234567890123456")], "name string, uid string"),
+        "icd_10": spark.range(6).selectExpr("concat('A', id, ' ') AS CODE"),
+        "icd_9cm": spark.range(6).selectExpr("concat('P', id) AS CODE"),
+    }
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_rows": 10}, {"max_rows": 0}], ids=["one pass", "mixed", "apart"])
+def test_one_pass_equals_single_checks(spark, bounds):
+    tables = entity_tables(spark)
+    expected = Counter(tuple(r) for rule in R.rules() for r in R.check(rule, tables, AS_OF).collect())
+    assert len({row[2] for row in expected}) == 8
+    assert Counter(map(tuple, R.evaluate(tables, AS_OF, **bounds).collect())) == expected
+
+
+def test_one_scan_per_entity(spark):
+    plan = R.evaluate(entity_tables(spark), AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 300") == 3

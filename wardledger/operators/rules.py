@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import filled, literal, populated
@@ -142,13 +143,28 @@ def as_finding(rule: Rule, as_of: str) -> dict[str, str]:
     }
 
 
-def row_rule_findings(entity: DataFrame, group: list[Rule], as_of: str) -> DataFrame:
-    """Findings of all row rules of one entity, in one pass over it.
+def entity_findings(
+    entity: DataFrame, group: list[Rule], as_of: str, known: Mapping[str, KeySet] | None = None
+) -> DataFrame:
+    """Findings of several rules of one entity, in one pass over it.
 
-    First the numbers of the violated rules are exploded, so rows without a
-    violation are gone before any text is built.
+    References must fit a broadcast (``known`` by rule); each key is there once,
+    so the marking join keeps the row count. Then the numbers of the violated
+    rules are exploded: rows without a violation are gone before any text is built.
     """
-    numbers = ", ".join(f"CASE WHEN {rule.violation} THEN {i} END" for i, rule in enumerate(group))
+    violations = []
+    for i, rule in enumerate(group):
+        if not rule.needs_reference:
+            violations.append(rule.violation)
+            continue
+        keys = known[rule.rule_id]
+        if not keys.fits:
+            raise ValueError(f"{rule.rule_id}: reference too large for one pass")
+        marks = keys.keys.selectExpr(f"_key AS _key{i}", f"true AS _known{i}")
+        keyed = entity.selectExpr("*", f"{rule.key} AS _key{i}")
+        entity = keyed.join(F.broadcast(marks), f"_key{i}", "left")
+        violations.append(f"{populated(f'_key{i}')} AND _known{i} IS NULL")
+    numbers = ", ".join(f"CASE WHEN {violation} THEN {i} END" for i, violation in enumerate(violations))
     hits = entity.selectExpr("*", f"explode(array({numbers})) AS _rule").where("_rule IS NOT NULL")
     per_rule = [as_finding(rule, as_of) for rule in group]
     out = []
@@ -175,7 +191,7 @@ def check(rule: Rule, tables: Mapping[str, DataFrame], as_of: str, known: KeySet
     entity = tables[rule.source]
     if rule.needs_reference:
         return reference_findings(entity, rule, known or known_keys(rule, tables), as_of)
-    return row_rule_findings(entity, [rule], as_of)
+    return entity_findings(entity, [rule], as_of)
 
 
 def assert_contract(df: DataFrame) -> DataFrame:
@@ -191,24 +207,26 @@ def evaluate(
 ) -> DataFrame:
     """Union of the findings of all rules.
 
-    Row rules are grouped by entity; rules with the same reference column share
-    one measured key set.
+    Rules with the same reference column share one measured key set. All rules of
+    an entity run in one pass, but for those whose reference is too large to be
+    broadcast: these follow on their own.
     """
-    chosen = rules(rule_ids)
-    parts: list[DataFrame] = []
-    by_entity: dict[str, list[Rule]] = {}
-    for rule in chosen:
-        if not rule.needs_reference:
-            by_entity.setdefault(rule.source, []).append(rule)
-    for source, group in by_entity.items():
-        parts.append(row_rule_findings(tables[source], group, as_of))
     shared: dict[tuple[str, str], KeySet] = {}
-    for rule in chosen:
+    known: dict[str, KeySet] = {}
+    by_entity: dict[str, list[Rule]] = {}
+    parts: list[DataFrame] = []
+    for rule in rules(rule_ids):
         if rule.needs_reference:
             slot = (rule.reference, rule.reference_key)
             if slot not in shared:
                 shared[slot] = known_keys(rule, tables, **bounds)
-            parts.append(reference_findings(tables[rule.source], rule, shared[slot], as_of))
+            known[rule.rule_id] = shared[slot]
+            if not shared[slot].fits:
+                parts.append(reference_findings(tables[rule.source], rule, shared[slot], as_of))
+                continue
+        by_entity.setdefault(rule.source, []).append(rule)
+    for source, group in by_entity.items():
+        parts.append(entity_findings(tables[source], group, as_of, known))
     return reduce(DataFrame.unionByName, map(assert_contract, parts))
 
 

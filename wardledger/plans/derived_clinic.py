@@ -25,7 +25,8 @@ class DerivedClinic(Mapping[str, DataFrame]):
     """``clinic[name]`` builds the frame of any table of the chain by its name."""
 
     def __init__(self, spark: SparkSession, folder: str, as_of: str = derived.AS_OF) -> None:
-        self.spark, self.folder, self.as_of = tune(spark), folder, as_of
+        self.spark, self.as_of = tune(spark), as_of
+        self.base = derived.parquet_relation(spark, folder)
         self._frames: dict[str, DataFrame] = {}
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -36,7 +37,7 @@ class DerivedClinic(Mapping[str, DataFrame]):
 
     def bronze(self, table: str) -> DataFrame:
         return self._once(
-            table, lambda: load_bronze(derived.raw_table(self.spark, self.folder, table), table)
+            table, lambda: load_bronze(derived.raw_table(self.spark, self.base, table), table)
         )
 
     def master(self, table: str) -> DataFrame:
@@ -57,11 +58,11 @@ class DerivedClinic(Mapping[str, DataFrame]):
         return parse_responses(self.bronze(spec.table), is_array=spec.is_array)
 
     def code_list(self, name: str) -> DataFrame:
-        return derived.code_list(self.spark, self.folder, name)
+        return derived.code_list(self.spark, self.base, name)
 
     def rule_registry(self) -> DataFrame:
         shipped = read_csv(self.spark, RULES_CSV, raw_rule_schema())
-        return typed_rules(shipped.unionByName(derived.raw_rules(self.spark, self.folder)))
+        return typed_rules(shipped.unionByName(derived.raw_rules(self.spark, self.base)))
 
     def check(self, rule_id: str) -> DataFrame:
         return check(rules([rule_id])[0], self, self.as_of)

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from functools import lru_cache
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -374,6 +375,7 @@ _ICD = (
 )
 
 
+@lru_cache(maxsize=None)
 def _columns(table: str) -> dict[str, str]:
     """Column -> SQL expression over ``k, t, w, f, c, e, iso``."""
     given: dict[str, str] = {"creation": "t", "modified": "t"}
@@ -459,6 +461,7 @@ def parquet_relation(spark: SparkSession, folder: str) -> Callable[[str], str]:
     transform alone. Inputs with enough splits are read as they are.
     """
 
+    @lru_cache(maxsize=None)
     def relation(base: str) -> str:
         path = f"{folder}/{base}.parquet"
         cores = spark.sparkContext.defaultParallelism
@@ -468,13 +471,13 @@ def parquet_relation(spark: SparkSession, folder: str) -> Callable[[str], str]:
     return relation
 
 
-def raw_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.sql(raw_sql(table, parquet_relation(spark, folder)))
+def raw_table(spark: SparkSession, relation: Callable[[str], str], table: str) -> DataFrame:
+    return spark.sql(raw_sql(table, relation))
 
 
-def code_list(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.sql(code_list_sql(name, parquet_relation(spark, folder)))
+def code_list(spark: SparkSession, relation: Callable[[str], str], name: str) -> DataFrame:
+    return spark.sql(code_list_sql(name, relation))
 
 
-def raw_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(registry_sql(parquet_relation(spark, folder)))
+def raw_rules(spark: SparkSession, relation: Callable[[str], str]) -> DataFrame:
+    return spark.sql(registry_sql(relation))
