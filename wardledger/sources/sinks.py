@@ -62,24 +62,19 @@ def overwrite_interval(
     first, last = day_of(start), day_of(end)
     # The range on the column itself reaches the source; the day is derived from it.
     days = interval_slice(df, first, last, column).withColumn(LOAD_DATE, F.to_date(column))
-    # One file set per day and a bounded number of rows per file; a day that holds
-    # most rows is spread over many tasks by AQE instead of landing in one.
-    days = days.hint("rebalance", F.col(LOAD_DATE))
+    # One file set per day; AQE spreads a day that holds most rows over several tasks.
+    balanced = days.hint("rebalance", LOAD_DATE)
     if not spark.catalog.tableExists(table):
-        days.write.format("parquet").partitionBy(LOAD_DATE).saveAsTable(table)
+        balanced.write.format("parquet").partitionBy(LOAD_DATE).saveAsTable(table)
         return
-    stored = spark.table(table).columns
-    before = _partition_days(spark, table, first, last)
-    if before:
-        present = {
-            str(row[LOAD_DATE])
-            for row in days.select(LOAD_DATE).distinct().collect()  # bounded by the days of the interval
-        }
+    emptied = _partition_days(spark, table, first, last)
+    if emptied:
+        filled = days.select(LOAD_DATE).distinct().collect()  # bounded by the days of the interval
+        emptied -= {str(row[LOAD_DATE]) for row in filled}
     with _dynamic_overwrite(spark):
-        days.select(*stored).write.mode("overwrite").insertInto(table)
-    if before:
-        for day in sorted(before - present):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({LOAD_DATE}='{day}')")
+        balanced.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    for day in sorted(emptied):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({LOAD_DATE}='{day}')")
 
 
 def read_interval(
