@@ -12,6 +12,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # The JVM never compiles methods above 8000 bytes; past that, Spark's split
     # projections are faster than one large generated method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
