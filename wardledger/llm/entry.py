@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import decontamination, exact_dedup, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.decontaminate(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, folder))
 
@@ -24,10 +28,12 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_decontamination": op5_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op5_decontamination": decontamination.ORACLE_SQL,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
 }
