@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, mixing
+from . import decontamination, exact_dedup, mixing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.decontaminate(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
@@ -28,11 +32,13 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc": warc.ORACLE_SQL,
     "op5_decontamination": decontamination.ORACLE_SQL,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,

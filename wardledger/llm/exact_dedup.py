@@ -72,7 +72,7 @@ def exact_dedup(
     )
     index = stored(chained.withColumn("slot", slot), "dedup-chains")
     # 2 ** max_depth rows of two numbers at most, whatever the number of entries.
-    pointers = F.broadcast(stored(directory(index, capacity, max_depth).coalesce(1), "dedup-directory"))
+    pointers = F.broadcast(stored(directory(index, capacity, max_depth), "dedup-directory"))
     owned = stored(
         index.join(pointers, "slot").drop("slot").repartitionByRange("bucket", "hash").sortWithinPartitions("bucket", "hash"),
         "dedup-index",

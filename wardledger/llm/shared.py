@@ -25,8 +25,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.deleteOnExit(where)
+    return store.makeQualified(where).toString()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
