@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, mixing, warc
+from . import decontamination, exact_dedup, language_id, mixing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.predict_languages(_documents(spark, folder))
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(spark.read.parquet(f"{folder}/pages.parquet"))
 
@@ -32,6 +36,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_language_id": op3_language_id,
     "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
