@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, language_id, mixing, warc
+from . import decontamination, exact_dedup, language_id, mixing, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, folder))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_documents(spark, folder))
 
@@ -40,6 +44,7 @@ QUERIES: dict[str, Query] = {
     "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {
