@@ -52,11 +52,10 @@ def bit_filter(keys: DataFrame, column: str, log2_bits: int = 23) -> np.ndarray:
         .select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 AS int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
-        .collect()  # at most 2 ** (log2_bits - 6) rows
+        .toArrow()  # at most 2 ** (log2_bits - 6) rows
     )
     out = np.zeros(1 << (log2_bits - 6), np.int64)
-    if words:
-        out[[r["word"] for r in words]] = [r["bits"] for r in words]
+    out[words.column("word").to_numpy().astype(np.int64)] = words.column("bits").to_numpy()
     return out.view(np.uint64)
 
 
