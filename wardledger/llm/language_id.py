@@ -6,7 +6,7 @@ then 3, 2, 1 characters, word ends included. Each word is one vote (the log of
 its posterior over the languages), whichever level scores it.
 
 The model is fitted on a bounded sample of the labelled rows: of each language the
-``SAMPLE_DOCS`` rows that come first by hash, as many as fit in ``SAMPLE_CHARS``.
+rows that come first by hash, as many as fit in ``SAMPLE_DOCS`` and ``SAMPLE_CHARS``.
 That bounds what is collected and sent to the tasks; scoring reads every text.
 """
 
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import SLICE_BYTES, U64, HashIndex, Texts, Words, mix64, runs
@@ -170,14 +170,24 @@ def fit(
     sample_chars: int = SAMPLE_CHARS,
 ) -> Model:
     """Model of the labelled rows that are not held out."""
+    share = (F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string")), 11) + 1) / F.lit(2.0**53)
     train = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col)).select(
-        F.col(label_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.length(text_col).alias("chars")
+        F.col(label_col).alias("lang"), F.col(text_col).alias("text"), F.floor(-8 * F.log2(share)).cast("int").alias("step")
     )
-    order = Window.partitionBy("lang").orderBy("h")
-    first = train.withColumn("at", F.row_number().over(order)).where(F.col("at") <= sample_docs)
-    upto = F.sum("chars").over(Window.partitionBy("lang").orderBy("at"))
-    sample = first.withColumn("upto", upto).where((F.col("upto") <= sample_chars) | (F.col("at") == 1))
-    languages = sorted(r["lang"] for r in train.select("lang").distinct().collect())  # one row a language
+    # Each step holds about a twelfth less of all hashes than the one before, so at any
+    # size of the input some step cuts the sample near its bounds. A few rows a language.
+    steps = train.groupBy("lang", "step").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"))
+    cut: dict[str, list[int]] = {}
+    for r in sorted(steps.collect(), key=lambda r: (r["lang"], -r["step"])):
+        taken = cut.setdefault(r["lang"], [r["step"], 0, 0, 1])
+        taken[1:3] = taken[1] + r["docs"], taken[2] + r["chars"]
+        if taken[3] and taken[1] <= sample_docs and taken[2] <= sample_chars:
+            taken[0] = r["step"]
+        else:
+            taken[3] = 0
+    languages = sorted(cut)
+    least = docs.sparkSession.createDataFrame([(x, cut[x][0]) for x in languages], "lang string, least int")
+    sample = train.join(F.broadcast(least), "lang").where("step >= least")  # one row a language
     number = F.array_position(F.array(*[F.lit(x) for x in languages] or [F.lit("")]), F.col("lang")) - 1
     counts = (
         sample.select(number.cast("int").alias("lang"), "text")
