@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard, language_id, mixing, toxicity, warc
+from . import decontamination, exact_dedup, jaccard, language_id, mixing, repair, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.decontaminate(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
+def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.encode_documents(_documents(spark, folder))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, folder))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
+    "op6_token_output": op6_token_output,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
