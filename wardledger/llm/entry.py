@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard, language_id, mixing, repair, toxicity, warc
+from . import decontamination, exact_dedup, jaccard, language_id, mixing, repair, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.repeated_passages(_documents(spark, folder))
+
+
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(_documents(spark, folder))
 
@@ -48,6 +52,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op4_warc": op4_warc,
