@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard, language_id, mixing, repair, substring, toxicity, warc
+from . import decontamination, exact_dedup, jaccard, language_id, lm_scoring, mixing, repair, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, folder))
 
 
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(_documents(spark, folder))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_token_output": op6_token_output,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kernels import HashIndex, Texts, gather, hash_spans, slices
+from .kernels import HashIndex, Texts, Words, gather, hash_spans, slices
 from .shared import shared_path, stored
 from .warc import _folder
 
@@ -63,9 +63,10 @@ class PieceEncoder:
     def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, and how many each has. Pieces that may follow each other are one text."""
         space = b" \t\n\x0b\x0c\r"
+        blank = space + b"\xc2\xe1\xe2\xe3"  # or the first byte of other white space
         groups: list[tuple[list[int], list[bytes], int]] = []
         for i, piece in enumerate(pieces):
-            follows = len(piece) > 1 and piece[0] == 0x20 and piece[1] not in space and piece[-1] not in space and piece[-1] < 0x80
+            follows = len(piece) > 1 and piece[0] == 0x20 and piece[1] not in blank and piece[-1] not in space
             if follows and groups and groups[-1][2] and groups[-1][2] < 1 << 15:
                 numbers, texts, size = groups[-1]
                 numbers.append(i)
@@ -87,6 +88,27 @@ class PieceEncoder:
                 first = cut
         return np.concatenate([np.zeros(0, np.uint16), *out]), np.array([len(x) for x in out], np.int64)
 
+    def _numbers(self, key: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray, before: bytes) -> tuple:
+        """Number of each piece, and all ids with the place and count of each number's."""
+        number = self.index.find(key)
+        if not (number < 0).any():
+            return number, self.ids, self.start, self.count
+        new = np.flatnonzero(number < 0)
+        keys, one, back = np.unique(key[new], return_index=True, return_inverse=True)
+        ids, count = self._encode_pieces([before + data[start[i] : end[i]].tobytes() for i in new[one]])
+        number[new] = self.count.size + back
+        own_start = np.concatenate([self.start, self.ids.size + np.cumsum(count) - count])
+        own, own_count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
+        if self.index.keys.size + keys.size <= MEMO:
+            self.index.add(keys)
+            self.ids, self.start, self.count = own, own_start, own_count
+        return number, own, own_start, own_count
+
+    def encode_words(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, each encoded by itself after a space, and their number by word."""
+        number, own, start, count = self._numbers(words.hash, words.data, words.start, words.end, b" ")
+        return gather(own, start[number], count[number]), count[number]
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts with ``END`` after each, and their number by text."""
         data, n = texts.data, texts.data.size
@@ -96,20 +118,7 @@ class PieceEncoder:
         begins[texts.offsets[:-1]] = True
         start = np.flatnonzero(begins[:n])
         end = np.append(start[1:], n)
-        key = hash_spans(data, start, end)
-        number = self.index.find(key)
-        own, own_start, own_count = self.ids, self.start, self.count
-        if (number < 0).any():
-            new = np.flatnonzero(number < 0)
-            keys, one, back = np.unique(key[new], return_index=True, return_inverse=True)
-            pieces = [data[start[i] : end[i]].tobytes() for i in new[one]]
-            ids, count = self._encode_pieces(pieces)
-            number[new] = self.count.size + back
-            own_start = np.concatenate([self.start, self.ids.size + np.cumsum(count) - count])
-            own, own_count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
-            if self.index.keys.size + keys.size <= MEMO:
-                self.index.add(keys)
-                self.ids, self.start, self.count = own, own_start, own_count
+        number, own, own_start, own_count = self._numbers(hash_spans(data, start, end), data, start, end, b"")
         # An end mark is one more piece after each text.
         at = np.searchsorted(start, texts.offsets[1:])
         number = np.insert(number.astype(np.int64), at, own_count.size)
@@ -121,11 +130,11 @@ class PieceEncoder:
         return flat, np.diff(np.concatenate([[0], total[last]]))
 
 
-def worker_encoder(path: str) -> PieceEncoder:
-    """The encoder of this Python worker; it lives as long as the worker does."""
+def worker_encoder(path: str, use: str = "pieces") -> PieceEncoder:
+    """The encoder of this Python worker for one use; it lives as long as the worker does."""
     cache = sys.modules.setdefault("_repair_worker_cache", types.ModuleType("_repair_worker_cache"))
-    if getattr(cache, "path", None) != path:
-        cache.encoder, cache.path = PieceEncoder(path), path
+    if getattr(cache, "key", None) != (path, use):
+        cache.encoder, cache.key = PieceEncoder(path), (path, use)
     return cache.encoder
 
 
