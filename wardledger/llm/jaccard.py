@@ -14,7 +14,7 @@ cell is equal, and nearly always a filled one: cells are the join keys.
 * Keys are counted first (combined before the shuffle), then rows of repeated keys
   form buckets. A bucket is not expanded into pairs: its members are compared with a
   few of them (``HEADS``), links are merged into components, the compared ones leave
-  the bucket, and buckets that still hold several components go on. In the end every
+  the bucket, and buckets that still hold several components go on with more heads. In the end every
   pair of different components that share a key has been compared.
 * Links are verified on the full shingle sets.
 """
@@ -34,7 +34,7 @@ from .components import components
 from .kernels import U64, Texts, Words, byte_table, grams, mix64, runs, slices
 from .shared import bit_filter, in_filter, stored
 
-HEADS = 8
+HEADS = (8, 64, 512)  # of each bucket by round; the last goes for all later rounds
 BAND_RATIO = 1.25
 KEY_BITS = 25
 
@@ -242,12 +242,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     links = tried = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     known = components(links)
+    turn = 0
     while not buckets.isEmpty():
-        heads = _heads(buckets)
+        heads, turn = _heads(buckets, turn), turn + 1
         pairs = stored(_head_pairs(buckets, heads).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         tried = tried.unionAll(pairs)
-        links = stored(links.unionAll(linked(pairs, sets, rule)), "jaccard-links")
-        known = components(links)
+        new = stored(linked(pairs, sets, rule), "jaccard-links")
+        if not new.isEmpty():
+            links = links.unionAll(new)
+            known = components(links)
         # Heads have been compared with their whole bucket and leave it.
         rest = buckets.join(heads.select("key", "last"), "key").where("node > last").select("key", "node")
         merged = rest.join(known, "node", "left")
@@ -267,10 +270,10 @@ def _several(rows: DataFrame) -> DataFrame:
     return stored(rows.join(keys, "key", "left_semi"), "jaccard-buckets")
 
 
-def _heads(buckets: DataFrame) -> DataFrame:
-    """The first ``HEADS`` members of each key and the ``last`` of them."""
+def _heads(buckets: DataFrame, turn: int) -> DataFrame:
+    """The first members of each key, as many as go for this round, and the ``last`` of them."""
     at = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-    first = buckets.withColumn("at", at).where(F.col("at") <= HEADS)
+    first = buckets.withColumn("at", at).where(F.col("at") <= HEADS[min(turn, len(HEADS) - 1)])
     member = F.struct(F.col("node").alias("a"), F.col("component").alias("a_component"))
     return first.groupBy("key").agg(F.collect_list(member).alias("heads"), F.max("node").alias("last"))
 
