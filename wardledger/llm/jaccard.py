@@ -34,7 +34,7 @@ from .components import components
 from .kernels import U64, Texts, Words, byte_table, grams, mix64, runs, slices
 from .shared import bit_filter, in_filter, stored
 
-HEADS = (8, 64, 512)  # of each bucket by round; the last goes for all later rounds
+HEADS = (2, 16, 128, 512)  # of each bucket by round; the last goes for all later rounds
 BAND_RATIO = 1.25
 KEY_BITS = 25
 
