@@ -1,0 +1,46 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+from reference import SYMBOL_WORD, components, words_of
+
+import corpus_pipeline
+from wardledger.llm.repair import END, PieceEncoder, tokenizer_path
+
+
+def test_stages(spark, folder, documents, benchmark):
+    docs, columns = documents, documents.columns
+    before = {r["doc_id"]: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = spark.createDataFrame(stage(spark, docs, folder).collect(), documents.schema)
+        assert docs.columns == columns
+        after = Counter(r["doc_id"] for r in docs.collect())
+        assert all(before[i]["text"] == r["text"] for r in docs.collect() for i in [r["doc_id"]])
+        if name == "language_id":
+            assert set(after) == {i for i, r in before.items() if any(c.isalpha() for c in r["text"] or "")}
+        elif name == "jaccard_join":
+            group = components({i: r["text"] for i, r in before.items()}, 5, 80, 100)
+            assert after == Counter(set(group.values()))
+        elif name == "decontamination":
+            items = {tuple(w[k : k + 10]) for r in benchmark.collect() for w in [words_of(r["text"], SYMBOL_WORD)] for k in range(len(w) - 9)}
+            clean = lambda t: not any(tuple(w[k : k + 10]) in items for w in [words_of(t, SYMBOL_WORD)] for k in range(len(w) - 9))
+            assert after == Counter(i for i, r in before.items() if clean(r["text"]))
+        before = {i: before[i] for i in after}
+    mixed = sorted(docs.collect(), key=lambda r: r["doc_id"])
+    assert max(Counter(r["doc_id"] for r in mixed).values()) == 2
+    encoder = PieceEncoder(tokenizer_path())
+    ids = [e.ids + [END] for e in encoder.tokenizer.encode_batch([r["text"] for r in mixed], add_special_tokens=False)]
+    found = corpus_pipeline.write_tokens(spark, docs, folder).orderBy("start").collect()
+    assert [(r["doc_id"], r["ids_crc32"]) for r in found] == [(r["doc_id"], zlib.crc32(np.array(x, "<u4").tobytes())) for r, x in zip(mixed, ids, strict=True)]
+
+
+def test_run_is_the_stages(spark, folder):
+    rows = corpus_pipeline.run(spark, folder)
+    assert rows.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and rows.count() > 100
+
+
+def test_odd_rows(spark, folder, odd, nothing):
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    for rows in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            rows = spark.createDataFrame(stage(spark, rows, folder).collect(), stage(spark, rows, folder).schema)

@@ -163,10 +163,14 @@ def compress(ids: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray
         pair[own[::-1]] = key[at[::-1]]  # a bucket stands for the pair seen first in it
         same = key[at] == pair[own]
         at, own = at[same], own[same]
-        # Of overlapping pairs the more frequent wins, of equal ones the first.
-        padded = np.full(seq.size + 1, best.size, np.int32)
+        # Of overlapping pairs the more frequent wins; in a run of one pair, every other.
+        padded = np.full(seq.size + 2, best.size, np.int32)
         padded[at + 1] = own
-        wins = (padded[at] > own) & (np.append(padded, best.size)[at + 2] >= own)
+        place = np.arange(at.size)
+        fresh = np.ones(at.size, bool)
+        fresh[1:] = (at[1:] != at[:-1] + 1) | (own[1:] != own[:-1])
+        in_run = place - np.maximum.accumulate(np.where(fresh, place, 0))
+        wins = (padded[at] >= own) & (padded[at + 2] >= own) & (in_run % 2 == 0)
         at, own = at[wins], own[wins]
         used = np.bincount(own, minlength=best.size) >= 2
         at, own = at[used[own]], own[used[own]]
