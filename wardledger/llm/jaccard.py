@@ -3,19 +3,25 @@
 Two shingle sets with similarity at least t, the smaller of size a, differ in at most
 d = floor(a * (1 - t) / t) shingles. A sketch XORs each shingle's hash into one of m
 64-bit cells; one differing shingle changes one cell, so the number of differing
-cells (the sketches' Hamming distance by cell) is at most d. With m > d cells some
-cell is equal, and nearly always a filled one: cells are the join keys.
+cells (the sketches' Hamming distance by cell) is at most d, and of m = 1.5 d cells
+m - d are equal. Cells are the join keys.
 
 * Sets of about equal size share a band, which fixes d and m. A set also enters the
   lower bands whose sets it may be similar to.
-* A set with too few filled cells for the guarantee (``deficient``) also joins by its
-  d + 1 least shingle hashes, which meets the same promise between two such sets.
+* A set needs m - d equal cells, less those it has empty. A cell that no other set has
+  is a difference from all: a set with fewer other cells than it needs has no partner
+  and goes. Of the rest, all but as many as are needed less one are keys (in the
+  order of their values), so two similar sets still have one in common.
+* A set with too few filled cells for this promise joins by all its cells and by its
+  d + 1 least shingle hashes, which two such sets share.
 * Equal sets are one node, so copies cost nothing after the first scan.
 * Keys are counted first (combined before the shuffle), then rows of repeated keys
   form buckets. A bucket is not expanded into pairs: its members are compared with a
   few of them (``HEADS``), links are merged into components, the compared ones leave
   the bucket, and buckets that still hold several components go on with more heads. In the end every
   pair of different components that share a key has been compared.
+* Shingles that no other set of the buckets has differ from all: a pair whose own
+  shingles are too many already is not compared. Heads are those with the fewest.
 * Links are verified on the full shingle sets.
 """
 
@@ -23,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, exp, sqrt
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +40,7 @@ from .components import components
 from .kernels import U64, Texts, Words, byte_table, grams, mix64, runs, slices
 from .shared import bit_filter, in_filter, stored
 
-HEADS = (2, 16, 128, 512)  # of each bucket by round; the last goes for all later rounds
+HEADS = (2, 128, 512)  # of each bucket by round; the last goes for all later rounds
 BAND_RATIO = 1.25
 KEY_BITS = 25
 
@@ -69,9 +75,7 @@ def bands(rule: Rule, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         most = rule.differ(high)
         m = most + 1
         if most:
-            for _ in range(8):  # spare cells for the empty ones that are to be expected
-                empty = m * exp(-low / m)
-                m = most + 1 + ceil(empty + 3 * sqrt(empty))
+            m = ceil(1.5 * most) + 2
         first.append(low)
         d.append(most)
         cells.append(m)
@@ -105,8 +109,9 @@ class Sets:
         total = np.concatenate([np.zeros(1, U64), np.cumsum(values, dtype=U64)])
         return total[self.of[1:]] - total[self.of[:-1]]
 
-    def keys(self, which: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-        """Join keys of the texts numbered ``which``, and the text of each."""
+    def keys(self, which: np.ndarray, rule: Rule, bits: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Cells of the texts numbered ``which`` and the text of each; with ``bits``, the bitmap
+        of cells that several sets have, their join keys."""
         size = self.size[which]
         first, d, cells = bands(rule, 1 << max(10, int(self.size.max(initial=1)).bit_length()))
         high = np.searchsorted(first, size, "right") - 1
@@ -127,9 +132,19 @@ class Sets:
         filled[cell] = True
         owner, part = runs(m)
         tag = mix64(band[owner].astype(U64) * U64(1 << 32) + part.astype(U64) + U64(1))
-        keys, text = mix64(sketch ^ tag)[filled], who[owner[filled]]
-        count = np.bincount(owner[filled], minlength=m.size)
-        lacking = np.flatnonzero(count < d[band] + 1)
+        keys, owner = mix64(sketch ^ tag)[filled], owner[filled]
+        need = np.bincount(owner, minlength=m.size) - d[band]  # m - d, less the empty cells
+        if bits is not None:
+            some = in_filter(bits, keys)
+            keys, owner = keys[some], owner[some]
+            order = np.lexsort((keys, owner))
+            keys, owner = keys[order], owner[order]
+            held = np.bincount(owner, minlength=m.size)
+            _, at = runs(held)
+            some = at < (held - np.maximum(need, 1) + 1)[owner]
+            keys, owner = keys[some], owner[some]
+        text = who[owner]
+        lacking = np.flatnonzero(need < 1)
         if lacking.size:
             g, k = runs(np.minimum(d[band[lacking]] + 1, n[lacking]))
             least = self.hash[self.of[who[lacking]][g] + k]
@@ -162,10 +177,8 @@ def sketch_keys(rows: DataFrame, rule: Rule, bits: np.ndarray | None = None) ->
             for texts in slices(batch.column(0)):
                 sets = Sets(texts, rule)
                 new = _first_of_each(sets.node, seen)
-                keys, text = sets.keys(new[sets.size[new] > 0], rule)
+                keys, text = sets.keys(new[sets.size[new] > 0], rule, sent.value if sent else None)
                 if sent is not None:
-                    some = in_filter(sent.value, keys)
-                    keys, text = keys[some], text[some]
                     yield pa.RecordBatch.from_arrays([_long(keys), _long(sets.node[text])], names=["key", "node"])
                 else:
                     yield pa.RecordBatch.from_arrays([_long(keys)], names=["key"])
@@ -240,21 +253,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = ids.join(buckets.select("node").distinct(), "node", "left_semi")
     sets = stored(shingle_sets(rows, wanted, rule), "jaccard-sets")
 
+    buckets = _bounded(buckets, sets, rule)
     links = tried = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     known = components(links)
     turn = 0
     while not buckets.isEmpty():
-        heads, turn = _heads(buckets, turn), turn + 1
-        pairs = stored(_head_pairs(buckets, heads).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        heads, turn = _heads(buckets, HEADS[min(turn, len(HEADS) - 1)]), turn + 1
+        pairs = stored(_head_pairs(buckets, heads, rule).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         tried = tried.unionAll(pairs)
         new = stored(linked(pairs, sets, rule), "jaccard-links")
         if not new.isEmpty():
             links = links.unionAll(new)
             known = components(links)
         # Heads have been compared with their whole bucket and leave it.
-        rest = buckets.join(heads.select("key", "last"), "key").where("node > last").select("key", "node")
-        merged = rest.join(known, "node", "left")
-        buckets = _several(merged.withColumn("component", F.coalesce("component", "node")))
+        rest = buckets.join(heads.select("key", "last"), "key").where("(own, node) > last")
+        merged = rest.select("key", "node", "own", "size").join(known, "node", "left")
+        buckets = _several(_possible(merged.withColumn("component", F.coalesce("component", "node")), rule))
 
     own = nodes.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = own.where("n_shingles > 0").groupBy("component").agg(F.min("id").alias("least"))
@@ -270,15 +284,53 @@ def _several(rows: DataFrame) -> DataFrame:
     return stored(rows.join(keys, "key", "left_semi"), "jaccard-buckets")
 
 
-def _heads(buckets: DataFrame, turn: int) -> DataFrame:
-    """The first members of each key, as many as go for this round, and the ``last`` of them."""
-    at = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-    first = buckets.withColumn("at", at).where(F.col("at") <= HEADS[min(turn, len(HEADS) - 1)])
-    member = F.struct(F.col("node").alias("a"), F.col("component").alias("a_component"))
-    return first.groupBy("key").agg(F.collect_list(member).alias("heads"), F.max("node").alias("last"))
+def _bounded(buckets: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Adds ``size`` and ``own``, the number of shingles that no other set of the buckets has."""
+    each = sets.join(buckets.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    size = each.select("node", F.size("shingles").alias("size"))
+    alone = each.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    alone = alone.agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    own = size.join(alone.groupBy("node").agg(F.count("*").alias("own")), "node", "left")
+    own = stored(own.select("node", "size", F.coalesce("own", F.lit(0)).alias("own")), "jaccard-own")
+    return _several(_possible(buckets.join(own, "node"), rule))
 
 
-def _head_pairs(buckets: DataFrame, heads: DataFrame) -> DataFrame:
-    """Each member beside the heads of its key that precede it and are not of its component."""
-    beside = buckets.join(heads, "key").select("node", "component", F.inline("heads"))
-    return beside.where("a < node AND a_component <> component").select("a", F.col("node").alias("b")).distinct()
+def _possible(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Drops members whose own shingles alone differ too much from any set of their key.
+
+    ``fewest`` own shingles, ``smallest`` and ``largest`` size of the key bound every partner.
+    """
+    bounds = rows.groupBy("key").agg(
+        F.min("own").alias("fewest"), F.min("size").alias("smallest"), F.max("size").alias("largest")
+    )
+    beyond = F.greatest("fewest", F.col("own") - F.col("size") + F.greatest("smallest", F.ceil(F.col("size") * rule.num / rule.den)))
+    most = F.col("size") + F.least(F.col("largest"), F.col("size") * rule.den / rule.num)
+    near = (F.col("own") + beyond) * (rule.den + rule.num) <= most * (rule.den - rule.num)
+    return rows.join(bounds, "key").where(near).drop("fewest", "smallest", "largest")
+
+
+def _heads(buckets: DataFrame, count: int) -> DataFrame:
+    """The ``count`` members of each key with the fewest own shingles, and the ``last`` of them."""
+    at = F.row_number().over(Window.partitionBy("key").orderBy("own", "node"))
+    first = buckets.withColumn("at", at).where(F.col("at") <= count)
+    member = F.struct(
+        F.col("own").alias("a_own"), F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("component").alias("a_component")
+    )
+    last = F.max(F.struct("own", "node")).alias("last")
+    return first.groupBy("key").agg(F.collect_list(member).alias("heads"), last)
+
+
+def _head_pairs(buckets: DataFrame, heads: DataFrame, rule: Rule | None = None) -> DataFrame:
+    """Each member beside the heads of its key that precede it and are not of its component.
+
+    With ``rule``, the shingles that must differ are not too many already: what one
+    set has beyond the other is at least its own shingles, and the two such numbers
+    differ by as much as the sizes.
+    """
+    told = "(h.a_own, h.a) < (own, node) AND h.a_component <> component"
+    if rule:
+        differ = "greatest(h.a_own, own + h.a_size - size) + greatest(own, h.a_own - h.a_size + size)"
+        told += f" AND ({differ}) * {rule.den + rule.num} <= (h.a_size + size) * {rule.den - rule.num}"
+    beside = buckets.join(heads, "key").select("node", F.expr(f"filter(heads, h -> {told})").alias("heads"))
+    pairs = beside.where("size(heads) > 0").select("node", F.inline("heads"))
+    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
