@@ -125,7 +125,7 @@ def flat(resource: str, as_text: bool = True) -> str:
         target = spec.renames.get(name, name)
         kind = spec.types.get(target, "STRING")
         text = value("node", path)
-        columns[target] = (text if kind == "STRING" else f"TRY_CAST({text} AS {_type(kind)})", kind)
+        columns[target] = (text if kind == "STRING" else f"TRY_CAST({text} AS {'BIGINT' if kind == 'INT' else _type(kind)})", kind)
     if spec.index_column:
         columns[spec.index_column] = ("CAST(position AS INTEGER)", "INT")
     shown = [

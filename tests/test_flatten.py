@@ -151,3 +151,23 @@ def test_children(spark):
         fields = bronze_fields(table)
         empty = spark.createDataFrame([], ", ".join(f"{f.name} {f.spark_type.simpleString()}" for f in fields))
         assert flatten_children(empty, name).columns[-1] == "element_idx"
+
+
+def test_repeated_keys_are_kept_and_trailing_text_is_not(spark):
+    rows = [
+        ("last", '{"resourceType":"Encounter","id":"a","id":"b"}'),
+        ("tail", '{"resourceType":"Encounter","id":"a"} x'),
+        ("comma", '{"resourceType":"Encounter"},{"resourceType":"Encounter"}'),
+        ("bracket", '{"resourceType":"Encounter"}] x'),
+        ("blank", " "),
+    ]
+    df = spark.createDataFrame(rows, "name string, payload_json string").selectExpr("*", "timestamp_ntz'2026-07-01' AS modified")
+    view = View("Encounter", (("id", "id"),))
+    found = flatten(df, view, {"name": "name"}).collect()
+    assert [(r["name"], r["id"]) for r in found] == [("last", "b")]
+    assert flatten_rejects(df, RESOURCES["encounter"]).first()["unreadable"] == 4
+
+
+def test_whole_numbers_are_long(spark):
+    number = coerce("'3000000000'", "INT")
+    assert spark.sql(f"SELECT {number} AS n").first()["n"] == 3_000_000_000

@@ -1,5 +1,6 @@
 from collections import Counter
 
+from wardledger.operators.flatten import flatten_rejects
 from wardledger.layout import Layout
 from wardledger.plans.dashboard import Queries
 from wardledger.plans.derived_clinic import DerivedClinic
@@ -28,9 +29,14 @@ def test_batch_run_equals_lazy_chain(spark, folder, tmp_path):
 
     for name in ("encounter", "observation"):
         assert job.table("silver", RESOURCES[name].silver_table).count() == clinic.flat(name).count()
-        assert spark.table(RESOURCES[name].audit_table).count() == clinic.responses(name).count()
+        assert spark.table(job.layout.view(RESOURCES[name].audit_table)).count() == clinic.responses(name).count()
         assert job.table("silver", RESOURCES[name].parent_table).count() == clinic.parent(name).count()
 
+    rejected = job.table("silver", "flatten_rejects").where("table_name = 'encounter_fhir_resource'")
+    expected = flatten_rejects(clinic.bronze(RESOURCES["encounter"].table), "encounter").first()
+    total = rejected.groupBy().sum("missing", "unreadable", "foreign").first()
+    assert tuple(total) == tuple(expected) and expected["unreadable"] > 0
+
     def bag(df):
         return Counter(tuple(r) for r in df.where("entity_type <> 'Patient'").collect())
 

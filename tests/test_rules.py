@@ -159,3 +159,16 @@ def test_one_pass_equals_single_checks(spark, bounds):
 def test_one_scan_per_entity(spark):
     plan = R.evaluate(entity_tables(spark), AS_OF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Range (0, 300") == 3
+
+
+def test_only_active_rules_fire(spark):
+    patients = spark.createDataFrame([("p", "12")], "name string, uid string")
+    encounters = spark.createDataFrame(
+        [("e", "planned", "p", None, None)],
+        "frappe_doc_name string, fhir_status string, patient string, period_start timestamp_ntz, period_end timestamp_ntz",
+    )
+    ids = ["CTL-IDENT-PAT-FORMAT-001", "CTL-STRUCT-ENC-STATUS-001"]
+    tables = {"tabPatient": patients, "encounter_fhir_resource": encounters}
+    registry = spark.createDataFrame([(ids[0], "BLOCKED"), (ids[1], "ACTIVE"), ("other", "ACTIVE")], "rule_id string, status string")
+    fired = lambda **more: {r["rule_id"] for r in R.evaluate(tables, AS_OF, ids, **more).collect()}
+    assert fired() == set(ids) and fired(registry=registry) == {ids[1]}

@@ -92,7 +92,7 @@ def test_profile_publish_and_health(spark, layout):
     assert sorted(map(tuple, row_counts(tables).collect())) == [("audit_finding", 1, False), ("audit_rule", 0, True)]
     report = {r["table_name"]: r["status"] for r in publish(spark, layout).collect()}
     assert report["audit_finding"] == report["audit_rule"] == "ready" and report["audit_run"] == "missing"
-    assert "other" not in report and spark.table("audit_finding").count() == 1
+    assert "other" not in report and spark.table(layout.view("audit_finding")).count() == 1
 
 
 def test_publish_isolates_failures(spark, tmp_path):
@@ -104,5 +104,33 @@ def test_publish_isolates_failures(spark, tmp_path):
     for part in list((tmp_path / "gone").glob("*.parquet")):
         part.write_bytes(b"broken")
     overwrite_table(spark.range(1), layout.table("gold", "audit_rule"))
-    report = {r["table_name"]: r["status"] for r in publish(spark, layout, ["audit_run", "audit_rule"]).collect()}
-    assert report == {"audit_run": "failed", "audit_rule": "ready"}
+    rows = publish(spark, layout, ["audit_run", "audit_rule"]).collect()
+    assert {r["table_name"]: r["status"] for r in rows} == {"audit_run": "failed", "audit_rule": "ready"}
+    assert {r["table_name"]: bool(r["reason"]) for r in rows} == {"audit_run": True, "audit_rule": False}
+
+
+def test_views_of_two_environments(spark):
+    for suffix, rows in (("__one", 1), ("__two", 2)):
+        layout = Layout(suffix)
+        layout.create(spark)
+        overwrite_table(spark.range(rows), layout.table("gold", "audit_rule"))
+        publish(spark, layout, ["audit_rule"])
+    assert [spark.table(Layout(s).view("audit_rule")).count() for s in ("__one", "__two")] == [1, 2]
+
+
+def test_a_late_row_is_not_lost(spark, layout, tmp_path):
+    """A row that arrives while an interval is loaded is stored with the next load of it."""
+    table, source = layout.table("bronze", "late"), f"{tmp_path}/source"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    versions(spark, ("a", "2026-07-01"), ("b", "2026-07-02")).write.parquet(source)
+
+    def load():
+        overwrite_interval(spark.read.parquet(source), table, "2026-07-01", "2026-07-04")
+
+    load()
+    read_once = spark.read.parquet(source)  # its files are listed now
+    versions(spark, ("c", "2026-07-03")).write.mode("append").parquet(source)
+    overwrite_interval(read_once, table, "2026-07-01", "2026-07-04")
+    load()
+    assert {r["name"] for r in spark.table(table).collect()} == {"a", "b", "c"}
+    assert not spark.catalog.tableExists(f"{table}__staging")

@@ -93,7 +93,7 @@ def coerce(value: str, type_name: str) -> str:
         "TIMESTAMP": "timestamp_ntz",
         "DATE": "date",
         "DOUBLE": "double",
-        "INT": "int",
+        "INT": "bigint",
         "BOOLEAN": "boolean",
     }
     return f"try_cast({value} AS {targets[type_name]})" if type_name in targets else value

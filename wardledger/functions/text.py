@@ -35,6 +35,25 @@ def filled(template: str) -> str:
     return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
 
 
+END_OF_JSON = "~end of text~"
+
+
+def strict_json(text: Column | str) -> Column:
+    """JSON text as VARIANT; NULL when it is not one whole value.
+
+    The parser ignores what follows a value. Inside a list with a mark behind it,
+    such a text leaves no list of two, so it is refused at the price of one parse.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_OF_JSON}"]')))
+    pair = F.array(F.try_variant_get(listed, "$", "array<variant>"))
+    whole = F.transform(
+        pair,
+        lambda p: F.when((F.size(p) == 2) & (F.try_variant_get(p[1], "$", "string") == END_OF_JSON), p[0]),
+    )
+    return F.get(whole, 0)
+
+
 def timestamp_text(column: Column | str) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text of a timestamp."""
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss")

@@ -23,6 +23,10 @@ class Layout:
     def table(self, layer: str, name: str) -> str:
         return f"{self.database(layer)}.{name}"
 
+    def view(self, name: str) -> str:
+        """Name of a session view: of this environment only, like the tables."""
+        return f"{name}{self.suffix}"
+
     def create(self, spark: SparkSession) -> None:
         for layer in LAYERS:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database(layer)}`")

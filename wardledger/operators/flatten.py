@@ -3,7 +3,8 @@
 The payload is parsed once per row. Elements come out of ``posexplode``, also
 for a payload that is one object: Spark does not move a predicate below a
 generator, so the resource-type guard cannot drag a second parse to the scan.
-A missing or unreadable payload is a NULL document, which the guard drops.
+A missing or unreadable payload is a NULL document, which the guard drops and
+``flatten_rejects`` counts.
 """
 
 from __future__ import annotations
@@ -12,13 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fhirpath import coerce, is_element, members, text_at, value_at
+from ..functions.text import strict_json
 from ..sources.resources import RESOURCES, Resource
 from ..sources.views import VIEWS, View
 
 
 def _elements(df: DataFrame, carried: list[str], payload: str, is_array: bool) -> DataFrame:
     document = F.col("_document")
-    parsed = df.select(*carried, F.try_parse_json(payload).alias("_document"))
+    parsed = df.select(*carried, strict_json(payload).alias("_document"))
     resources = F.try_variant_get(document, "$", "array<variant>") if is_array else F.array(document)
     return parsed.select(*carried, F.posexplode(resources).alias("_position", "_node"))
 
@@ -96,7 +98,7 @@ def flatten_rejects(bronze: DataFrame, resource: Resource | str, payload: str =
     else:
         unreadable = "_document IS NULL"
         foreign = f"_document IS NOT NULL AND NOT {own.format(node='_document')}"
-    parsed = bronze.select(F.col(payload), F.try_parse_json(payload).alias("_document"))
+    parsed = bronze.select(F.col(payload), strict_json(payload).alias("_document"))
     return parsed.agg(
         F.count_if(F.col(payload).isNull()).alias("missing"),
         F.count_if(F.expr(f"{payload} IS NOT NULL AND {unreadable}")).alias("unreadable"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -27,6 +28,8 @@ PUBLISHED = (
 FLAT_SUFFIX = "_fhir_resource"
 # ---- end of fixed values ----------------------------------------------------
 
+LOG = logging.getLogger(__name__)
+
 
 def list_tables(spark: SparkSession, database: str, suffix: str = "") -> list[str]:
     """Names of the tables of a database that end in ``suffix``, in order.
@@ -46,44 +49,49 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, counts).withColumn("is_empty", F.col("row_count") == 0)
 
 
-def is_readable(df: DataFrame) -> bool:
-    """Probe with one row instead of a count. Empty is readable."""
+def read_error(df: DataFrame) -> str | None:
+    """Why ``df`` cannot be read, found by a probe of one row; None if it can. Empty is readable."""
     try:
         df.limit(1).isEmpty()
-        return True
-    except Exception:
-        return False
+        return None
+    except Exception as error:  # whatever the source raises is the answer
+        return f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"
+
+
+def is_readable(df: DataFrame) -> bool:
+    return read_error(df) is None
 
 
 def publish(
     spark: SparkSession, layout: Layout, allowed: Iterable[str] = PUBLISHED, layer: str = "gold"
 ) -> DataFrame:
-    """Expose allow-listed tables as views; report ``ready``, ``missing`` or ``failed``.
+    """Expose allow-listed tables as views; report ``ready``, ``missing`` or ``failed`` and why.
 
-    A table that does not exist is skipped and one that cannot be read does not
-    stop the others.
+    Views carry the environment in their name, so those of two environments stand
+    side by side. A table that does not exist is skipped and one that cannot be read
+    does not stop the others.
     """
-    report = []
+    report: list[tuple[str, str, str | None]] = []
     for name in allowed:
         full = layout.table(layer, name)
         if not spark.catalog.tableExists(full):
-            report.append((name, "missing"))
+            report.append((name, "missing", None))
             continue
-        try:
-            table = spark.table(full)
-            table.limit(1).isEmpty()
-            table.createOrReplaceTempView(name)
-            report.append((name, "ready"))
-        except Exception:
-            report.append((name, "failed"))
-    return spark.createDataFrame(report, "table_name string, status string")
+        table = spark.table(full)
+        error = read_error(table)
+        if error is None:
+            table.createOrReplaceTempView(layout.view(name))
+        report.append((name, "failed" if error else "ready", error))
+    return spark.createDataFrame(report, "table_name string, status string, reason string")
 
 
 def health(spark: SparkSession, layout: Layout) -> dict[str, object]:
     """``ok`` when the findings can be read, else ``degraded``."""
     name = layout.table("gold", "audit_finding")
-    try:
-        reachable = spark.catalog.tableExists(name) and is_readable(spark.table(name))
-    except Exception:
-        reachable = False
+    reachable = False
+    if spark.catalog.tableExists(name):
+        error = read_error(spark.table(name))
+        reachable = error is None
+        if error:
+            LOG.warning("%s cannot be read: %s", name, error)
     return {"status": "ok" if reachable else "degraded", "gold_reachable": reachable}

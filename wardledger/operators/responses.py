@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fhirpath import text_at
+from ..functions.text import strict_json
 from .clean import clean_text
 
 # ---- fixed values: markers of the response shapes ---------------------------
@@ -25,11 +26,11 @@ def _with_body(df: DataFrame, node: str, prefixed: Column | None) -> DataFrame:
     """Add ``_body`` (VARIANT) and ``submission_http_status``."""
     wrapped = F.expr(text_at(node, "$.response"))
     code = F.expr(text_at(node, "$.status_code")).try_cast("int")
-    body = F.when(wrapped.isNotNull(), F.try_parse_json(wrapped)).otherwise(F.col(node))
+    body = F.when(wrapped.isNotNull(), strict_json(wrapped)).otherwise(F.col(node))
     if prefixed is not None:
         text = F.col("api_response")
         stated = F.regexp_extract(text, STATUS_PATTERN, 1).try_cast("int")
-        unwrapped = F.try_parse_json(F.regexp_extract(text, BODY_PATTERN, 1))
+        unwrapped = strict_json(F.regexp_extract(text, BODY_PATTERN, 1))
         body = F.when(prefixed, unwrapped).otherwise(body)
         code = F.when(prefixed, stated).otherwise(code)
     kept = [c for c in df.columns if c != node]
@@ -69,7 +70,7 @@ def parse_responses(
     kept = [c for c in bronze.columns if c not in drop]
     answered = bronze.where(F.col("api_response").isNotNull())
     cleaned = clean_text(answered.select(*kept), keep_raw=("api_response",))
-    parsed = cleaned.select(*kept, F.try_parse_json("api_response").alias("_response"))
+    parsed = cleaned.select(*kept, strict_json("api_response").alias("_response"))
     lead = [c for c in kept if c != "api_response"] + ["api_response"]
     if is_array:
         elements = F.try_variant_get(F.col("_response"), "$", "array<variant>")

@@ -203,9 +203,13 @@ def assert_contract(df: DataFrame) -> DataFrame:
 
 
 def evaluate(
-    tables: Mapping[str, DataFrame], as_of: str, rule_ids: list[str] | None = None, **bounds: int
+    tables: Mapping[str, DataFrame],
+    as_of: str,
+    rule_ids: list[str] | None = None,
+    registry: DataFrame | None = None,
+    **bounds: int,
 ) -> DataFrame:
-    """Union of the findings of all rules.
+    """Union of the findings of all rules; with ``registry`` only of those that are ACTIVE in it.
 
     Rules with the same reference column share one measured key set. All rules of
     an entity run in one pass, but for those whose reference is too large to be
@@ -227,7 +231,12 @@ def evaluate(
         by_entity.setdefault(rule.source, []).append(rule)
     for source, group in by_entity.items():
         parts.append(entity_findings(tables[source], group, as_of, known))
-    return reduce(DataFrame.unionByName, map(assert_contract, parts))
+    found = reduce(DataFrame.unionByName, map(assert_contract, parts))
+    if registry is None:
+        return found
+    # One row a registered rule at most.
+    active = registry.where(F.col("rule_id").isin(list(REGISTRY)) & (F.col("status") == "ACTIVE"))
+    return found.join(F.broadcast(active.select("rule_id").distinct()), "rule_id", "left_semi").select(found.columns)
 
 
 # ---- fixed values: the eight active rules and the texts of their findings ---

@@ -68,7 +68,7 @@ class DerivedClinic(Mapping[str, DataFrame]):
         return check(rules([rule_id])[0], self, self.as_of)
 
     def findings(self) -> DataFrame:
-        return self._once("findings", lambda: evaluate(self, self.as_of))
+        return self._once("findings", lambda: evaluate(self, self.as_of, registry=self.rule_registry()))
 
     def run(self) -> DataFrame:
         return audit_run(self, self.rule_registry(), self.findings(), self.as_of)

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..layout import Layout
 from ..operators.clean import clean_text, current_state
-from ..operators.flatten import flatten_resource
+from ..operators.flatten import flatten_rejects, flatten_resource
 from ..operators.profile import FLAT_SUFFIX, list_tables, row_counts
 from ..operators.responses import parse_responses
 from ..operators.rules import ENCOUNTER_TABLE, evaluate, rules
 from ..session import tune
-from ..sources.readers import load_bronze
+from ..sources.readers import day_of, load_bronze
 from ..sources.resources import RESOURCES
 from ..sources.schemas import MASTER_TABLES, bronze_tables
 from ..sources.sinks import (
@@ -52,7 +53,8 @@ class Medallion:
 
     # ---- silver -------------------------------------------------------------
     def build_silver(self, start: Day, end: Day) -> None:
-        """Current state and cleaned parents anew, flat resources of the interval."""
+        """Current state and cleaned parents anew, flat resources of the interval and their rejects."""
+        counts: list[DataFrame] = []
         for name in MASTER_TABLES:
             overwrite_table(current_state(self.table("bronze", name)), self.layout.table("silver", name))
         for spec in RESOURCES.values():
@@ -62,7 +64,16 @@ class Medallion:
             fresh = read_interval(self.spark, self.layout.table("bronze", spec.table), start, end)
             flat = flatten_resource(fresh, spec)
             overwrite_interval(flat, self.layout.table("silver", spec.silver_table), start, end)
-            publish_view(parse_responses(bronze, is_array=spec.is_array), spec.audit_table)
+            responses = parse_responses(bronze, is_array=spec.is_array)
+            publish_view(responses, self.layout.view(spec.audit_table))
+            rejects = flatten_rejects(fresh, spec).selectExpr(
+                f"'{spec.silver_table}' AS table_name", "missing", "unreadable", "foreign", f"cast('{day_of(start)}' AS date) AS load_date"
+            )
+            counts.append(rejects)
+        # What the flat tables of this interval leave out, replaced with them.
+        overwrite_interval(
+            reduce(DataFrame.unionAll, counts), self.layout.table("silver", "flatten_rejects"), start, end, LOAD_DATE
+        )
 
     # ---- gold ---------------------------------------------------------------
     def silver_tables(self, newest_only: bool = False) -> dict[str, DataFrame]:
@@ -83,7 +94,7 @@ class Medallion:
         """Findings are written once; each check is a live view of its rule."""
         tables = self.silver_tables(newest_only)
         overwrite_table(registry, self.layout.table("gold", "audit_rule"))
-        findings = evaluate({**tables, **code_lists}, as_of)
+        findings = evaluate({**tables, **code_lists}, as_of, registry=self.table("gold", "audit_rule"))
         if newest_only:
             findings = findings.dropDuplicates(["finding_id"])
         stored = self.layout.table("gold", "audit_finding")
@@ -118,8 +129,9 @@ class Medallion:
         for name in list_tables(self.spark, self.layout.database("bronze")):
             export_sample(self.table("bronze", name), f"{folder}/bronze/{name}.csv")
         for spec in RESOURCES.values():
-            if self.spark.catalog.tableExists(spec.audit_table):
-                export_csv(self.spark.table(spec.audit_table), f"{folder}/silver/{spec.audit_table}.csv")
+            view = self.layout.view(spec.audit_table)
+            if self.spark.catalog.tableExists(view):
+                export_csv(self.spark.table(view), f"{folder}/silver/{spec.audit_table}.csv")
         for name in list_tables(self.spark, self.layout.database("silver"), FLAT_SUFFIX):
             export_csv(self.table("silver", name), f"{folder}/silver/{name}.csv")
         gold = list_tables(self.spark, self.layout.database("gold"))

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # A payload that repeats a key is read, the last value counts; else its row would be lost.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # The JVM never compiles methods above 8000 bytes; past that, Spark's split
     # projections are faster than one large generated method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -35,8 +37,8 @@ def tune(spark: SparkSession) -> SparkSession:
     AQE only merges shuffle partitions, so on a large cluster it has to start from
     more than the default 200; small sessions keep their own number.
     """
-    limit = "spark.sql.codegen.hugeMethodLimit"
-    spark.conf.set(limit, DEFAULTS[limit])
+    for name in ("spark.sql.codegen.hugeMethodLimit", "spark.sql.variant.allowDuplicateKeys"):
+        spark.conf.set(name, DEFAULTS[name])
     start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     cores = spark.sparkContext.defaultParallelism
     if spark.conf.get(start, None) is None and cores > 64:

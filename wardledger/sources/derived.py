@@ -280,6 +280,11 @@ def _documents(name: str, key: str = "@k@") -> list[str]:
     return [_dump({**head, **b}) for b in bodies] + [_dump({"resourceType": "Basic", "id": f"x-{key}"})]
 
 
+def _twice(document: str) -> str:
+    """The same object with its first key said twice."""
+    return "{" + document[1:].split(",", 1)[0] + "," + document[1:]
+
+
 def _payload(name: str) -> str:
     usual, sparse, respelled, padded, foreign = _documents(name)
     if RESOURCES[name].is_array:
@@ -289,6 +294,8 @@ def _payload(name: str) -> str:
             "CASE WHEN k % 20 = 19 THEN CAST(NULL AS STRING) "
             f"WHEN k % 50 = 3 THEN {_fill('[' + usual[:40])} "
             f"WHEN k % 50 = 4 THEN {_fill(usual)} "
+            f"WHEN k % 50 = 13 THEN {_fill(f'[{usual}] x')} "
+            f"WHEN k % 50 = 23 THEN {_fill(f'[{_twice(usual)}]')} "
             "WHEN k % 50 = 5 THEN '[]' "
             f"WHEN k % 9 = 0 THEN {_fill(f'[{foreign},{usual},{second}]')} "
             f"WHEN k % 9 = 1 THEN {_fill(f'[null,{respelled}]')} "
@@ -300,6 +307,8 @@ def _payload(name: str) -> str:
         "CASE WHEN k % 20 = 19 THEN CAST(NULL AS STRING) "
         f"WHEN k % 25 = 24 THEN {_fill(foreign)} "
         f"WHEN k % 50 = 3 THEN {_fill(usual[:40])} "
+        f"WHEN k % 50 = 13 THEN {_fill(usual + ' x')} "
+        f"WHEN k % 50 = 23 THEN {_fill(_twice(usual))} "
         f"WHEN k % 8 = 5 THEN {_fill(sparse)} "
         f"WHEN k % 32 = 6 THEN {_fill(respelled)} "
         f"WHEN k % 32 = 7 THEN {_fill(padded)} "

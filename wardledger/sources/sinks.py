@@ -13,6 +13,7 @@ from ..operators.clean import interval_slice
 from .readers import day_of
 
 LOAD_DATE = "load_date"
+STAGING = "__staging"
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:
@@ -56,10 +57,12 @@ def overwrite_interval(
 
     The table is partitioned by day. Only days of the interval are touched, so a
     repeated interval leaves no duplicates and other days are not read. Days that
-    have become empty at the source are dropped.
+    have become empty at the source are dropped. The source is read once, into a
+    staging table: what arrives meanwhile is neither written nor taken for empty.
     """
     spark = df.sparkSession
     first, last = day_of(start), day_of(end)
+    staging = f"{table}{STAGING}"
     # The range on the column itself reaches the source; the day is derived from it.
     days = interval_slice(df, first, last, column).withColumn(LOAD_DATE, F.to_date(column))
     # One file set per day; AQE spreads a day that holds most rows over several tasks.
@@ -67,14 +70,13 @@ def overwrite_interval(
     if not spark.catalog.tableExists(table):
         balanced.write.format("parquet").partitionBy(LOAD_DATE).saveAsTable(table)
         return
-    emptied = _partition_days(spark, table, first, last)
-    if emptied:
-        filled = days.select(LOAD_DATE).distinct().collect()  # bounded by the days of the interval
-        emptied -= {str(row[LOAD_DATE]) for row in filled}
+    balanced.write.mode("overwrite").format("parquet").partitionBy(LOAD_DATE).saveAsTable(staging)
+    emptied = _partition_days(spark, table, first, last) - _partition_days(spark, staging, first, last)
     with _dynamic_overwrite(spark):
-        balanced.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        spark.table(staging).select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     for day in sorted(emptied):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({LOAD_DATE}='{day}')")
+    spark.sql(f"DROP TABLE {staging}")
 
 
 def read_interval(
