@@ -14,7 +14,7 @@ from wardledger.operators.rules import REGISTRY
 from wardledger.sources import derived
 from wardledger.sources.readers import RULES_CSV, RULE
 from wardledger.sources.resources import CHILD_VIEWS, RESOURCES
-from wardledger.sources.schemas import bronze_fields
+from wardledger.sources.schemas import CODE_LISTS, MASTER_TABLES, bronze_fields
 from wardledger.sources.views import VIEWS
 
 AS_OF = f"TIMESTAMP '{derived.AS_OF}'"
@@ -63,6 +63,10 @@ def _cleaned(fields, drop=frozenset(), raw_text=frozenset()) -> str:
     return ", ".join(out)
 
 
+def cleaned(table: str) -> str:
+    return f"SELECT {_cleaned(bronze_fields(table))} FROM ({typed(table)}) AS b"
+
+
 def master(table: str) -> str:
     columns = _cleaned(bronze_fields(table))
     latest = (
@@ -387,6 +391,10 @@ def row_counts(names: list[str]) -> str:
     parts = _gold_parts()
     sources = {"audit_finding": "findings", "audit_rule": "rules", "tabPatient": "patients"}
     sources |= {f"{p[:-1]}_fhir_resource": p for p in ("encounters", "conditions", "observations", "procedures")}
+    sources |= {n: f"({master(n)}) AS m" for n in names if n in MASTER_TABLES and n not in sources}
+    sources |= {n: f"({code_list(n)}) AS c" for n in names if n in CODE_LISTS}
+    flats = {r.silver_table: r.name for r in RESOURCES.values()}
+    sources |= {n: f"({flat(flats[n])}) AS f" for n in names if n in flats and n not in sources}
     counts = " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS row_count, count(*) = 0 AS is_empty FROM {sources[n]}" for n in names
     )
