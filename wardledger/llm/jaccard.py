@@ -331,6 +331,9 @@ def _head_pairs(buckets: DataFrame, heads: DataFrame, rule: Rule | None = None)
     if rule:
         differ = "greatest(h.a_own, own + h.a_size - size) + greatest(own, h.a_own - h.a_size + size)"
         told += f" AND ({differ}) * {rule.den + rule.num} <= (h.a_size + size) * {rule.den - rule.num}"
-    beside = buckets.join(heads, "key").select("node", F.expr(f"filter(heads, h -> {told})").alias("heads"))
-    pairs = beside.where("size(heads) > 0").select("node", F.inline("heads"))
+    near = f"transform(filter(heads, h -> {told}), h -> h.a)"
+    beside = buckets.join(heads, "key").select("node", F.expr(near).alias("near")).where("size(near) > 0")
+    # A pair that shares many keys becomes one row: heads of a member are merged first.
+    merged = beside.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    pairs = merged.select("node", F.explode("near").alias("a"))
     return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
