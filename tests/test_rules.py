@@ -164,8 +164,8 @@ def test_one_scan_per_entity(spark):
 def test_only_active_rules_fire(spark):
     patients = spark.createDataFrame([("p", "12")], "name string, uid string")
     encounters = spark.createDataFrame(
-        [("e", "planned", "p", None, None)],
-        "frappe_doc_name string, fhir_status string, patient string, period_start timestamp_ntz, period_end timestamp_ntz",
+        [("e", "planned", "p", "s", None, None)],
+        "frappe_doc_name string, fhir_status string, patient string, satusehat_id string, period_start timestamp_ntz, period_end timestamp_ntz",
     )
     ids = ["CTL-IDENT-PAT-FORMAT-001", "CTL-STRUCT-ENC-STATUS-001"]
     tables = {"tabPatient": patients, "encounter_fhir_resource": encounters}
