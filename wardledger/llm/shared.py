@@ -30,11 +30,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return store.makeQualified(where).toString()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read from there."""
+def stored(df: DataFrame, name: str, row_group: int = 0) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read from there.
+
+    ``row_group``: bytes of a row group, the least that a task can read of a file.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", row_group) if row_group else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
