@@ -30,11 +30,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id, once."""
-    groups = jaccard.jaccard_components(docs, rule=NEAR)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """Of each group of near duplicates the document with the least id, once.
+
+    Texts are grouped, not ids: rows of one id with unlike texts are judged each on its own.
+    """
+    named = docs.where("doc_id IS NOT NULL").withColumn("text_id", F.md5(F.coalesce("text", F.lit(""))))
+    groups = jaccard.jaccard_components(named, id_col="text_id", rule=NEAR).distinct()
+    # Texts without words are linked with nothing, so each id keeps its own.
+    alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("alone")
+    judged = named.select("doc_id", "text_id").join(groups, "text_id")
+    least = F.min(F.struct("doc_id", "text_id")).alias("least")
+    stay = judged.groupBy("component_id", alone).agg(least).select("least.*")
+    row = F.min(F.struct(*docs.columns)).alias("row")  # of repeated rows always the same one
+    kept = named.join(stay, ["doc_id", "text_id"], "left_semi").groupBy("doc_id", "text_id").agg(row)
+    return kept.select("row.*").unionByName(docs.where("doc_id IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,3 +44,11 @@ def test_odd_rows(spark, folder, odd, nothing):
     for rows in (docs, docs.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
             rows = spark.createDataFrame(stage(spark, rows, folder).collect(), stage(spark, rows, folder).schema)
+
+
+def test_rows_of_one_id_with_unlike_texts(spark, folder):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    rows = [(1, text("a")), (2, text("b")), (2, text("a")), (3, text("b")), (3, text("c")), (3, text("c")), (4, ""), (5, ""), (5, None), (None, text("a"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = Counter((r["doc_id"], r["text"] or "") for r in corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect())
+    assert found == Counter([(1, text("a")), (2, text("b")), (3, text("c")), (4, ""), (5, ""), (None, text("a"))])
