@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard, language_id, lm_scoring, mixing, repair, substring, toxicity, warc
+from . import (
+    decontamination,
+    exact_dedup,
+    jaccard,
+    language_id,
+    lexical_search,
+    lm_scoring,
+    mixing,
+    repair,
+    substring,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +67,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_documents(spark, folder))
 
 
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -66,10 +82,12 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": warc.ORACLE_SQL,
     "op5_decontamination": decontamination.ORACLE_SQL,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
+    "op13_lexical_search": lexical_search.ORACLE_SQL,
 }
