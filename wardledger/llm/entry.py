@@ -14,6 +14,7 @@ from . import (
     lexical_search,
     lm_scoring,
     mixing,
+    packing,
     repair,
     substring,
     toxicity,
@@ -67,6 +68,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_documents(spark, folder))
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, folder))
+
+
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_packing": op11_packing,
     "op13_lexical_search": op13_lexical_search,
 }
 ORACLE_SQL: dict[str, str] = {
