@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from wardledger.llm.kernels import slices
-from wardledger.llm.packing import CAPACITY, END, Plan, _memo, best_plan, configurations, pack, pack_documents, tokenizer_path
+from wardledger.llm.packing import CAPACITY, END, Plan, _memo, best_plan, configurations, id_type, pack, pack_documents, tokenizer_path
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +21,8 @@ def direct(tokenizer, texts):
 
 def test_units_give_the_ids_of_the_whole_text(tokenizer, texts):
     odd = ["", " a  b \n c", "x\n\ny", "I'm 'S we'LL", "é é\ńx", "ΑΣ\nΣ ΟΔΟΣ. İ", "x<|endoftext|>y < |endoftext|> <|startoftext|>\n<|endoftext|>",
-           "a  b  c  d  e\n　f", "日本 語\nです 。", "\x00 \x00\n\x01", "12 345\n6 #? !?", "ﬁ ½\nÅ ﷺ", "a " * 50]
+           "a  b  c  d  e\n　f", "日本 語\nです 。", "\x00 \x00\n\x01", "12 345\n6 #? !?", "ﬁ ½\nÅ ﷺ", "a " * 50,
+           "É. éÀ!x ×.× ÷. a.\u0301b ﬁ.x a..b 3.14 x<|ENDOFTEXT|>. <|END.x a|>b"]
     memo = _memo(tokenizer_path())
     for group in (odd, list(texts.values()), odd[::-1], [o + " tail" for o in odd]):
         found = []
@@ -125,6 +126,6 @@ def test_odd_rows(odd, nothing, tokenizer):
 def test_sequences_hold_the_ids(documents, tokenizer, texts):
     ids = dict(zip(texts, direct(tokenizer, list(texts.values())), strict=True))
     for r in pack(documents).collect():
-        held = np.frombuffer(r["ids"], "<u4").tolist()
+        held = np.frombuffer(r["ids"], id_type()).tolist()
         for p in r["pieces"]:
             assert held[p["offset"] : p["offset"] + p["length"]] == ids[p["doc_id"]][p["start"] : p["start"] + p["length"]]

@@ -21,6 +21,7 @@ before), so its place follows from the plan alone.
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .kernels import runs, slices
-from .shared import stored
+from .shared import shared_path, stored
 from .units import UnitMemo, worker_memo
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +39,7 @@ END = 1
 CAPACITY = 4096
 # What is tried: a large piece takes more than this part of a sequence, and the number of groups.
 TRIALS = ((4, 8), (4, 16), (6, 16), (3, 8), (2, 8), (8, 64))
+SLICE_BYTES = 4 << 20
 POSITIONS = 1 << 44  # above any number of pieces of one length
 TINY = 1e-9
 
@@ -196,7 +198,7 @@ def _memo(path: str) -> UnitMemo:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return UnitMemo([lambda units: [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]])
+    return UnitMemo([lambda units: [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]], lower=True)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -205,23 +207,31 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def id_type(tokenizer: str = TOKENIZER) -> str:
+    """Little-endian type of the ids: 16 bits where the vocabulary allows it, else 32."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(tokenizer_path(tokenizer)).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def encode_pieces(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end: int = END, capacity: int = CAPACITY
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids: ``doc_id``, ``piece``, ``start``, ``length``, ``part``, ``nth``, ``ids``.
 
-    ``ids`` holds little-endian unsigned 32-bit numbers. ``nth`` counts the earlier pieces
-    of the same length of the same task (``part``).
+    ``ids`` holds numbers of ``id_type``. ``nth`` counts the earlier pieces of the same
+    length of the same task (``part``).
     """
+    kind = np.dtype(id_type(tokenizer))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = worker_memo((tokenizer,), lambda: _memo(tokenizer_path(tokenizer)))
         seen = np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
         for batch in batches:
-            for texts in slices(batch.column(1)):
+            for texts in slices(batch.column(1), SLICE_BYTES):
                 ((ids, count),) = memo.encode(texts)
-                out = np.full(ids.size + len(texts), end, "<u4")
+                out = np.full(ids.size + len(texts), end, kind)
                 out[np.arange(ids.size) + np.repeat(np.arange(len(texts)), count)] = ids
                 size = count + 1
                 text, piece = runs(-(-size // capacity))
@@ -233,7 +243,7 @@ def encode_pieces(
                 nth[order] = runs(held)[1]
                 nth += seen[length]
                 seen += held
-                bounds = (4 * np.concatenate([[0], np.cumsum(length)])).astype(np.int64)
+                bounds = (kind.itemsize * np.concatenate([[0], np.cumsum(length)])).astype(np.int64)
                 raw = pa.Array.from_buffers(pa.large_binary(), length.size, [None, pa.py_buffer(bounds), pa.py_buffer(out)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -282,16 +292,21 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """Sequences of ``docs``: ``sequence_id``, ``ids`` (32-bit, little-endian) and ``pieces`` in their order.
+def pack(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end: int = END, capacity: int = CAPACITY
+) -> DataFrame:
+    """Sequences of ``docs``: ``sequence_id``, ``ids`` (numbers of ``id_type``) and ``pieces`` in their order.
 
     Every document, and of a longer one every piece of ``capacity`` ids, lies whole in one
     sequence. A null or empty text is the end id alone. Rows of equal or null ids are
     documents of their own. Other columns are not looked at; an empty table gives no
     sequences. A sequence holds at most ``capacity`` pieces, so no group is unbounded.
     """
-    pieces = stored(encode_pieces(docs, id_col, text_col, capacity=capacity), "packing-pieces")
-    placed = place_pieces(pieces, capacity)
+    spark = docs.sparkSession
+    pieces = encode_pieces(docs, id_col, text_col, tokenizer, end, capacity)
+    path = shared_path(spark, "packing-pieces")
+    pieces.write.option("compression", "zstd").parquet(path)
+    placed = place_pieces(spark.read.schema(pieces.schema).parquet(path), capacity)
     one = F.struct("offset", "doc_id", "piece", "start", "length", "ids")
     grouped = placed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(one)).alias("held"))
     return grouped.select(
@@ -301,20 +316,33 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     )
 
 
-def pieces_of(sequences: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row per piece of the sequences, with the checksum of its ids as they lie there."""
-    rows = sequences.select("sequence_id", "ids", F.explode("pieces").alias("p"))
-    return rows.select(
-        F.col("p.doc_id").alias(id_col),
-        "p.piece",
-        "p.start",
-        "p.length",
-        F.expr("crc32(substring(ids, cast(4 * p.offset + 1 AS int), cast(4 * p.length AS int)))").alias("ids_crc32"),
-        "sequence_id",
-        "p.offset",
-    )
+def pieces_of(sequences: DataFrame, id_col: str = "doc_id", tokenizer: str = TOKENIZER) -> DataFrame:
+    """One row per piece of the sequences, with the checksum of its ids (as 32-bit numbers) as they lie there."""
+    kind = id_type(tokenizer)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column(2)
+            piece, count = held.flatten(), np.diff(held.offsets.to_numpy())
+            begin, length = piece.field("offset").to_numpy(), piece.field("length").to_numpy()
+            crc = np.empty(begin.size, np.int64)
+            at = 0
+            for ids, n in zip(batch.column(1), count.tolist(), strict=True):
+                raw = memoryview(np.frombuffer(ids.as_buffer(), kind).astype("<u4")).cast("B")
+                for i in range(at, at + n):
+                    crc[i] = zlib.crc32(raw[4 * begin[i] : 4 * (begin[i] + length[i])])
+                at += n
+            columns = [piece.field(c) for c in ("doc_id", "piece", "start", "length")]
+            sequence = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), count)))
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(crc), sequence, piece.field("offset")],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+            )
+
+    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
+    return sequences.select("sequence_id", "ids", "pieces").mapInArrow(digest, schema).withColumnRenamed("doc_id", id_col)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Packs ``docs`` into stored sequences and lists their pieces: see ``pack``."""
-    return pieces_of(stored(pack(docs, id_col, text_col), "packed-sequences"), id_col)
+    """Packs ``docs`` into sequences and lists their pieces: see ``pack``."""
+    return pieces_of(pack(docs, id_col, text_col), id_col)

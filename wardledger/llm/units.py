@@ -1,9 +1,9 @@
 """Token ids of texts by way of their distinct units.
 
-A unit goes from one single white-space byte between other characters to the next. None
-of the tokenizers used here joins across such a place, so the ids of a text are those of
-its units in order, and a worker encodes each distinct unit once. Units are compared by
-their bytes (Arrow's dictionary encoding), not by hash.
+A text is cut at every single white-space byte between other characters and between a
+letter and a following mark. None of the tokenizers used here joins across such a place,
+so the ids of a text are those of its units in order, and a worker encodes each distinct
+unit once. Units are compared by their bytes (Arrow's dictionary encoding), not by hash.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from .kernels import Texts
+from .kernels import Texts, lower_table
 
-MEMO = 400_000  # units that a worker remembers
+MEMO = 1_000_000  # units that a worker remembers
 SHORT = 64  # characters of a unit that is remembered
+MARK = np.isin(np.arange(256), list(b".,;:!?"))
 Encoder = Callable[[list[str]], list[list[int]]]
 
 
@@ -27,20 +28,27 @@ def cut_units(texts: Texts) -> np.ndarray:
     """Byte position of each unit. White space beyond ASCII may follow a cut only from the left."""
     data, n = texts.data, texts.data.size
     begins = np.zeros(n + 1, bool)
+    if n > 1:
+        letter = ((data | 0x20) >= 0x61) & ((data | 0x20) <= 0x7A) & (data < 0x80)
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)  # Latin letters with marks
+        begins[1:n] = letter[:-1] & MARK[data[1:]]
     if n > 2:
         space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
         wide = (data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3)  # first byte of other white space
         here = (data[1:-1] == 0x20) | (data[1:-1] == 0x0A)
-        begins[1 : n - 1] = here & ~space[:-2] & ~space[2:] & ~wide[2:]
+        begins[1 : n - 1] |= here & ~space[:-2] & ~space[2:] & ~wide[2:]
     begins[texts.offsets[:-1]] = True
     return np.flatnonzero(begins[:n])
 
 
 class UnitMemo:
-    """Ids of units under one or more encoders (lanes)."""
+    """Ids of units under one or more encoders (lanes).
 
-    def __init__(self, encoders: list[Encoder], limit: int = MEMO) -> None:
-        self.encoders, self.limit = encoders, limit
+    ``lower``: the encoders do not tell A-Z from a-z, but in the names of special tokens.
+    """
+
+    def __init__(self, encoders: list[Encoder], limit: int = MEMO, lower: bool = False) -> None:
+        self.encoders, self.limit, self.lower = encoders, limit, lower
         self.number: dict[str, int] = {}
         self.lanes = [(np.zeros(0, np.int32), np.zeros(1, np.int64)) for _ in encoders]
 
@@ -75,7 +83,10 @@ class UnitMemo:
         of[-1] = start.size
         bounds = np.append(start, texts.data.size).astype(np.int32 if texts.data.size < 1 << 31 else np.int64)
         kind = pa.string() if bounds.dtype == np.int32 else pa.large_string()
-        units = pa.Array.from_buffers(kind, start.size, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(texts.data))])
+        data = np.ascontiguousarray(texts.data)
+        if self.lower and not ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any():  # no "<|"
+            data = lower_table()[data]
+        units = pa.Array.from_buffers(kind, start.size, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
         coded = units.dictionary_encode()
         number, lanes = self._numbers(coded.dictionary.to_pylist())
         number = number[coded.indices.to_numpy()] if start.size else np.zeros(0, np.int64)
