@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    alignment,
     decontamination,
     exact_dedup,
     jaccard,
@@ -72,6 +73,10 @@ def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, folder))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(_documents(spark, folder))
+
+
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
     "op11_packing": op11_packing,
+    "op12_token_alignment": op12_token_alignment,
     "op13_lexical_search": op13_lexical_search,
 }
 ORACLE_SQL: dict[str, str] = {
