@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardledger.functions.text import filled, nested_to_json, timestamps_to_text
-from wardledger.operators.clean import clean_text, current_state, interval_slice, latest_per_key, typed_projection
+from wardledger.operators.clean import clean_text, current_state, interval_slice, latest_per_key, lost_winners, merge_latest, typed_projection
 from wardledger.sources.schemas import (
     bronze_fields,
     bronze_schema,
@@ -79,6 +79,34 @@ def test_latest_per_key_hot_key(spark):
     assert got == expected
 
 
+def history(spark, rows_):
+    return spark.createDataFrame(rows_, "name string, m string, v int").selectExpr("name", "cast(m AS timestamp_ntz) AS modified", "v")
+
+
+def test_merged_state_equals_the_full_ranking(spark):
+    """Intervals are loaded in order, again, late and emptied; the state follows from the former one."""
+    days = {
+        1: [("a", "2026-07-01 01:00:00", 1), ("b", "2026-07-01 02:00:00", 2), (None, "2026-07-01 03:00:00", 3), ("e", "2026-07-01", 9)],
+        2: [("a", "2026-07-02 01:00:00", 4), ("c", "2026-07-02 02:00:00", 5), ("e", "2026-07-02", 8)],
+        3: [("a", "2026-07-03 01:00:00", 6), (None, "2026-07-03 00:00:00", 7)],
+    }
+    empty = history(spark, [("x", "2026-07-01", 0)]).where("false")
+    state, held = empty, {}
+    steps = [(1, days[1]), (3, days[3]), (2, days[2]), (3, []), (2, [("a", "2026-07-02 00:00:00", 40)]), (1, days[1][:1]), (3, days[3])]
+    for day, fresh_rows in steps:
+        held[day] = fresh_rows
+        fresh = history(spark, fresh_rows) if fresh_rows else empty
+        stored = [r for rows_ in held.values() for r in rows_]
+        every = history(spark, stored)
+        span = (f"2026-07-0{day}", f"2026-07-0{day + 1}")
+        lost = lost_winners(state, fresh, *span)
+        state = spark.createDataFrame(merge_latest(state, fresh, *span, lost, every).collect(), state.schema)
+        assert sorted(map(str, state.collect())) == sorted(map(str, latest_per_key(every).collect())), (day, fresh_rows)
+        if lost.isEmpty():
+            again = merge_latest(state, fresh, *span)
+            assert sorted(map(str, again.collect())) == sorted(map(str, state.collect()))
+
+
 def test_interval_is_half_open(spark):
     df = spark.sql(
         "SELECT * FROM VALUES (1, timestamp_ntz'2026-07-02 00:00:00'), (2, timestamp_ntz'2026-07-02 23:59:59.999'), "

@@ -160,14 +160,33 @@ def test_repeated_keys_are_kept_and_trailing_text_is_not(spark):
         ("comma", '{"resourceType":"Encounter"},{"resourceType":"Encounter"}'),
         ("bracket", '{"resourceType":"Encounter"}] x'),
         ("blank", " "),
+        ("mark", '{"resourceType":"Encounter"},"~end of text~"] junk'),
+        ("held", '{"resourceType":"Encounter","id":"~end of text~"}'),
     ]
     df = spark.createDataFrame(rows, "name string, payload_json string").selectExpr("*", "timestamp_ntz'2026-07-01' AS modified")
     view = View("Encounter", (("id", "id"),))
     found = flatten(df, view, {"name": "name"}).collect()
-    assert [(r["name"], r["id"]) for r in found] == [("last", "b")]
-    assert flatten_rejects(df, RESOURCES["encounter"]).first()["unreadable"] == 4
+    assert [(r["name"], r["id"]) for r in found] == [("last", "b"), ("held", "~end of text~")]
+    assert flatten_rejects(df, RESOURCES["encounter"]).first()["unreadable"] == 5
 
 
 def test_whole_numbers_are_long(spark):
     number = coerce("'3000000000'", "INT")
     assert spark.sql(f"SELECT {number} AS n").first()["n"] == 3_000_000_000
+
+
+@pytest.mark.parametrize("name", ["encounter", "observation"])
+def test_tagged_rows_are_the_flat_rows_and_the_rest(spark, folder, name):
+    from wardledger.plans.derived_clinic import DerivedClinic
+
+    bronze = DerivedClinic(spark, folder).bronze(RESOURCES[name].table)
+    tagged = flatten_resource(bronze, name, tagged=True)
+    flat = flatten_resource(bronze, name)
+    good = tagged.where("_reject = 'none'").drop("_reject")
+    assert good.dtypes == flat.dtypes
+    assert sorted(map(str, good.collect())) == sorted(map(str, flat.collect()))
+    left_out = tagged.where("_reject <> 'none'")
+    missing = bronze.where("payload_json IS NULL").count()
+    assert left_out.where("_reject = 'missing'").count() == missing > 0
+    assert left_out.count() == bronze.count() - flat.select("frappe_doc_name").distinct().count()
+    assert tagged._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1

@@ -26,7 +26,7 @@ def test_shipped_registry(spark):
     rows = {r["rule_id"]: r for r in rules.collect()}
     assert len(rows) == 9
     assert [k for k, r in rows.items() if r["status"] == "BLOCKED"] == ["CTL-IDENT-PAT-COMPLETE-001"]
-    assert '"uid"' in rows["CTL-IDENT-PAT-FORMAT-001"]["description"]
+    assert "Patient.uid" in rows["CTL-IDENT-PAT-FORMAT-001"]["description"]
     assert rows["CTL-TEMPORAL-ENC-001"]["authority_name"] is None
     assert rows["CTL-TERM-ICD10-001"]["effective_to"] is None
     assert rows["CTL-TERM-ICD10-001"]["standard_version"] == "2010"

@@ -57,5 +57,5 @@ def test_batch_run_equals_lazy_chain(spark, folder, tmp_path):
     assert {r["finding_id"] for r in newest.where("entity_type <> 'Patient'").collect()} == {r[0] for r in stored}
 
     job.export(f"{tmp_path}/out")
-    assert spark.read.csv(f"{tmp_path}/out/gold/audit_rule.csv", header=True, escape='"').count() == 209
+    assert spark.read.csv(f"{tmp_path}/out/gold/audit_rule.csv", header=True, escape='"').count() == 209  # rules of the shipped registry and of the part table
     assert spark.read.csv(f"{tmp_path}/out/bronze/tabitem.csv", header=True, escape='"').count() == 5

@@ -1,9 +1,19 @@
+import re
+
 import pytest
 
 from wardledger.layout import Layout
 from wardledger.operators.profile import health, list_tables, publish, row_counts
 from wardledger.sources.readers import day_of, read_source
-from wardledger.sources.sinks import export_csv, export_sample, overwrite_interval, overwrite_table, read_interval
+from wardledger.sources import sinks
+from wardledger.sources.sinks import (
+    export_csv,
+    export_sample,
+    overwrite_interval,
+    overwrite_table,
+    read_interval,
+    stored_table,
+)
 
 
 def versions(spark, *rows):
@@ -61,8 +71,11 @@ def test_interval_read_prunes_partitions(spark, layout):
     table = layout.table("bronze", "pruned")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     overwrite_interval(versions(spark, ("a", "2026-07-01"), ("b", "2026-07-02")), table, "2026-07-01", "2026-07-03")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = read_interval(spark, table, "2026-07-02", "2026-07-03")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(load_date" in plan
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = re.search(r"PartitionFilters: \[(.*?)\]", plan)[1]
+    assert "load_date" in filters and "2026-07-02" in filters
 
 
 def test_read_source_parquet(spark, tmp_path):
@@ -133,4 +146,83 @@ def test_a_late_row_is_not_lost(spark, layout, tmp_path):
     overwrite_interval(read_once, table, "2026-07-01", "2026-07-04")
     load()
     assert {r["name"] for r in spark.table(table).collect()} == {"a", "b", "c"}
-    assert not spark.catalog.tableExists(f"{table}__staging")
+
+
+def interrupted(monkeypatch, at):
+    """A run that ends with an error at a step of ``sinks``."""
+    def fail(*_, **__):
+        raise RuntimeError("ended here")
+
+    monkeypatch.setattr(sinks, at, fail)
+
+
+def test_a_reader_sees_old_rows_or_new_ones(spark, layout, monkeypatch):
+    table = layout.table("bronze", "switched")
+    old, new = versions(spark, ("a", "2026-07-01"), ("b", "2026-07-02")), versions(spark, ("c", "2026-07-02 01:00:00"))
+    overwrite_interval(old, table, "2026-07-01", "2026-07-04")
+    seen, before = [], spark.table(table)
+    real = sinks._switch
+
+    def watched(*args, **noted):
+        seen.append(names(spark.table(table)))  # all is written, nothing is switched
+        real(*args, **noted)
+
+    monkeypatch.setattr(sinks, "_switch", watched)
+    overwrite_interval(new, table, "2026-07-02", "2026-07-04")
+    assert seen == [["a", "b"]] and names(spark.table(table)) == ["a", "c"]
+    assert names(before) == ["a", "b"]  # what was opened earlier can still be read
+
+
+def test_a_failed_run_leaves_nothing_to_see(spark, layout, monkeypatch):
+    days, whole = layout.table("bronze", "fail_days"), layout.table("bronze", "fail_whole")
+    rows = versions(spark, ("a", "2026-07-01"), ("b", "2026-07-02"))
+    overwrite_interval(rows, days, "2026-07-01", "2026-07-03")
+    overwrite_table(rows, whole)
+    tables = list_tables(spark, "bronze__t")
+    with monkeypatch.context() as broken:
+        interrupted(broken, "_switch")
+        for write in (
+            lambda: overwrite_interval(versions(spark, ("x", "2026-07-01"), ("y", "2026-07-03")), days, "2026-07-01", "2026-07-04"),
+            lambda: overwrite_table(versions(spark, ("x", "2026-07-01")), whole),
+        ):
+            with pytest.raises(RuntimeError):
+                write()
+    assert names(spark.table(days)) == names(spark.table(whole)) == ["a", "b"]
+    assert list_tables(spark, "bronze__t") == tables
+    # The rows of the failed run do not come back with the next one.
+    overwrite_interval(versions(spark, ("z", "2026-07-02")), days, "2026-07-02", "2026-07-03")
+    assert names(spark.table(days)) == ["a", "z"]
+    overwrite_table(rows.limit(1), whole)
+    overwrite_table(rows.limit(1), whole)
+    builds = [t for t in list_tables(spark, "bronze__t__store") if t.startswith("fail_whole_")]
+    assert len(builds) == 2  # this one and the one before
+
+
+def test_old_builds_are_dropped(spark, layout):
+    table = layout.table("bronze", "cleaned")
+    for i in range(4):
+        overwrite_interval(versions(spark, (f"r{i}", "2026-07-01"), (f"s{i}", "2026-07-02")), table, "2026-07-01", "2026-07-03")
+    assert names(spark.table(table)) == ["r3", "s3"]
+    held = [r[0] for r in spark.sql("SHOW PARTITIONS bronze__t__store.cleaned_days").collect()]
+    assert sorted(held) == [f"load_date=2026-07-0{d}/_build={b}" for d in (1, 2) for b in (3, 4)]
+
+
+def test_rebuild_may_read_what_it_replaces(spark, layout):
+    table = layout.table("silver", "grows")
+    overwrite_table(versions(spark, (" a ", "2026-07-01")), table, shown=["trim(name) AS name", "modified"])
+    for _ in range(2):
+        held = stored_table(spark, table)
+        overwrite_table(held.union(held), table, shown=["trim(name) AS name", "modified"])
+    assert names(spark.table(table)) == ["a"] * 4 and names(stored_table(spark, table)) == [" a "] * 4
+
+
+def test_buckets_and_partitions_are_pruned(spark, layout):
+    table = layout.table("gold", "sliced")
+    overwrite_table(spark.range(500).selectExpr("cast(id AS string) AS id", "id % 3 AS part"), table, ["part"], (8, "id"))
+    # Pruned with or without this setting, but shown in the plan only with it.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    plan = spark.table(table).where("id = '77'")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 8" in plan and spark.table(table).where("id = '77'").count() == 1
+    plan = spark.table(table).where("part = 1")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*part", plan) and spark.table(table).where("part = 1").count() == 167

@@ -43,13 +43,15 @@ def strict_json(text: Column | str) -> Column:
 
     The parser ignores what follows a value. Inside a list with a mark behind it,
     such a text leaves no list of two, so it is refused at the price of one parse.
+    A text that holds the mark gets its own hash for a mark.
     """
     text = F.col(text) if isinstance(text, str) else text
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_OF_JSON}"]')))
+    mark = F.when(F.contains(text, F.lit(END_OF_JSON)), F.md5(text)).otherwise(END_OF_JSON)
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
     pair = F.array(F.try_variant_get(listed, "$", "array<variant>"))
     whole = F.transform(
         pair,
-        lambda p: F.when((F.size(p) == 2) & (F.try_variant_get(p[1], "$", "string") == END_OF_JSON), p[0]),
+        lambda p: F.when((F.size(p) == 2) & (F.try_variant_get(p[1], "$", "string") == mark), p[0]),
     )
     return F.get(whole, 0)
 

@@ -22,16 +22,21 @@ def typed_projection(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def clean_text(df: DataFrame, drop: tuple[str, ...] = (), keep_raw: tuple[str, ...] = ()) -> DataFrame:
-    """Blank-to-null trim of every text column in one projection."""
+def clean_columns(schema: T.StructType, drop: tuple[str, ...] = (), keep_raw: tuple[str, ...] = ()) -> list[str]:
+    """SQL text of the columns of ``schema``, with a blank-to-null trim of every text column."""
     out = []
-    for f in df.schema.fields:
+    for f in schema.fields:
         if f.name in drop:
             continue
         name = f"`{f.name}`"
         is_text = isinstance(f.dataType, T.StringType) and f.name not in keep_raw
         out.append(f"{blank_to_null(name)} AS {name}" if is_text else name)
-    return df.selectExpr(*out)
+    return out
+
+
+def clean_text(df: DataFrame, drop: tuple[str, ...] = (), keep_raw: tuple[str, ...] = ()) -> DataFrame:
+    """Blank-to-null trim of every text column in one projection."""
+    return df.selectExpr(*clean_columns(df.schema, drop, keep_raw))
 
 
 def latest_per_key(df: DataFrame, key: str = "name", order_by: str = "modified") -> DataFrame:
@@ -47,6 +52,38 @@ def latest_per_key(df: DataFrame, key: str = "name", order_by: str = "modified")
     return df.selectExpr("*", rank).where("_rank = 1").drop("_rank")
 
 
+def lost_winners(former: DataFrame, fresh: DataFrame, start: datetime | str, end: datetime | str, key: str = "name", order_by: str = "modified") -> DataFrame:
+    """Keys (column ``_lost``) whose winner of ``[start, end)`` was replaced and that no row of ``fresh`` has."""
+    replaced = interval_slice(former, start, end, order_by).select(F.col(key).alias("_lost"))
+    present = fresh.select(F.col(key).alias("_present")).distinct()
+    return replaced.join(present, F.col("_lost").eqNullSafe(F.col("_present")), "left_anti")
+
+
+def merge_latest(
+    former: DataFrame,
+    fresh: DataFrame,
+    start: datetime | str,
+    end: datetime | str,
+    lost: DataFrame | None = None,
+    history: DataFrame | None = None,
+    key: str = "name",
+    order_by: str = "modified",
+) -> DataFrame:
+    """Newest row of each key after the rows of ``[start, end)`` were replaced by ``fresh``.
+
+    ``former`` holds the newest rows before. Those of the interval no longer count: they
+    are among ``fresh`` again, or their key fell back to an older row. Only for keys that
+    ``fresh`` does not have either (``lost``) must ``history`` be looked at; later rows than
+    a winner do not exist. A null key is one key.
+    """
+    outside = ~((F.col(order_by) >= ntz(start)) & (F.col(order_by) < ntz(end)))
+    rows = former.where(F.coalesce(outside, F.lit(True))).unionByName(fresh.select(former.columns))
+    if lost is not None and history is not None:
+        older = history.where(F.col(order_by) < ntz(start)).select(former.columns)
+        rows = rows.unionByName(older.join(lost, F.col(key).eqNullSafe(F.col("_lost")), "left_semi"))
+    return latest_per_key(rows, key, order_by)
+
+
 def current_state(df: DataFrame) -> DataFrame:
     """Newest version of each record (by its raw name), cleaned."""
     return clean_text(latest_per_key(df))

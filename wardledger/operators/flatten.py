@@ -3,13 +3,13 @@
 The payload is parsed once per row. Elements come out of ``posexplode``, also
 for a payload that is one object: Spark does not move a predicate below a
 generator, so the resource-type guard cannot drag a second parse to the scan.
-A missing or unreadable payload is a NULL document, which the guard drops and
-``flatten_rejects`` counts.
+A missing or unreadable payload is a NULL document, which the guard drops. With
+``tagged`` such a payload leaves a row that says why, from the same parse.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fhirpath import coerce, is_element, members, text_at, value_at
@@ -18,6 +18,26 @@ from ..sources.resources import RESOURCES, Resource
 from ..sources.views import VIEWS, View
 
 
+REJECT, ACCEPTED = "_reject", "none"
+REASONS = ("missing", "unreadable", "foreign")
+
+
+def _tagged_elements(df: DataFrame, carried: list[str], payload: str, is_array: bool, resource: str) -> DataFrame:
+    """Elements of the resource, or one row with the reason where a payload has none."""
+    document = F.col("_document")
+    parsed = df.select(*carried, F.col(payload).isNull().alias("_missing"), strict_json(payload).alias("_document"))
+    resources = F.try_variant_get(document, "$", "array<variant>") if is_array else F.array(document)
+    listed = parsed.select(*carried, "_missing", resources.alias("_resources"))
+    placed = F.transform("_resources", lambda e, i: F.struct(i.alias("_position"), e.alias("_node")))
+    own = F.filter(placed, lambda x: F.try_variant_get(x["_node"], "$.resourceType", "string") == resource)
+    unreadable = F.col("_resources").isNull() if is_array else F.get("_resources", 0).isNull()
+    reason = (
+        F.when(F.col("_missing"), "missing").when(unreadable, "unreadable").when(F.size("_own") == 0, "foreign").otherwise(ACCEPTED)
+    )
+    kept = listed.select(*carried, "_missing", "_resources", own.alias("_own"))
+    return kept.select(*carried, reason.alias(REJECT), F.inline_outer("_own"))
+
+
 def _elements(df: DataFrame, carried: list[str], payload: str, is_array: bool) -> DataFrame:
     document = F.col("_document")
     parsed = df.select(*carried, strict_json(payload).alias("_document"))
@@ -34,18 +54,23 @@ def flatten(
     index_column: str | None = None,
     types: dict[str, str] | None = None,
     renames: dict[str, str] | None = None,
+    tagged: bool = False,
 ) -> DataFrame:
     """One row per resource (and per ``forEach`` element) of ``view``.
 
     Rows without payload, unreadable payloads and resources of another type
-    yield nothing. ``index_column`` holds the 0-based position in the original
+    yield nothing. ``tagged`` (not with ``forEach``) adds the column ``_reject`` and, for a
+    payload without any resource of the view, one row that holds the reason there. ``index_column`` holds the 0-based position in the original
     list: of the resource for a list payload, else of the ``forEach`` element.
     A view column wins over a passthrough column of the same name.
     """
     types, renames = types or {}, renames or {}
     carried = list(dict.fromkeys(passthrough.values()))
-    rows = _elements(df, carried, payload, is_array)
-    rows = rows.where(F.expr(text_at("_node", "$.resourceType")) == view.resource)
+    if tagged:
+        rows = _tagged_elements(df, carried, payload, is_array, view.resource)
+    else:
+        rows = _elements(df, carried, payload, is_array)
+        rows = rows.where(F.expr(text_at("_node", "$.resourceType")) == view.resource)
     position = "_position"
     if view.for_each:
         rows = rows.select(
@@ -60,11 +85,13 @@ def flatten(
             out[target] = coerce(value_at(node, path), types.get(target, "STRING"))
     if index_column:
         out[index_column] = position
+    if tagged:
+        out[REJECT] = REJECT
     return rows.selectExpr(*[f"{expression} AS `{name}`" for name, expression in out.items()])
 
 
-def flatten_resource(bronze: DataFrame, resource: Resource | str) -> DataFrame:
-    """Silver table of one registered resource."""
+def flatten_resource(bronze: DataFrame, resource: Resource | str, tagged: bool = False) -> DataFrame:
+    """Silver table of one registered resource; ``tagged``: with the payloads that it leaves out."""
     spec = RESOURCES[resource] if isinstance(resource, str) else resource
     return flatten(
         bronze,
@@ -74,6 +101,7 @@ def flatten_resource(bronze: DataFrame, resource: Resource | str) -> DataFrame:
         index_column=spec.index_column,
         types=spec.types,
         renames=spec.renames,
+        tagged=tagged,
     )
 
 
@@ -87,20 +115,18 @@ def flatten_children(bronze: DataFrame, view_name: str) -> DataFrame:
     )
 
 
-def flatten_rejects(bronze: DataFrame, resource: Resource | str, payload: str = "payload_json") -> DataFrame:
-    """Counts of the payloads that ``flatten_resource`` leaves out, by reason."""
+def _by_reason() -> list[Column]:
+    return [F.count_if(F.col(REJECT) == reason).alias(reason) for reason in REASONS]
+
+
+def flatten_rejects(bronze: DataFrame, resource: Resource | str, by: tuple[str, ...] = (), payload: str = "payload_json") -> DataFrame:
+    """Counts of the payloads that ``flatten_resource`` leaves out, by reason (and by the columns ``by``)."""
     spec = RESOURCES[resource] if isinstance(resource, str) else resource
-    own = f"coalesce({text_at('{node}', '$.resourceType')} = '{spec.view.resource}', false)"
-    if spec.is_array:
-        listed = "try_variant_get(_document, '$', 'array<variant>')"
-        unreadable = f"{listed} IS NULL"
-        foreign = f"NOT exists({listed}, e -> {own.format(node='e')})"
-    else:
-        unreadable = "_document IS NULL"
-        foreign = f"_document IS NOT NULL AND NOT {own.format(node='_document')}"
-    parsed = bronze.select(F.col(payload), strict_json(payload).alias("_document"))
-    return parsed.agg(
-        F.count_if(F.col(payload).isNull()).alias("missing"),
-        F.count_if(F.expr(f"{payload} IS NOT NULL AND {unreadable}")).alias("unreadable"),
-        F.count_if(F.expr(foreign)).alias("foreign"),
-    )
+    rows = _tagged_elements(bronze, list(by), payload, spec.is_array, spec.view.resource)
+    return rows.groupBy(*by).agg(*_by_reason())
+
+
+def rejects_sql(tagged: str, name: str, day: str) -> str:
+    """SQL text: the counts of a stored tagged table by ``day``; days without a reject have no row."""
+    counts = ", ".join(f"count_if({REJECT} = '{reason}') AS {reason}" for reason in REASONS)
+    return f"SELECT '{name}' AS table_name, {counts}, {day} FROM {tagged} WHERE {REJECT} <> '{ACCEPTED}' GROUP BY {day}"

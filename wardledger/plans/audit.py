@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.clean import latest_per_key, ntz
@@ -23,34 +23,58 @@ RUN_STATUS = "SUCCESS"
 # ---- end of fixed values ----------------------------------------------------
 
 
+def day_totals(rows: DataFrame, name: str, day: str | None = None) -> DataFrame:
+    """``table_name``, ``row_count`` and ``newest`` of some rows by day of change (``day``: of all of them, without a day)."""
+    counts = [F.count("*").alias("row_count"), F.max("modified").alias("newest")]
+    if day is not None:
+        return rows.agg(*counts).select(F.lit(name).alias("table_name"), "row_count", "newest")
+    by_day = rows.groupBy(F.to_date("modified").alias("load_date")).agg(*counts)
+    return by_day.select(F.lit(name).alias("table_name"), "row_count", "newest", "load_date")
+
+
+def finding_totals(findings: DataFrame) -> DataFrame:
+    """Findings by what the dashboard counts: a few rows a rule, however many findings there are."""
+    return findings.groupBy("rule_id", "audit_domain", "severity", "status").agg(
+        F.count("*").alias("finding_count"),
+        F.min("detected_at").alias("first_detected"),
+        F.max("detected_at").alias("last_detected"),
+    )
+
+
 def audit_run(
     tables: Mapping[str, DataFrame], rules: DataFrame, findings: DataFrame, as_of: str
 ) -> DataFrame:
-    """One row describing a run; equal data and rules give the equal ``audit_run_id``.
+    """One row describing a run; equal data and rules give the equal ``audit_run_id``."""
+    data = [day_totals(tables[name], name, "whole") for name in SCANNED]
+    return run_from_totals(reduce(DataFrame.unionAll, data), rules, finding_totals(findings), as_of)
+
 
-    Data rows, active rules and findings are laid side by side in one narrow
-    union and reduced by a single aggregate: no cross join, no second scan.
+def run_from_totals(data: DataFrame, rules: DataFrame, found: DataFrame, as_of: str) -> DataFrame:
+    """The run from the totals of its data and findings: no row of either is read again.
+
+    Totals and active rules are laid side by side in one narrow union and reduced by a
+    single aggregate.
     """
-    no_stamp, no_int = F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("int")
-    data = [
-        tables[name].select(
-            F.col("modified"), no_int.alias("version"), no_stamp.alias("detected_at"), F.lit("data").alias("kind")
-        )
-        for name in SCANNED
-    ]
-    active = rules.where(F.col("status") == "ACTIVE").select(
-        no_stamp.alias("modified"), "version", no_stamp.alias("detected_at"), F.lit("rule").alias("kind")
-    )
-    found = findings.select(
-        no_stamp.alias("modified"), no_int.alias("version"), "detected_at", F.lit("finding").alias("kind")
-    )
-    totals = reduce(DataFrame.unionAll, [*data, active, found]).agg(
+    no_stamp, no_int, no_count = F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("int"), F.lit(None).cast("bigint")
+
+    def row(df: DataFrame, **given: Column | str) -> DataFrame:
+        empty = {"modified": no_stamp, "version": no_int, "first": no_stamp, "last": no_stamp, "scanned": no_count, "found": no_count}
+        return df.select(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in {**empty, **given}.items()])
+
+    totals = reduce(
+        DataFrame.unionAll,
+        [
+            row(data, modified="newest", scanned="row_count"),
+            row(rules.where(F.col("status") == "ACTIVE"), version="version"),
+            row(found, first="first_detected", last="last_detected", found="finding_count"),
+        ],
+    ).agg(
         F.max("modified").cast("string").alias("data_snapshot"),
         F.max("version").cast("string").alias("rule_set_version"),
-        F.min("detected_at").alias("first_detected"),
-        F.max("detected_at").alias("last_detected"),
-        F.count_if(F.col("kind") == "data").alias("records_scanned"),
-        F.count_if(F.col("kind") == "finding").alias("findings_created"),
+        F.min("first").alias("first_detected"),
+        F.max("last").alias("last_detected"),
+        F.coalesce(F.sum("scanned"), F.lit(0)).alias("records_scanned"),
+        F.coalesce(F.sum("found"), F.lit(0)).alias("findings_created"),
     )
     return totals.select(
         F.md5(

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..layout import Layout
+from ..operators.clean import ntz
 from ..operators.profile import health
+from .audit import finding_totals
 
 MAX_LIMIT = 200
 
@@ -46,7 +49,7 @@ SPECS: dict[str, Spec] = {
     "findings_by_domain": Spec(),
     "top_recurring_rules": Spec(defaults={"limit": 10}),
     "list_findings": Spec(
-        nullable=("audit_domain", "rule_id", "severity", "status"), defaults={"limit": 25, "offset": 0}
+        nullable=("audit_domain", "rule_id", "severity", "status", "after_detected_at", "after_finding_id"), defaults={"limit": 25, "offset": 0}
     ),
     "finding_detail": Spec(required=("finding_id",)),
     "list_audit_rules": Spec(),
@@ -70,22 +73,30 @@ def checked(action: str, params: dict[str, Any]) -> dict[str, Any]:
             raise ValueError(f"{name} must be an integer")
         if values.get(name, 0) < 0:
             raise ValueError(f"{name} must not be negative")
+    if (values.get("after_detected_at") is None) != (values.get("after_finding_id") is None):
+        raise ValueError("after_detected_at and after_finding_id go together")
     if values.get("limit", 0) > MAX_LIMIT:
         raise ValueError(f"limit must not exceed {MAX_LIMIT}")
     return values
 
 
 class Queries:
-    """Queries over ``audit_rule``, ``audit_finding`` and ``audit_run``."""
+    """Queries over ``audit_rule``, ``audit_finding`` and ``audit_run``.
+
+    ``totals`` (see ``finding_totals``) may be stored: then no finding is read to count them.
+    """
 
     def __init__(
-        self, rule: DataFrame, finding: DataFrame | None = None, run: DataFrame | None = None
+        self, rule: DataFrame, finding: DataFrame | None = None, run: DataFrame | None = None, totals: DataFrame | None = None
     ) -> None:
         self.rule, self.finding, self.run_row = rule, finding, run
+        self.totals = finding_totals(finding) if totals is None and finding is not None else totals
 
     @classmethod
     def over(cls, spark: SparkSession, layout: Layout) -> "Queries":
-        return cls(*[spark.table(layout.table("gold", t)) for t in ("audit_rule", "audit_finding", "audit_run")])
+        """The stored gold tables of an environment."""
+        names = [layout.table("gold", t) for t in ("audit_rule", "audit_finding", "audit_run")]
+        return cls(*[spark.table(t) for t in [*names, layout.stored("gold", "finding_totals")]])
 
     def run(self, action: str, **params: Any) -> DataFrame:
         """Validate the parameters and build the query."""
@@ -111,30 +122,35 @@ class Queries:
 
     def findings_summary(self) -> DataFrame:
         status, severity = F.col("status"), F.col("severity")
-        return self.finding.agg(
-            F.count("*").alias("total"),
-            F.count_if(status == "OPEN").alias("open"),
-            F.count_if(status == "UNDER_REVIEW").alias("under_review"),
-            F.count_if(status == "RESOLVED").alias("resolved"),
-            F.count_if(severity == "HIGH").alias("high_severity"),
-            F.count_if(severity == "MEDIUM").alias("medium_severity"),
-            F.count_if(severity == "LOW").alias("low_severity"),
+
+        def counted(wanted: Column, name: str) -> Column:
+            return F.coalesce(F.sum(F.when(wanted, F.col("finding_count"))), F.lit(0)).alias(name)
+
+        return self.totals.agg(
+            counted(F.lit(True), "total"),
+            counted(status == "OPEN", "open"),
+            counted(status == "UNDER_REVIEW", "under_review"),
+            counted(status == "RESOLVED", "resolved"),
+            counted(severity == "HIGH", "high_severity"),
+            counted(severity == "MEDIUM", "medium_severity"),
+            counted(severity == "LOW", "low_severity"),
         )
 
     def findings_by_domain(self) -> DataFrame:
+        count = F.col("finding_count")
         return (
-            self.finding.groupBy("audit_domain")
+            self.totals.groupBy("audit_domain")
             .agg(
-                F.count("*").alias("total_findings"),
-                F.count_if(F.col("status") == "OPEN").alias("open_findings"),
-                F.count_if(F.col("severity") == "HIGH").alias("high_severity_findings"),
+                F.sum(count).alias("total_findings"),
+                F.sum(F.when(F.col("status") == "OPEN", count).otherwise(0)).alias("open_findings"),
+                F.sum(F.when(F.col("severity") == "HIGH", count).otherwise(0)).alias("high_severity_findings"),
             )
             .orderBy(F.col("total_findings").desc(), F.col("audit_domain").asc_nulls_last())
         )
 
     def top_recurring_rules(self, limit: int = 10) -> DataFrame:
         """Counted per rule before the registry is joined, so the join is tiny."""
-        counts = self.finding.groupBy("rule_id").agg(F.count("*").alias("finding_count"))
+        counts = self.totals.groupBy("rule_id").agg(F.sum("finding_count").alias("finding_count"))
         named = self.rule.select("rule_id", "rule_name", "severity")
         return (
             counts.join(named, "rule_id", "left")
@@ -151,12 +167,24 @@ class Queries:
         status: str | None = None,
         limit: int = 25,
         offset: int = 0,
+        after_detected_at: datetime | str | None = None,
+        after_finding_id: str | None = None,
     ) -> DataFrame:
+        """A page of findings, newest first and then by id.
+
+        ``after_detected_at`` and ``after_finding_id`` are those of the last finding of the
+        page before: what lies before is filtered out, not sorted, however deep the page
+        is. ``offset`` counts from the first finding (or from there).
+        """
         wanted = {"audit_domain": audit_domain, "rule_id": rule_id, "severity": severity, "status": status}
         found = self.finding.select(*LIST_COLUMNS)
         for name, value in wanted.items():
             if value is not None:
                 found = found.where(F.col(name) == value)
+        if after_finding_id is not None:
+            at = ntz(after_detected_at)
+            same = (F.col("detected_at") == at) & (F.col("finding_id") > after_finding_id)
+            found = found.where((F.col("detected_at") < at) | same)
         order = [F.col("detected_at").desc(), F.col("finding_id").asc_nulls_last()]
         return found.orderBy(*order).offset(offset).limit(limit)
 

@@ -9,14 +9,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from ..layout import Layout
-from ..operators.clean import clean_text, current_state
-from ..operators.flatten import flatten_rejects, flatten_resource
+from ..operators.clean import clean_columns, clean_text, latest_per_key, lost_winners, merge_latest
+from ..operators.flatten import ACCEPTED, REJECT, flatten_resource, rejects_sql
 from ..operators.profile import FLAT_SUFFIX, list_tables, row_counts
 from ..operators.responses import parse_responses
 from ..operators.rules import ENCOUNTER_TABLE, evaluate, rules
 from ..session import tune
 from ..sources.readers import day_of, load_bronze
-from ..sources.resources import RESOURCES
+from ..sources.resources import RESOURCES, Resource
 from ..sources.schemas import MASTER_TABLES, bronze_tables
 from ..sources.sinks import (
     LOAD_DATE,
@@ -26,10 +26,14 @@ from ..sources.sinks import (
     overwrite_table,
     publish_view,
     read_interval,
+    stored_table,
 )
-from .audit import SCANNED, audit_run, newest_versions
+from .audit import SCANNED, audit_run, day_totals, finding_totals, newest_versions, run_from_totals
 
 Day = datetime | date | str
+# What the dashboard filters on are the partitions; a finding is found by its bucket.
+FINDING_PARTITIONS = ("audit_domain", "severity", "status", "rule_id")
+FINDING_BUCKETS = 8
 PARENT_DROPS = ("api_response", "payload_json", "_user_tags", "_comments", "_assign", "_liked_by")
 
 
@@ -51,29 +55,57 @@ class Medallion:
             typed = load_bronze(read(name), name)
             overwrite_interval(typed, self.layout.table("bronze", name), start, end)
 
+    def load_code_lists(self, code_lists: Mapping[str, DataFrame]) -> None:
+        for name, rows in code_lists.items():
+            overwrite_table(rows, self.layout.table("bronze", name))
+
     # ---- silver -------------------------------------------------------------
+    def merge_master(self, name: str, start: Day, end: Day) -> None:
+        """Current state of a master table from its former state and the rows of the interval.
+
+        The former rows are kept as they came, so names are compared raw; the view shows
+        them cleaned. History is read only where a replaced interval took away the newest
+        row of a record.
+        """
+        table, bronze = self.layout.table("silver", name), self.layout.table("bronze", name)
+        fresh, former = read_interval(self.spark, bronze, start, end), stored_table(self.spark, table)
+        if former is None:
+            state = latest_per_key(self.table("bronze", name))
+        else:
+            lost = lost_winners(former, fresh, day_of(start), day_of(end))
+            known = {} if lost.isEmpty() else {"lost": lost, "history": self.table("bronze", name)}
+            state = merge_latest(former, fresh, day_of(start), day_of(end), **known)
+        overwrite_table(state, table, shown=clean_columns(state.schema))
+
+    def build_resource(self, spec: Resource, start: Day, end: Day) -> None:
+        """Cleaned parent and flat rows of the interval; one parse gives the rows and the rejects."""
+        bronze = self.layout.table("bronze", spec.table)
+        fresh = read_interval(self.spark, bronze, start, end)
+        overwrite_interval(clean_text(fresh, drop=PARENT_DROPS), self.layout.table("silver", spec.parent_table), start, end)
+        tagged = flatten_resource(fresh, spec, tagged=True)
+        held = self.layout.stored("silver", spec.silver_table)
+        overwrite_interval(tagged, held, start, end, partition_by=[REJECT])
+        shown = ", ".join(f"`{c}`" for c in [*(c for c in tagged.columns if c != REJECT), LOAD_DATE])
+        flat = self.layout.table("silver", spec.silver_table)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {flat} AS SELECT {shown} FROM {held} WHERE {REJECT} = '{ACCEPTED}'")
+        publish_view(parse_responses(self.table("bronze", spec.table), is_array=spec.is_array), self.layout.view(spec.audit_table))
+
     def build_silver(self, start: Day, end: Day) -> None:
-        """Current state and cleaned parents anew, flat resources of the interval and their rejects."""
-        counts: list[DataFrame] = []
+        """Current state by merge; parents, flat resources, rejects and day totals of the interval."""
         for name in MASTER_TABLES:
-            overwrite_table(current_state(self.table("bronze", name)), self.layout.table("silver", name))
+            self.merge_master(name, start, end)
         for spec in RESOURCES.values():
-            bronze = self.table("bronze", spec.table)
-            parent = clean_text(bronze, drop=PARENT_DROPS)
-            overwrite_table(parent, self.layout.table("silver", spec.parent_table))
-            fresh = read_interval(self.spark, self.layout.table("bronze", spec.table), start, end)
-            flat = flatten_resource(fresh, spec)
-            overwrite_interval(flat, self.layout.table("silver", spec.silver_table), start, end)
-            responses = parse_responses(bronze, is_array=spec.is_array)
-            publish_view(responses, self.layout.view(spec.audit_table))
-            rejects = flatten_rejects(fresh, spec).selectExpr(
-                f"'{spec.silver_table}' AS table_name", "missing", "unreadable", "foreign", f"cast('{day_of(start)}' AS date) AS load_date"
-            )
-            counts.append(rejects)
-        # What the flat tables of this interval leave out, replaced with them.
-        overwrite_interval(
-            reduce(DataFrame.unionAll, counts), self.layout.table("silver", "flatten_rejects"), start, end, LOAD_DATE
-        )
+            self.build_resource(spec, start, end)
+        left_out = [
+            rejects_sql(self.layout.stored("silver", spec.silver_table), spec.silver_table, LOAD_DATE) for spec in RESOURCES.values()
+        ]
+        rejects = self.layout.table("silver", "flatten_rejects")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {rejects} AS {' UNION ALL '.join(left_out)}")
+        flat = {name: self.layout.table("silver", name) for name in SCANNED if name not in MASTER_TABLES}
+        days = [day_totals(read_interval(self.spark, table, start, end), name) for name, table in flat.items()]
+        overwrite_interval(reduce(DataFrame.unionAll, days), self.layout.stored("silver", "day_totals"), start, end, LOAD_DATE)
+        states = [day_totals(self.table("silver", name), name, LOAD_DATE) for name in SCANNED if name in MASTER_TABLES]
+        overwrite_table(reduce(DataFrame.unionAll, states), self.layout.stored("silver", "state_totals"))
 
     # ---- gold ---------------------------------------------------------------
     def silver_tables(self, newest_only: bool = False) -> dict[str, DataFrame]:
@@ -91,22 +123,29 @@ class Medallion:
         as_of: str,
         newest_only: bool = False,
     ) -> None:
-        """Findings are written once; each check is a live view of its rule."""
+        """Findings are written once, by what queries filter on; each check is a live view of its rule."""
         tables = self.silver_tables(newest_only)
         overwrite_table(registry, self.layout.table("gold", "audit_rule"))
-        findings = evaluate({**tables, **code_lists}, as_of, registry=self.table("gold", "audit_rule"))
+        rule = self.table("gold", "audit_rule")
+        findings = evaluate({**tables, **code_lists}, as_of, registry=rule)
         if newest_only:
             findings = findings.dropDuplicates(["finding_id"])
         stored = self.layout.table("gold", "audit_finding")
-        overwrite_table(findings, stored)
-        for rule in rules():
+        shown = [f"`{c}`" for c in findings.columns]
+        overwrite_table(findings, stored, FINDING_PARTITIONS, (FINDING_BUCKETS, "finding_id"), shown)
+        totals = self.layout.stored("gold", "finding_totals")
+        overwrite_table(finding_totals(self.table("gold", "audit_finding")), totals)
+        for one in rules():
             self.spark.sql(
-                f"CREATE OR REPLACE VIEW {self.layout.table('gold', rule.table)} AS "
-                f"SELECT * FROM {stored} WHERE rule_id = '{rule.rule_id}'"
+                f"CREATE OR REPLACE VIEW {self.layout.table('gold', one.table)} AS "
+                f"SELECT * FROM {stored} WHERE rule_id = '{one.rule_id}'"
             )
-        run = audit_run(
-            tables, self.table("gold", "audit_rule"), self.table("gold", "audit_finding"), as_of
-        )
+        if newest_only:
+            run = audit_run(tables, rule, self.table("gold", "audit_finding"), as_of)
+        else:
+            kept = ["day_totals", "state_totals"]
+            data = reduce(DataFrame.unionByName, [self.spark.table(self.layout.stored("silver", t)).drop(LOAD_DATE) for t in kept])
+            run = run_from_totals(data, rule, self.spark.table(totals), as_of)
         overwrite_table(run, self.layout.table("gold", "audit_run"))
 
     def run(
@@ -120,6 +159,7 @@ class Medallion:
         newest_only: bool = False,
     ) -> None:
         self.load(read, start, end)
+        self.load_code_lists(code_lists)
         self.build_silver(start, end)
         self.build_gold(registry, code_lists, as_of, newest_only)
 

@@ -1,24 +1,90 @@
-"""Writes: full rebuild, interval replacement, views and CSV exports."""
+"""Writes: tables that are replaced in one step, session views and CSV exports.
+
+Data lie in a store database beside the layer; what a reader opens is a view in the layer
+that names the current build. A new build is written first and the view is switched when
+it is complete, so a reader sees the old rows or the new ones. The build before stays
+until the next write, for those who still read it. What a failed run leaves is in the
+store only, and the next write drops it. One job writes a table at a time.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..layout import database_of, store_of
 from ..operators.clean import interval_slice
 from .readers import day_of
 
 LOAD_DATE = "load_date"
-STAGING = "__staging"
+BUILD = "_build"
+PROPERTY = "wardledger."
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the last switch of a view noted; nothing for a view that does not exist."""
+    if not spark.catalog.tableExists(table):
+        return {}
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {r["key"].removeprefix(PROPERTY): r["value"] for r in rows if r["key"].startswith(PROPERTY)}
+
+
+def _switch(spark: SparkSession, table: str, select: str, **noted: object) -> None:
+    """The commit: one statement of the catalog."""
+    properties = ", ".join(f"'{PROPERTY}{k}' = '{v}'" for k, v in noted.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({properties}) AS {select}")
 
 
-def overwrite_table(df: DataFrame, table: str) -> None:
-    """Full rebuild."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+def _in_store(spark: SparkSession, table: str, ending: str) -> str:
+    """Name in the store, which is made if it is not there."""
+    store = store_of(database_of(table))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{store}`")
+    return f"{store}.{table.rpartition('.')[2]}_{ending}"
+
+
+def overwrite_table(
+    df: DataFrame,
+    table: str,
+    partition_by: Sequence[str] = (),
+    buckets: tuple[int, str] | None = None,
+    shown: Sequence[str] | None = None,
+) -> None:
+    """Full rebuild. ``df`` may read the build that it replaces.
+
+    ``shown``: SQL text of the columns that the view has, all of ``df`` if left out.
+    ``buckets``: number and column, by which a reader of one value opens one bucket.
+    """
+    spark = df.sparkSession
+    current = _properties(spark, table).get("build")
+    prefix = _in_store(spark, table, "")
+    store, _, start = prefix.rpartition(".")
+    for row in spark.sql(f"SHOW TABLES IN `{store}`").collect():  # builds of all tables of one layer
+        name, build = row["tableName"], row["tableName"][len(start) :]
+        if name.startswith(start.lower()) and len(build) == 32 and build != current:
+            spark.sql(f"DROP TABLE IF EXISTS {store}.{name}")
+    build = uuid.uuid4().hex
+    if buckets:
+        # A task for each bucket; within the partitions that makes a file a bucket.
+        df = df.repartition(buckets[0], buckets[1])
+    writer = df.write.format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets[0], buckets[1]).sortBy(buckets[1])
+    writer.saveAsTable(f"{prefix}{build}")
+    columns = ", ".join(shown or [f"`{c}`" for c in df.columns])
+    _switch(spark, table, f"SELECT {columns} FROM {prefix}{build}", build=build)
+
+
+def stored_table(spark: SparkSession, table: str) -> DataFrame | None:
+    """The rows behind the view of ``overwrite_table`` as they were written; None before the first build."""
+    build = _properties(spark, table).get("build")
+    return spark.table(_in_store(spark, table, build)) if build else None
 
 
 def publish_view(df: DataFrame, name: str) -> None:
@@ -26,14 +92,6 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def _partition_days(spark: SparkSession, table: str, start: str, end: str) -> set[str]:
-    """Stored days within ``[start, end)``; at most one per day of the interval."""
-    stored = spark.sql(f"SHOW PARTITIONS {table}").select(
-        F.regexp_extract("partition", rf"{LOAD_DATE}=([0-9-]+)", 1).alias("day")
-    )
-    return {row["day"] for row in stored.where((F.col("day") >= start) & (F.col("day") < end)).collect()}
-
-
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """``insertInto`` takes the overwrite mode from the session, not from write options."""
@@ -46,37 +104,56 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def _drop_dead(spark: SparkSession, held: str, noted: dict[str, str]) -> None:
+    """Drop the partitions that the view does not show: of failed runs and of replaced days."""
+    build = int(noted.get("build", 0))
+    parts = spark.sql(f"SHOW PARTITIONS {held}").select(
+        F.regexp_extract("partition", rf"{LOAD_DATE}=([0-9-]+)", 1).alias("day"),
+        F.regexp_extract("partition", rf"{BUILD}=(\d+)", 1).cast("int").alias("build"),
+    )
+    replaced = F.col("day").between(noted.get("first", "9"), noted.get("last", "9")) & (F.col("day") < noted.get("last", "9"))
+    dead = parts.where((F.col("build") > build) | (replaced & (F.col("build") < build))).distinct().collect()  # a row a day
+    for row in dead:
+        spark.sql(f"ALTER TABLE {held} DROP IF EXISTS PARTITION ({LOAD_DATE}='{row['day']}', {BUILD}={row['build']})")
+
+
 def overwrite_interval(
     df: DataFrame,
     table: str,
     start: datetime | date | str,
     end: datetime | date | str,
     column: str = "modified",
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Replace what ``table`` holds of the days ``[start, end)`` by the rows of ``df``.
 
-    The table is partitioned by day. Only days of the interval are touched, so a
-    repeated interval leaves no duplicates and other days are not read. Days that
-    have become empty at the source are dropped. The source is read once, into a
-    staging table: what arrives meanwhile is neither written nor taken for empty.
+    The store is partitioned by day and build. The new rows are written, once, as partitions
+    of the next build; the view then shows these and, of other days, what it showed before.
+    So a repeated interval leaves no duplicates, an emptied day is empty and other days
+    are neither read nor written.
     """
     spark = df.sparkSession
     first, last = day_of(start), day_of(end)
-    staging = f"{table}{STAGING}"
+    held, noted = _in_store(spark, table, "days"), _properties(spark, table)
+    known = spark.catalog.tableExists(held)
+    if known:
+        _drop_dead(spark, held, noted)
+    build = int(noted.get("build", 0)) + 1
     # The range on the column itself reaches the source; the day is derived from it.
-    days = interval_slice(df, first, last, column).withColumn(LOAD_DATE, F.to_date(column))
+    days = interval_slice(df, first, last, column).withColumn(LOAD_DATE, F.to_date(column)).withColumn(BUILD, F.lit(build))
+    own = [c for c in days.columns if c not in (*partition_by, LOAD_DATE, BUILD)]
+    layout = [*own, LOAD_DATE, BUILD, *partition_by]
     # One file set per day; AQE spreads a day that holds most rows over several tasks.
-    balanced = days.hint("rebalance", LOAD_DATE)
-    if not spark.catalog.tableExists(table):
-        balanced.write.format("parquet").partitionBy(LOAD_DATE).saveAsTable(table)
-        return
-    balanced.write.mode("overwrite").format("parquet").partitionBy(LOAD_DATE).saveAsTable(staging)
-    emptied = _partition_days(spark, table, first, last) - _partition_days(spark, staging, first, last)
-    with _dynamic_overwrite(spark):
-        spark.table(staging).select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    for day in sorted(emptied):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({LOAD_DATE}='{day}')")
-    spark.sql(f"DROP TABLE {staging}")
+    balanced = days.select(*layout).hint("rebalance", LOAD_DATE, *partition_by)
+    if known:
+        with _dynamic_overwrite(spark):
+            balanced.write.mode("overwrite").insertInto(held)
+    else:
+        balanced.write.format("parquet").partitionBy(LOAD_DATE, BUILD, *partition_by).saveAsTable(held)
+    shown = ", ".join(f"`{c}`" for c in [*own, *partition_by, LOAD_DATE])
+    replaced = f"{BUILD} < {build} AND {LOAD_DATE} >= DATE'{first}' AND {LOAD_DATE} < DATE'{last}'"
+    select = f"SELECT {shown} FROM {held} WHERE {BUILD} <= {build} AND NOT ({replaced})"
+    _switch(spark, table, select, build=build, first=first, last=last)
 
 
 def read_interval(
