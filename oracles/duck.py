@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import csv
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from wardledger.operators.rules import REGISTRY
 from wardledger.sources import derived
@@ -37,8 +39,21 @@ def _text(column: str, type_name: str) -> str:
     return f"CAST({column} AS VARCHAR) AS {column}" if type_name in ("DATE", "DECIMAL") else column
 
 
+_FEED = [False]
+
+
+@contextmanager
+def feed() -> Iterator[None]:
+    """Within: the raw rows as the batch run gets them, on a few days."""
+    _FEED[0] = True
+    try:
+        yield
+    finally:
+        _FEED[0] = False
+
+
 def raw(table: str) -> str:
-    return derived.raw_sql(table, lambda base: base)
+    return derived.raw_sql(table, lambda base: base, feed=_FEED[0])
 
 
 def typed(table: str) -> str:
@@ -401,3 +416,57 @@ def row_counts(names: list[str]) -> str:
     return _cte(parts, counts)
 
 
+
+
+def rejects() -> str:
+    """Payloads that no flat table holds, by table, day and reason."""
+    out = []
+    for resource in RESOURCES.values():
+        kind = resource.view.resource
+        own = "coalesce(json_extract_string({0}, '$.resourceType') = '" + kind + "', false)"
+        documents = f"SELECT *, TRY_CAST(payload_json AS JSON) AS document FROM ({typed(resource.table)}) AS b"
+        if resource.is_array:
+            readable = "json_type(document) = 'ARRAY'"
+            some = f"len(list_filter(CAST(document AS JSON[]), lambda x: {own.format('x')})) > 0"
+        else:
+            readable, some = "document IS NOT NULL", own.format("document")
+        reason = (
+            f"CASE WHEN payload_json IS NULL THEN 'missing' WHEN NOT coalesce({readable}, false) THEN 'unreadable' "
+            f"WHEN NOT {some} THEN 'foreign' END"
+        )
+        out.append(
+            f"SELECT '{resource.silver_table}' AS table_name, count(*) FILTER (WHERE why = 'missing') AS missing, "
+            "count(*) FILTER (WHERE why = 'unreadable') AS unreadable, count(*) FILTER (WHERE why = 'foreign') AS \"foreign\", "
+            f"CAST(CAST(modified AS DATE) AS VARCHAR) AS load_date FROM (SELECT modified, {reason} AS why FROM ({documents}) AS d) AS r "
+            "WHERE why IS NOT NULL GROUP BY CAST(modified AS DATE)"
+        )
+    return " UNION ALL ".join(out)
+
+
+def stored_counts() -> str:
+    """Rows of every table of the three layers after one run over the feed."""
+    parts = _gold_parts()
+    sources = {f"bronze.{t}": f"({typed(t)}) AS b" for t in [*MASTER_TABLES, *(r.table for r in RESOURCES.values())]}
+    sources |= {f"bronze.{n}": f"({code_list(n)}) AS c" for n in CODE_LISTS}
+    sources |= {f"silver.{t}": f"({master(t)}) AS m" for t in MASTER_TABLES}
+    for r in RESOURCES.values():
+        sources[f"silver.{r.parent_table}"] = f"({typed(r.table)}) AS p"
+        sources[f"silver.{r.silver_table}"] = f"({flat(r.name)}) AS f"
+    sources["silver.flatten_rejects"] = f"({rejects()}) AS r"
+    sources |= {"gold.audit_rule": "rules", "gold.audit_finding": "findings", "gold.audit_run": "(SELECT 1 AS one) AS o"}
+    sources |= {f"gold.{r.table}": f"(SELECT * FROM findings WHERE rule_id = '{r.rule_id}') AS k" for r in REGISTRY.values()}
+    counts = " UNION ALL ".join(
+        f"SELECT '{n.lower()}' AS table_name, count(*) AS row_count, count(*) = 0 AS is_empty FROM {source}" for n, source in sources.items()
+    )
+    return _cte(parts, counts)
+
+
+def merged_master(table: str) -> str:
+    """The newest of all rows, ranked at once."""
+    return master(table)
+
+
+def reloaded(table: str, first: str, last: str, emptied: str) -> str:
+    inside = f"modified >= TIMESTAMP '{first}' AND modified < TIMESTAMP '{last}'"
+    kept = f"length(name) % 2 = 0 AND CAST(modified AS DATE) <> DATE '{emptied}'"
+    return bronze(table, f"WHERE NOT ({inside}) OR ({kept})")

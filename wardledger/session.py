@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``; it is deleted when the application ends.
+
+    Only a local session without that setting gets a temporary folder of its own.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="wardledger-")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.deleteOnExit(where)
+    return store.makeQualified(where).toString()
+
+
 def _has_checkpoint_dir(spark: SparkSession) -> bool:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -54,7 +71,7 @@ def _has_checkpoint_dir(spark: SparkSession) -> bool:
     if configured:
         context.setCheckpointDir(configured)
         return True
-    if context.master.startswith("local"):
+    if context.master.startswith("local[") or context.master == "local":
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wardledger-checkpoint-"))
         return True
     return False

@@ -384,10 +384,20 @@ _ICD = (
 )
 
 
+# Times of the base tables span decades. As a feed, the month becomes the day and the rest
+# the time of day, so the rows of a table lie on twelve days at most and stay distinct.
+FEED_DAYS = ("2026-07-01", "2026-07-13")
+_FEED_STAMP = (
+    "'2026-07-' || substr(t, 6, 2) || ' ' || lpad(CAST(CAST(substr(t, 1, 4) AS INT) % 24 AS STRING), 2, '0') || ':' || "
+    "substr(t, 9, 2) || ':' || substr(t, 12, 2) || '.' || substr(t, 15, 2) || substr(t, 18, 2) || "
+    "coalesce(nullif(substr(t, 21, 2), ''), '00')"
+)
+
+
 @lru_cache(maxsize=None)
-def _columns(table: str) -> dict[str, str]:
+def _columns(table: str, feed: bool = False) -> dict[str, str]:
     """Column -> SQL expression over ``k, t, w, f, c, e, iso``."""
-    given: dict[str, str] = {"creation": "t", "modified": "t"}
+    given: dict[str, str] = {"creation": "t", "modified": _FEED_STAMP if feed else "t"}
     if table == "tabPatient":
         given["name"] = "'PAT-' || CAST(w AS STRING) || CASE WHEN k % 97 = 0 THEN ' ' ELSE '' END"
         given["uid"] = _UID
@@ -411,11 +421,14 @@ def _columns(table: str) -> dict[str, str]:
     return {f.name: given.get(f.name) or _default(f.name, f.type, i) for i, f in enumerate(fields)}
 
 
-def raw_sql(table: str, relation: Callable[[str], str], columns: list[str] | None = None) -> str:
-    """SELECT of the raw text rows of a source table; ``relation`` names a base table."""
+def raw_sql(table: str, relation: Callable[[str], str], columns: list[str] | None = None, feed: bool = False) -> str:
+    """SELECT of the raw text rows of a source table; ``relation`` names a base table.
+
+    ``feed``: ``modified`` lies within ``FEED_DAYS``, as a batch run by day needs it.
+    """
     base = _TABLE_BASE[table]
     key, stamp, owner, flag, amount, end = _BASES[base]
-    wanted = {n: x for n, x in _columns(table).items() if columns is None or n in columns}
+    wanted = {n: x for n, x in _columns(table, feed).items() if columns is None or n in columns}
     select = ",\n  ".join(f"{x} AS {n}" for n, x in wanted.items())
     return (
         f"SELECT\n  {select}\nFROM (SELECT k, t, w, f, c, e, "
@@ -480,8 +493,8 @@ def parquet_relation(spark: SparkSession, folder: str) -> Callable[[str], str]:
     return relation
 
 
-def raw_table(spark: SparkSession, relation: Callable[[str], str], table: str) -> DataFrame:
-    return spark.sql(raw_sql(table, relation))
+def raw_table(spark: SparkSession, relation: Callable[[str], str], table: str, feed: bool = False) -> DataFrame:
+    return spark.sql(raw_sql(table, relation, feed=feed))
 
 
 def code_list(spark: SparkSession, relation: Callable[[str], str], name: str) -> DataFrame:
