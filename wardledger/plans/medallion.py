@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,12 +40,20 @@ PARENT_DROPS = ("api_response", "payload_json", "_user_tags", "_comments", "_ass
 
 
 class Medallion:
-    """Builders of the three layers; ``run`` calls them in order."""
+    """Builders of the three layers; ``run`` calls them in order.
 
-    def __init__(self, spark: SparkSession, layout: Layout) -> None:
-        self.spark, self.layout = tune(spark), layout
+    The tables of a layer do not depend on each other: ``writers`` of them are written at
+    a time, so that the small ones do not leave a cluster idle.
+    """
+
+    def __init__(self, spark: SparkSession, layout: Layout, writers: int = 6) -> None:
+        self.spark, self.layout, self.writers = tune(spark), layout, writers
         layout.create(spark)
 
+    def _each(self, write: Callable[[Any], None], items: Iterable[Any]) -> None:
+        with ThreadPoolExecutor(self.writers) as pool:
+            list(pool.map(write, items))  # the first failure is raised here
+
     def table(self, layer: str, name: str) -> DataFrame:
         df = self.spark.table(self.layout.table(layer, name))
         return df.drop(LOAD_DATE)
@@ -51,13 +61,14 @@ class Medallion:
     # ---- bronze -------------------------------------------------------------
     def load(self, read: Callable[[str], DataFrame], start: Day, end: Day) -> None:
         """Typed rows of ``[start, end)`` of every source table."""
-        for name in bronze_tables():
-            typed = load_bronze(read(name), name)
-            overwrite_interval(typed, self.layout.table("bronze", name), start, end)
+
+        def write(name: str) -> None:
+            overwrite_interval(load_bronze(read(name), name), self.layout.table("bronze", name), start, end)
+
+        self._each(write, bronze_tables())
 
     def load_code_lists(self, code_lists: Mapping[str, DataFrame]) -> None:
-        for name, rows in code_lists.items():
-            overwrite_table(rows, self.layout.table("bronze", name))
+        self._each(lambda name: overwrite_table(code_lists[name], self.layout.table("bronze", name)), code_lists)
 
     # ---- silver -------------------------------------------------------------
     def merge_master(self, name: str, start: Day, end: Day) -> None:
@@ -92,10 +103,8 @@ class Medallion:
 
     def build_silver(self, start: Day, end: Day) -> None:
         """Current state by merge; parents, flat resources, rejects and day totals of the interval."""
-        for name in MASTER_TABLES:
-            self.merge_master(name, start, end)
-        for spec in RESOURCES.values():
-            self.build_resource(spec, start, end)
+        self._each(lambda name: self.merge_master(name, start, end), MASTER_TABLES)
+        self._each(lambda spec: self.build_resource(spec, start, end), RESOURCES.values())
         left_out = [
             rejects_sql(self.layout.stored("silver", spec.silver_table), spec.silver_table, LOAD_DATE) for spec in RESOURCES.values()
         ]

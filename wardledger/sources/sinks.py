@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,16 +93,28 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+_LOCK, _INSIDE = Lock(), [0, ""]
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """``insertInto`` takes the overwrite mode from the session, not from write options."""
+    """``insertInto`` takes the overwrite mode from the session, not from write options.
+
+    Several tables may be written at a time: the last one out restores the mode.
+    """
     name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "dynamic")
+    with _LOCK:
+        if not _INSIDE[0]:
+            _INSIDE[1] = spark.conf.get(name)
+            spark.conf.set(name, "dynamic")
+        _INSIDE[0] += 1
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        with _LOCK:
+            _INSIDE[0] -= 1
+            if not _INSIDE[0]:
+                spark.conf.set(name, _INSIDE[1])
 
 
 def _drop_dead(spark: SparkSession, held: str, noted: dict[str, str]) -> None:
