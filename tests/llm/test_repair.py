@@ -5,12 +5,12 @@ import pyarrow as pa
 import pytest
 
 from wardledger.llm.kernels import slices
-from wardledger.llm.repair import END, PieceEncoder, compress, encode_documents, make_block, read_shards, tokenizer_path, write_shards
+from wardledger.llm.repair import END, TextEncoder, compress, encode_documents, make_block, read_shards, tokenizer_path, write_shards
 
 
 @pytest.fixture(scope="module")
 def encoder():
-    return PieceEncoder(tokenizer_path())
+    return TextEncoder(tokenizer_path())
 
 
 def direct(encoder, texts):
@@ -84,3 +84,15 @@ def test_odd_rows(odd, nothing, encoder):
 def test_ids_come_back(documents, encoder, texts):
     rows = read_shards(write_shards(documents.limit(20)), with_ids=True).collect()
     assert [r["ids"] for r in rows] == direct(encoder, [texts[r["doc_id"]] for r in rows])
+
+
+def test_regular_texts_are_told_apart(spark, encoder):
+    """Letters by the parity of the bits of their place, and their opposites: no two positions agree."""
+    texts = []
+    for log2 in range(10, 14):
+        parity = [bin(i).count("1") & 1 for i in range(1 << log2)]
+        texts += ["".join("ab"[p] for p in parity), "".join("ba"[p] for p in parity)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    found = {r["doc_id"]: r["ids_crc32"] for r in encode_documents(docs).collect()}
+    assert found == {i: zlib.crc32(np.array(ids, "<u4").tobytes()) for i, ids in enumerate(direct(encoder, texts))}
+    assert len(set(found.values())) == len(texts)

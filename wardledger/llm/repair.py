@@ -7,9 +7,8 @@ the rules, how many ids each expands to, the compressed block, the position of e
 ``SAMPLE``-th symbol and a table of the documents; so a document is decoded from the
 symbols that cover it, without the rest of its block.
 
-Texts are cut where the tokenizer never joins (before a single space between other
-characters) and each distinct piece is encoded once a worker, which gives the ids of
-the whole text at a part of the time.
+Texts are cut where the tokenizer never joins (see ``units``) and each distinct unit is
+encoded once a worker, which gives the ids of the whole text at a part of the time.
 """
 
 from __future__ import annotations
@@ -31,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .kernels import HashIndex, Texts, Words, gather, hash_spans, slices
 from .shared import shared_path, stored
+from .units import UnitMemo, worker_memo
 from .warc import _folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -109,25 +109,25 @@ class PieceEncoder:
         number, own, start, count = self._numbers(words.hash, words.data, words.start, words.end, b" ")
         return gather(own, start[number], count[number]), count[number]
 
+
+class TextEncoder:
+    """Ids of whole texts, each followed by ``END``, by way of their units."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # in a text they are ordinary text
+        self.symbols = self.tokenizer.get_vocab_size()
+        self.memo = UnitMemo([lambda units: [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]], limit=MEMO)
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts with ``END`` after each, and their number by text."""
-        data, n = texts.data, texts.data.size
-        space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-        begins = np.zeros(n + 1, bool)
-        begins[1 : n - 1] = (data[1:-1] == 0x20) & ~space[:-2] & ~space[2:] if n > 2 else False
-        begins[texts.offsets[:-1]] = True
-        start = np.flatnonzero(begins[:n])
-        end = np.append(start[1:], n)
-        number, own, own_start, own_count = self._numbers(hash_spans(data, start, end), data, start, end, b"")
-        # An end mark is one more piece after each text.
-        at = np.searchsorted(start, texts.offsets[1:])
-        number = np.insert(number.astype(np.int64), at, own_count.size)
-        own_start, own_count = np.append(own_start, own.size), np.append(own_count, 1)
-        own = np.append(own, np.uint16(END))
-        flat = gather(own, own_start[number], own_count[number])
-        total = np.concatenate([[0], np.cumsum(own_count[number])])
-        last = at + np.arange(1, at.size + 1)
-        return flat, np.diff(np.concatenate([[0], total[last]]))
+        """Ids of all texts, and how many each has with its end."""
+        ((ids, count),) = self.memo.encode(texts)
+        out = np.full(ids.size + len(texts), END, np.uint16)
+        out[np.arange(ids.size) + np.repeat(np.arange(len(texts)), count)] = ids
+        return out, count + 1
 
 
 def worker_encoder(path: str, use: str = "pieces") -> PieceEncoder:
@@ -279,8 +279,9 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     target = shared_path(spark, "token-shards")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(tokenizer_path(tokenizer))
-        first_symbol = encoder.bytes_of.size
+        path = tokenizer_path(tokenizer)
+        encoder = worker_memo((path, "texts"), lambda: TextEncoder(path))
+        first_symbol = encoder.symbols
         files, root = _folder(target)
         files.create_dir(root, recursive=True)
         name = f"{uuid.uuid4().hex}.repair"
