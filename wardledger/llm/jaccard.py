@@ -40,7 +40,9 @@ from .components import components
 from .kernels import U64, Texts, Words, byte_table, grams, mix64, runs, slices
 from .shared import bit_filter, in_filter, stored
 
-HEADS = (2, 128, 512)  # of each bucket by round; the last goes for all later rounds
+# Heads of each bucket by round, at most so many of a component and in all; the last goes for all later rounds.
+HEADS = ((2, 2), (1, 128), (2, 256), (8, 512), (32, 512), (512, 512))
+SORTED_KEYS = 2_000_000
 BAND_RATIO = 1.25
 KEY_BITS = 25
 
@@ -167,23 +169,54 @@ def _long(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def sketch_keys(rows: DataFrame, rule: Rule, bits: np.ndarray | None = None) -> DataFrame:
-    """``key`` and ``node`` of the sets in ``rows.text``; with ``bits`` only keys it may hold."""
-    sent = rows.sparkSession.sparkContext.broadcast(bits) if bits is not None else None
+def sketch_keys(rows: DataFrame, rule: Rule, bits: np.ndarray) -> DataFrame:
+    """``key`` and ``node`` of the sets in ``rows.text``, only keys that ``bits`` may hold."""
+    sent = rows.sparkSession.sparkContext.broadcast(bits)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # 8 bytes a text of the task
+        seen: set[int] = set()  # one number a text of the task
         for batch in batches:
             for texts in slices(batch.column(0)):
                 sets = Sets(texts, rule)
                 new = _first_of_each(sets.node, seen)
-                keys, text = sets.keys(new[sets.size[new] > 0], rule, sent.value if sent else None)
-                if sent is not None:
-                    yield pa.RecordBatch.from_arrays([_long(keys), _long(sets.node[text])], names=["key", "node"])
-                else:
-                    yield pa.RecordBatch.from_arrays([_long(keys)], names=["key"])
+                keys, text = sets.keys(new[sets.size[new] > 0], rule, sent.value)
+                yield pa.RecordBatch.from_arrays([_long(keys), _long(sets.node[text])], names=["key", "node"])
 
-    return rows.select("text").mapInArrow(scan, "key bigint, node bigint" if bits is not None else "key bigint")
+    return rows.select("text").mapInArrow(scan, "key bigint, node bigint")
+
+
+def repeated_keys(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Keys (``key``) that several of the sets in ``rows.text`` have.
+
+    Nearly all keys are of one set only, so a hash table of them is no use ahead of the
+    shuffle. They are sorted some millions at a time, which makes one row of the keys that
+    many sets have.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # one number a text of the task
+        held: list[np.ndarray] = []
+        waiting = 0
+
+        def counted() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate([np.zeros(0, U64), *held]), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([_long(keys), pa.array(n > 1)], names=["key", "several"])
+
+        for batch in batches:
+            for texts in slices(batch.column(0)):
+                sets = Sets(texts, rule)
+                new = _first_of_each(sets.node, seen)
+                held.append(sets.keys(new[sets.size[new] > 0], rule)[0])
+                waiting += held[-1].size
+                if waiting >= SORTED_KEYS:
+                    waiting = 0
+                    yield counted()
+        yield counted()
+
+    keys = rows.select("text").mapInArrow(scan, "key bigint, several boolean").repartition("key")
+    found = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("several").alias("several"))
+    return found.where("n > 1 OR several").select("key")
 
 
 def shingle_nodes(rows: DataFrame, rule: Rule) -> DataFrame:
@@ -245,7 +278,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     nodes = stored(shingle_nodes(rows, rule), "jaccard-nodes")
-    repeated = stored(sketch_keys(rows, rule).groupBy("key").count().where("count > 1").select("key"), "jaccard-keys")
+    repeated = stored(repeated_keys(rows, rule), "jaccard-keys")
     members = stored(sketch_keys(rows, rule, bit_filter(repeated, "key", KEY_BITS)).distinct(), "jaccard-rows")
     buckets = _several(members.withColumn("component", F.col("node")))
     # One id for each node that shares a key; later rounds compare others than the first.
@@ -258,7 +291,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     known = components(links)
     turn = 0
     while not buckets.isEmpty():
-        heads, turn = _heads(buckets, HEADS[min(turn, len(HEADS) - 1)]), turn + 1
+        heads, turn = _heads(buckets, *HEADS[min(turn, len(HEADS) - 1)]), turn + 1
         pairs = stored(_head_pairs(buckets, heads, rule).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         tried = tried.unionAll(pairs)
         new = stored(linked(pairs, sets, rule), "jaccard-links")
@@ -266,7 +299,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             links = links.unionAll(new)
             known = components(links)
         # Heads have been compared with their whole bucket and leave it.
-        rest = buckets.join(heads.select("key", "last"), "key").where("(own, node) > last")
+        rest = buckets.join(heads.selectExpr("key", "transform(heads, h -> h.a) AS gone"), "key").where("NOT array_contains(gone, node)")
         merged = rest.select("key", "node", "own", "size").join(known, "node", "left")
         buckets = _several(_possible(merged.withColumn("component", F.coalesce("component", "node")), rule))
 
@@ -309,25 +342,29 @@ def _possible(rows: DataFrame, rule: Rule) -> DataFrame:
     return rows.join(bounds, "key").where(near).drop("fewest", "smallest", "largest")
 
 
-def _heads(buckets: DataFrame, count: int) -> DataFrame:
-    """The ``count`` members of each key with the fewest own shingles, and the ``last`` of them."""
-    at = F.row_number().over(Window.partitionBy("key").orderBy("own", "node"))
-    first = buckets.withColumn("at", at).where(F.col("at") <= count)
+def _heads(buckets: DataFrame, of_component: int, count: int) -> DataFrame:
+    """At most ``count`` members of each key, those of a component with the fewest own shingles and ``of_component`` of it.
+
+    What is joined already needs few heads: the members of other components meet these.
+    """
+    at = F.row_number().over(Window.partitionBy("key", "component").orderBy("own", "node"))
+    some = buckets.withColumn("at", at).where(F.col("at") <= of_component)
+    place = F.row_number().over(Window.partitionBy("key").orderBy("at", "own", "node"))
     member = F.struct(
         F.col("own").alias("a_own"), F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("component").alias("a_component")
     )
-    last = F.max(F.struct("own", "node")).alias("last")
-    return first.groupBy("key").agg(F.collect_list(member).alias("heads"), last)
+    first = some.withColumn("place", place).where(F.col("place") <= count)
+    return first.groupBy("key").agg(F.collect_list(member).alias("heads"))
 
 
 def _head_pairs(buckets: DataFrame, heads: DataFrame, rule: Rule | None = None) -> DataFrame:
-    """Each member beside the heads of its key that precede it and are not of its component.
+    """Each member beside the heads of its key that are not of its component.
 
     With ``rule``, the shingles that must differ are not too many already: what one
     set has beyond the other is at least its own shingles, and the two such numbers
     differ by as much as the sizes.
     """
-    told = "(h.a_own, h.a) < (own, node) AND h.a_component <> component"
+    told = "h.a_component <> component"
     if rule:
         differ = "greatest(h.a_own, own + h.a_size - size) + greatest(own, h.a_own - h.a_size + size)"
         told += f" AND ({differ}) * {rule.den + rule.num} <= (h.a_size + size) * {rule.den - rule.num}"
