@@ -46,6 +46,22 @@ def test_odd_rows(spark, folder, odd, nothing):
             rows = spark.createDataFrame(stage(spark, rows, folder).collect(), stage(spark, rows, folder).schema)
 
 
+def test_columns_of_any_name_and_type(spark, folder):
+    """Names that the stages use themselves, and types that have no order."""
+    words = [" ".join(f"word{k}x{i}" for i in range(30)) for k in "abc"]
+    rows = [(i, words[i % 3], "en", "s", f"t{i}", i + 100, i, {"k": str(i)}, [1, i]) for i in range(6)]
+    columns = "doc_id bigint, text string, lang string, source string, text_id string, hit_id bigint, _copies int, facts map<string,string>, row array<int>"
+    docs = spark.createDataFrame(rows, columns)
+    given = {r["doc_id"]: r for r in docs.collect()}
+    for (name, stage), left in zip(corpus_pipeline.STAGES[:4], ({*range(6)}, {0, 1, 2}, {0, 1, 2}, {0, 1, 2}), strict=True):
+        path_free = spark.createDataFrame(stage(spark, docs, folder).collect(), docs.schema)
+        assert path_free.columns == docs.columns
+        found = path_free.collect()
+        assert {r["doc_id"] for r in found} == left, name
+        assert all(r == given[r["doc_id"]] for r in found)
+        docs = path_free
+
+
 def test_rows_of_one_id_with_unlike_texts(spark, folder):
     text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
     rows = [(1, text("a")), (2, text("b")), (2, text("a")), (3, text("b")), (3, text("c")), (3, text("c")), (4, ""), (5, ""), (5, None), (None, text("a"))]

@@ -110,16 +110,17 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **options: object) -> Da
 
     A row is repeated for every started pass over it: documents stay whole, so a
     source exceeds its budget by less than the one document at its cut. Rows of
-    the same id share the decision of the one that is taken most.
+    the same id (also null) share the decision of the one that is taken most. Rows
+    without words are not taken; an empty table gives no rows.
     """
     if id_col not in docs.columns:
         raise ValueError(f"no column {id_col}")
     times = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    copies = mix(docs, id_col=id_col, **options).groupBy(id_col).agg(F.max(times).alias("_copies"))
-    copies = copies.withColumnRenamed(id_col, "_mixed_id").where("_copies > 0")
-    joined = docs.join(copies, F.col(id_col).eqNullSafe(F.col("_mixed_id")))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    copies = mix(docs, id_col=id_col, **options).groupBy(F.col(id_col).alias("mixed_id")).agg(F.max(times).alias("copies"))
+    # A row goes as one column, so its names meet no others.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(copies.where("copies > 0"), F.col("row").getField(id_col).eqNullSafe(F.col("mixed_id")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 ORACLE_SQL = f"""
