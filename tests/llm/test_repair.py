@@ -5,12 +5,12 @@ import pyarrow as pa
 import pytest
 
 from wardledger.llm.kernels import slices
-from wardledger.llm.repair import END, TextEncoder, compress, encode_documents, make_block, read_shards, tokenizer_path, write_shards
+from wardledger.llm.repair import END, PieceEncoder, compress, encode_documents, make_block, read_shards, tokenizer_path, write_shards
 
 
 @pytest.fixture(scope="module")
 def encoder():
-    return TextEncoder(tokenizer_path())
+    return PieceEncoder(tokenizer_path())
 
 
 def direct(encoder, texts):
@@ -96,3 +96,12 @@ def test_regular_texts_are_told_apart(spark, encoder):
     found = {r["doc_id"]: r["ids_crc32"] for r in encode_documents(docs).collect()}
     assert found == {i: zlib.crc32(np.array(ids, "<u4").tobytes()) for i, ids in enumerate(direct(encoder, texts))}
     assert len(set(found.values())) == len(texts)
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch, texts):
+    from wardledger.llm import repair
+
+    monkeypatch.setattr(repair, "hash_spans", lambda data, start, end: (end - start).astype(np.uint64) % np.uint64(50))
+    group = list(texts.values())[:12]
+    encoder = PieceEncoder(tokenizer_path())
+    assert by_pieces(encoder, group) == direct(encoder, group) and by_pieces(encoder, group[::-1]) == direct(encoder, group[::-1])

@@ -7,8 +7,9 @@ the rules, how many ids each expands to, the compressed block, the position of e
 ``SAMPLE``-th symbol and a table of the documents; so a document is decoded from the
 symbols that cover it, without the rest of its block.
 
-Texts are cut where the tokenizer never joins (see ``units``) and each distinct unit is
-encoded once a worker, which gives the ids of the whole text at a part of the time.
+Texts are cut where the tokenizer never joins (before a single space between other
+characters) and each distinct piece is encoded once a worker, which gives the ids of
+the whole text at a part of the time. Pieces are found by hash and compared by bytes.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from pyspark.sql import functions as F
 
 from .kernels import HashIndex, Texts, Words, gather, hash_spans, slices
 from .shared import shared_path, stored
-from .units import UnitMemo, worker_memo
 from .warc import _folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -59,6 +59,7 @@ class PieceEncoder:
             self.bytes_of[number] = len(token)  # byte-level: a character stands for a byte
         self.index = HashIndex(18)
         self.ids, self.start, self.count = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.bytes, self.begin, self.size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, and how many each has. Pieces that may follow each other are one text."""
@@ -88,20 +89,42 @@ class PieceEncoder:
                 first = cut
         return np.concatenate([np.zeros(0, np.uint16), *out]), np.array([len(x) for x in out], np.int64)
 
+    def _known(self, key: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Number of each piece that is remembered, -1 for the others."""
+        number = self.index.find(key).astype(np.int64)
+        at = np.flatnonzero(number >= 0)
+        size = end[at] - start[at]
+        fits = size == self.size[number[at]]
+        number[at[~fits]] = -1
+        at, size = at[fits], size[fits]
+        differs = gather(data, start[at], size) != gather(self.bytes, self.begin[number[at]], size)
+        total = np.concatenate([[0], np.cumsum(differs)])
+        last = np.cumsum(size)
+        number[at[total[last] > total[last - size]]] = -1
+        return number
+
     def _numbers(self, key: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray, before: bytes) -> tuple:
         """Number of each piece, and all ids with the place and count of each number's."""
-        number = self.index.find(key)
-        if not (number < 0).any():
-            return number, self.ids, self.start, self.count
+        number = self._known(key, data, start, end)
         new = np.flatnonzero(number < 0)
-        keys, one, back = np.unique(key[new], return_index=True, return_inverse=True)
-        ids, count = self._encode_pieces([before + data[start[i] : end[i]].tobytes() for i in new[one]])
+        if not new.size:
+            return number, self.ids, self.start, self.count
+        place: dict[bytes, int] = {}
+        back = np.array([place.setdefault(data[start[i] : end[i]].tobytes(), len(place)) for i in new], np.int64)
+        pieces = list(place)
+        ids, count = self._encode_pieces([before + p for p in pieces])
         number[new] = self.count.size + back
         own_start = np.concatenate([self.start, self.ids.size + np.cumsum(count) - count])
         own, own_count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
-        if self.index.keys.size + keys.size <= MEMO:
+        keys = np.zeros(len(pieces), key.dtype)
+        keys[back] = key[new]
+        distinct = np.unique(keys).size == keys.size and (self.index.find(keys) < 0).all()
+        if distinct and self.index.keys.size + keys.size <= MEMO:  # pieces of one hash are encoded again each time
             self.index.add(keys)
             self.ids, self.start, self.count = own, own_start, own_count
+            size = np.array([len(p) for p in pieces], np.int64)
+            self.begin = np.concatenate([self.begin, self.bytes.size + np.cumsum(size) - size])
+            self.bytes, self.size = np.concatenate([self.bytes, np.frombuffer(b"".join(pieces), np.uint8)]), np.concatenate([self.size, size])
         return number, own, own_start, own_count
 
     def encode_words(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -109,25 +132,25 @@ class PieceEncoder:
         number, own, start, count = self._numbers(words.hash, words.data, words.start, words.end, b" ")
         return gather(own, start[number], count[number]), count[number]
 
-
-class TextEncoder:
-    """Ids of whole texts, each followed by ``END``, by way of their units."""
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # in a text they are ordinary text
-        self.symbols = self.tokenizer.get_vocab_size()
-        self.memo = UnitMemo([lambda units: [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]], limit=MEMO)
-
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, and how many each has with its end."""
-        ((ids, count),) = self.memo.encode(texts)
-        out = np.full(ids.size + len(texts), END, np.uint16)
-        out[np.arange(ids.size) + np.repeat(np.arange(len(texts)), count)] = ids
-        return out, count + 1
+        """Ids of all texts with ``END`` after each, and their number by text."""
+        data, n = texts.data, texts.data.size
+        space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+        begins = np.zeros(n + 1, bool)
+        begins[1 : n - 1] = (data[1:-1] == 0x20) & ~space[:-2] & ~space[2:] if n > 2 else False
+        begins[texts.offsets[:-1]] = True
+        start = np.flatnonzero(begins[:n])
+        end = np.append(start[1:], n)
+        number, own, own_start, own_count = self._numbers(hash_spans(data, start, end), data, start, end, b"")
+        # An end mark is one more piece after each text.
+        at = np.searchsorted(start, texts.offsets[1:])
+        number = np.insert(number.astype(np.int64), at, own_count.size)
+        own_start, own_count = np.append(own_start, own.size), np.append(own_count, 1)
+        own = np.append(own, np.uint16(END))
+        flat = gather(own, own_start[number], own_count[number])
+        total = np.concatenate([[0], np.cumsum(own_count[number])])
+        last = at + np.arange(1, at.size + 1)
+        return flat, np.diff(np.concatenate([[0], total[last]]))
 
 
 def worker_encoder(path: str, use: str = "pieces") -> PieceEncoder:
@@ -279,9 +302,8 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     target = shared_path(spark, "token-shards")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path = tokenizer_path(tokenizer)
-        encoder = worker_memo((path, "texts"), lambda: TextEncoder(path))
-        first_symbol = encoder.symbols
+        encoder = worker_encoder(tokenizer_path(tokenizer))
+        first_symbol = encoder.bytes_of.size
         files, root = _folder(target)
         files.create_dir(root, recursive=True)
         name = f"{uuid.uuid4().hex}.repair"
