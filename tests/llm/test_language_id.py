@@ -1,7 +1,10 @@
+from pyspark.sql import functions as F
 from reference import crc
 
 from wardledger.llm.language_id import UNKNOWN, Model, fit, identify, letter_words, predict_languages
 
+HELD = "crc32(cast(cast(doc_id AS string) AS binary)) % 4 = 2"
+
 
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -30,6 +33,19 @@ def test_words_first_then_shorter_grams(spark):
     assert names[7] in ("en", "fr") and abs(share[7] - 0.5) < 0.01  # letters, but nothing known of them
 
 
+def test_long_text_does_not_end_the_sample(spark):
+    """Two languages; the first English text by hash is longer than all that a sample may hold."""
+    words = {"en": "house garden river stone window", "fr": "maison jardin fleuve pierre fenetre"}
+    rows = [(i, " ".join(f"{w}{'abcdefghij'[i // 2 % 10]}" for w in words[x].split()), x) for i in range(400) for x in [("en", "fr")[i % 2]]]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    first = plain.where(f"lang = 'en' AND NOT ({HELD})").orderBy(F.expr("shiftrightunsigned(xxhash64(cast(doc_id AS string)), 11)")).first()["doc_id"]
+    long = [(i, "foreign " * 260_000 if i == first else t, x) for i, t, x in rows]
+    found = predict_languages(spark.createDataFrame(long, plain.schema)).where("held_out").collect()
+    assert {(r["doc_id"], r["lang_pred"]) for r in found} == {(i, x) for i, _, x in rows if crc(i) % 4 == 2}
+    only = spark.createDataFrame([(i, "foreign " * 20_000, "en") for i in range(8)], plain.schema)
+    assert fit(only).languages == ["en"]  # a language of long texts alone is learned from them
+
+
 def test_words_of_letters():
     words = letter_words(["Ab1cd, é", "", "ΣΑ"])
     assert words.count.tolist() == [3, 0, 1]

@@ -6,7 +6,9 @@ then 3, 2, 1 characters, word ends included. Each word is one vote (the log of
 its posterior over the languages), whichever level scores it.
 
 The model is fitted on a bounded sample of the labelled rows: of each language the
-rows that come first by hash, as many as fit in ``SAMPLE_DOCS`` and ``SAMPLE_CHARS``.
+rows that come first by hash, as many as fit in ``SAMPLE_DOCS`` and ``SAMPLE_CHARS``;
+texts of more than a ``LONG``-th of these characters come after all others, so that one
+of them does not end the sample.
 That bounds what is collected and sent to the tasks; scoring reads every text.
 """
 
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from .kernels import SLICE_BYTES, U64, HashIndex, Texts, Words, mix64, runs
 
 ORDERS = (4, 3, 2, 1)
-SAMPLE_DOCS, SAMPLE_CHARS = 4000, 2_000_000
+SAMPLE_DOCS, SAMPLE_CHARS, LONG = 4000, 2_000_000, 20
 SMOOTHING = 0.1
 UNKNOWN = "und"
 _LETTERS: list[np.ndarray] = []
@@ -171,8 +173,9 @@ def fit(
 ) -> Model:
     """Model of the labelled rows that are not held out."""
     share = (F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string")), 11) + 1) / F.lit(2.0**53)
+    late = F.when(F.length(text_col) > sample_chars // LONG, 1000).otherwise(0)  # beyond the 424 steps of all others
     train = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col)).select(
-        F.col(label_col).alias("lang"), F.col(text_col).alias("text"), F.floor(-8 * F.log2(share)).cast("int").alias("step")
+        F.col(label_col).alias("lang"), F.col(text_col).alias("text"), (F.floor(-8 * F.log2(share)) - late).cast("int").alias("step")
     )
     # Each step holds about a twelfth less of all hashes than the one before, so at any
     # size of the input some step cuts the sample near its bounds. A few rows a language.
