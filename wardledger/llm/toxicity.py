@@ -1,14 +1,19 @@
 """Toxicity by the votes of the nearest labelled examples.
 
-Examples and texts are TF-IDF vectors over selected terms: words and word beginnings
-of ``PREFIXES`` letters, those with the greatest chi-square against the label, and
-one term that stands for all words of a text together (so that a term weighs less in
-a long text). The nearest examples by exact cosine come from an inverted index whose
-postings are cut into blocks of ``BLOCK`` examples: the sum of the blocks' greatest
-weights bounds every cosine in a block, and a block is scored only while its bound
-reaches the k-th best cosine so far.
-
-The index is fitted on the ``SAMPLE`` labelled rows that come first by hash, which
+Examples and texts are TF-IDF vectors over all words (runs of letters) of all examples:
+``(1 + log tf) * idf``, times how far a word tells the labels of the examples apart
+(``FLOOR`` plus its phi coefficient squared, with Yates' correction), so that a few telling
+words are not drowned by the many rare ones, which stay in the vectors. Document
+frequencies are counted over all documents.
+
+The nearest examples by exact cosine come from an inverted index whose postings are cut
+into blocks of ``BLOCK`` examples. A text's heaviest words are looked up first; for its
+other words the sum of the blocks' greatest weights bounds what an example can still
+gain, and only examples whose bound reaches the k-th best cosine are compared in full.
+All examples that tie with the k-th vote.
+
+Examples are labelled rows, those that come first by hash: at most ``SAMPLE`` of them and
+at most ``SAMPLE_CHARS`` characters, without texts of more than a ``LONG``-th of that. This
 bounds what is collected and sent to the tasks. Every text is scored in full.
 """
 
@@ -21,135 +26,185 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import U64, HashIndex, Words, gather, hash_spans, mix64
+from .kernels import HashIndex, gather
 from .language_id import _parts, held_out, letter_words
 from .shared import stored
 
-SAMPLE, TERMS, NEIGHBOURS, BLOCK = 8000, 512, 15, 64
-PREFIXES = (4, 5, 6, 7)
-NEAREST = 0.001  # added to a distance, so that an equal text has a finite vote
-MIN_EXAMPLES = 3  # toxic examples that a term needs
+SAMPLE, SAMPLE_CHARS, LONG = 8000, 40_000_000, 200
+NEIGHBOURS, BLOCK = 15, 64
+FLOOR = 1e-4  # weight of a word that tells nothing of the label
+NEAREST = 1e-6  # added to a distance: an equal text outvotes all others, but has a finite vote
+HEAVY = 0.8  # share of a text's greatest possible cosine that is looked up before any bound
 
 
-def terms_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all terms and the text of each, with repeats."""
-    keys, text = [words.hash], [words.text]
-    for n in PREFIXES:
-        longer = np.flatnonzero(words.end - words.start > n)
-        start = words.start[longer]
-        keys.append(mix64(hash_spans(words.data, start, start + n) ^ U64(0x7F4A7C159E3779B9)))
-        text.append(words.text[longer])
-    return np.concatenate(keys), np.concatenate(text)
+def bags(texts: list[str | None], vocabulary: HashIndex | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each text begins (and the end), its distinct words in order, and the occurrences of each.
 
-
-def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each term of each example once, with the example's label."""
+    Words are hashes, or numbers of ``vocabulary``, of which other words are left out.
+    """
+    words = letter_words(texts)
+    text, word = words.text, words.hash
+    if vocabulary is not None:
+        number = vocabulary.find(word)
+        text, word = text[number >= 0], number[number >= 0]
+    order = np.lexsort((word, text))
+    text, word = text[order], word[order]
+    new = np.ones(word.size, bool)
+    new[1:] = (word[1:] != word[:-1]) | (text[1:] != text[:-1])
+    at = np.flatnonzero(new)
+    return np.searchsorted(text[at], np.arange(len(texts) + 1)), word[at], np.diff(at, append=word.size)
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of each example and how often it has them."""
     for batch in batches:
-        label = batch.column(1).to_numpy(zero_copy_only=False)
         for first, part in _parts(batch.column(2)):
-            words = letter_words(part)
-            keys, text = terms_of(words)
-            for i in range(len(part)):
-                one = np.unique(keys[text == i])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array(np.full(one.size, label[first + i], np.int32))],
-                    names=["key", "label"],
-                )
+            begin, word, n = bags(part)
+            lists = [
+                pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(v))
+                for v in (word.view(np.int64), n.astype(np.int32))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, len(part)), batch.column(1).slice(first, len(part)), *lists],
+                names=["id", "label", "word", "n"],
+            )
 
 
-def counts_of(texts: list[str | None], vocabulary: HashIndex) -> np.ndarray:
-    """Occurrences of each term in each text; last, the number of words."""
-    words = letter_words(texts)
-    width = vocabulary.keys.size + 1
-    keys, text = terms_of(words)
-    number = vocabulary.find(keys)
-    known = number >= 0
-    table = np.bincount(text[known] * width + number[known], minlength=len(texts) * width).reshape(len(texts), width)
-    table[:, -1] = words.count
-    return table
+def _unit(begin: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of consecutive vectors, each brought to length 1."""
+    row = np.repeat(np.arange(begin.size - 1), np.diff(begin))
+    return weight / np.maximum(np.sqrt(np.bincount(row, weight**2, begin.size - 1)), 1e-300)[row]
 
 
-def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    weight = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0) * idf
-    return weight / np.maximum(np.linalg.norm(weight, axis=1, keepdims=True), 1e-12)
+class BlockMaxIndex:
+    """Examples by word in blocks, with the greatest weight of each word in each block.
 
+    Example ``i`` has the weights ``weight[first[i] : first[i + 1]]`` of the words ``word``.
+    """
 
-class BlockMaxIndex:
-    """Postings by term and block, and the greatest weight of each term in each block."""
-
-    def __init__(self, vectors: np.ndarray) -> None:
-        examples, terms = vectors.shape
-        self.blocks = max(1, -(-examples // BLOCK))
-        example, term = np.nonzero(vectors)
-        order = np.lexsort((example, term))
-        self.example, self.term = example[order], term[order]
-        self.weight = vectors[self.example, self.term]
-        place = self.term * self.blocks + self.example // BLOCK
-        self.first = np.searchsorted(place, np.arange(terms * self.blocks + 1))
-        bound = np.zeros(terms * self.blocks)
-        np.maximum.at(bound, place, self.weight)
-        self.bound = bound.reshape(terms, self.blocks)
-        self.examples = examples
-
-    def _score(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray, out: np.ndarray) -> None:
-        place = (terms[:, None] * self.blocks + blocks[None, :]).ravel()
-        start, count = self.first[place], self.first[place + 1] - self.first[place]
-        times = np.repeat(np.repeat(weights, blocks.size), count)
-        out += np.bincount(gather(self.example, start, count), gather(self.weight, start, count) * times, self.examples)
-
-    def nearest(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` best examples and their cosines; ties go to the earlier example."""
+    def __init__(self, first: np.ndarray, word: np.ndarray, weight: np.ndarray, words: int) -> None:
+        self.first, self.word, self.weight = first, word, weight
+        self.examples = first.size - 1
+        self.block = np.arange(self.examples) // BLOCK
+        order = np.argsort(word, kind="stable")
+        self.example = np.repeat(np.arange(self.examples, dtype=np.int32), np.diff(first))[order]
+        self.posted = weight[order]
+        self.list = np.searchsorted(word[order], np.arange(words + 1))
+        blocks = max(1, -(-self.examples // BLOCK))
+        place = word[order].astype(np.int64) * blocks + self.example // BLOCK
+        new = np.flatnonzero(np.diff(place, prepend=-1))
+        self.part = np.searchsorted(place[new], np.arange(words + 1) * blocks)
+        self.part_block = place[new] % blocks
+        self.part_most = np.maximum.reduceat(self.posted, new) if new.size else np.zeros(0)
+        self.most = np.zeros(words)
+        np.maximum.at(self.most, word, weight)
+        self.blocks = blocks
+        self.query = np.zeros(words)
+
+    def _cosines(self, examples: np.ndarray) -> np.ndarray:
+        start, count = self.first[examples], self.first[examples + 1] - self.first[examples]
+        product = gather(self.weight, start, count) * self.query[gather(self.word, start, count)]
+        return np.bincount(np.repeat(np.arange(examples.size), count), product, examples.size)
+
+    def nearest(self, words: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` best examples with all that tie with the last, and their cosines (above 0), best first."""
         k = min(k, self.examples)
-        terms = np.flatnonzero(query)
-        weights = query[terms]
-        bound = weights @ self.bound[terms]
-        order = np.argsort(-bound, kind="stable")
-        scores, opened = np.zeros(self.examples), np.zeros(self.blocks, bool)
-        step = max(4, -(-k // BLOCK))
-        while not opened.all():
-            todo = order[~opened[order]]
-            if opened.any():
-                least = np.partition(scores, self.examples - k)[self.examples - k]
-                todo = todo[bound[todo] >= least - 1e-9]
-                if not todo.size:
-                    break
-            todo = todo[:step]
-            self._score(terms, weights, todo, scores)
-            opened[todo] = True
-            step *= 4
-        scores[~opened[np.arange(self.examples) // BLOCK]] = -1.0
-        scores = np.round(scores, 9)  # equal vectors tie whatever the order of their sums
-        least = np.partition(scores, self.examples - k)[self.examples - k]
-        near = np.flatnonzero(scores >= least)
-        near = near[np.lexsort((near, -scores[near]))][:k]
-        return near, scores[near]
+        gain = weights * self.most[words]
+        order = np.argsort(-gain, kind="stable")
+        cut = int(np.searchsorted(np.cumsum(gain[order]), HEAVY * gain.sum())) + 1
+        heavy, light = order[:cut], order[cut:]
+        start, count = self.list[words[heavy]], self.list[words[heavy] + 1] - self.list[words[heavy]]
+        product = gather(self.posted, start, count) * np.repeat(weights[heavy], count)
+        bound = np.bincount(gather(self.example, start, count), product, self.examples)
+        start, count = self.part[words[light]], self.part[words[light] + 1] - self.part[words[light]]
+        most = gather(self.part_most, start, count) * np.repeat(weights[light], count)
+        bound += np.bincount(gather(self.part_block, start, count), most, self.blocks)[self.block]
+        self.query[words] = weights
+        least = self._cosines(np.argpartition(-bound, k - 1)[:k]).min()
+        near = np.flatnonzero((bound >= least - 1e-8) & (bound > 0))
+        cosine = np.round(self._cosines(near), 9)  # equal vectors tie whatever the order of their sums
+        self.query[words] = 0
+        if near.size > k:
+            keep = cosine >= np.partition(cosine, near.size - k)[near.size - k]
+            near, cosine = near[keep], cosine[keep]
+        near, cosine = near[cosine > 0], cosine[cosine > 0]
+        order = np.lexsort((near, -cosine))
+        return near[order], cosine[order]
 
 
 class Model:
-    """What ``fit`` returns: plain arrays (``state``) and the index made of them."""
+    """What ``fit`` returns: plain arrays (``state``) and the index made of them.
+
+    ``value``: weight of one occurrence of each word; ``n``: occurrences of ``word`` in the examples.
+    """
 
-    def __init__(self, keys: np.ndarray, idf: np.ndarray, vectors: np.ndarray, labels: np.ndarray, ids: np.ndarray) -> None:
-        self.state = (keys, idf, vectors, labels, ids)
-        self.idf, self.labels, self.ids = idf, labels, ids
+    def __init__(
+        self, keys: np.ndarray, value: np.ndarray, first: np.ndarray, word: np.ndarray, n: np.ndarray,
+        labels: np.ndarray, ids: np.ndarray,
+    ) -> None:
+        self.state = (keys, value, first, word, n, labels, ids)
+        self.value, self.labels, self.ids = value, labels, ids
         self.vocabulary = HashIndex()
         self.vocabulary.add(keys)
-        self.index = BlockMaxIndex(vectors)
+        self.index = BlockMaxIndex(first, word, self._vectors(first, word, n), keys.size)
         self.rate = float(labels.mean()) if labels.size else 0.0
 
+    def _vectors(self, first: np.ndarray, word: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return _unit(first, (1 + np.log(n)) * self.value[word])
+
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[int]]]:
         """Votes weighted by 1 / distance (0 to 1) and the ids of the nearest three that agree."""
         out, evidence = np.full(len(texts), self.rate), [[] for _ in texts]
         if not self.labels.size:
             return out, evidence
-        for i, query in enumerate(_vectors(counts_of(texts, self.vocabulary), self.idf)):
-            if query.any():
-                near, cosine = self.index.nearest(query, NEIGHBOURS)
+        begin, word, n = bags(texts, self.vocabulary)
+        weight = self._vectors(begin, word, n)
+        for i in np.flatnonzero(np.diff(begin)):
+            own = slice(begin[i], begin[i + 1])
+            near, cosine = self.index.nearest(word[own], weight[own], NEIGHBOURS)
+            if near.size:
                 vote = 1 / (1 + NEAREST - np.minimum(cosine, 1))
                 out[i] = (vote * self.labels[near]).sum() / vote.sum()
                 evidence[i] = self.ids[near[self.labels[near] == (out[i] >= 0.5)][:3]].tolist()
         return out, evidence
 
 
+def _frequencies(docs: DataFrame, text_col: str, keys: np.ndarray) -> tuple[int, np.ndarray]:
+    """Number of all documents, and of those that hold each of ``keys``."""
+    sent = docs.sparkSession.sparkContext.broadcast(keys)  # bounded by the sample
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = HashIndex()
+        vocabulary.add(sent.value)
+        found = np.zeros(sent.value.size + 1, np.int64)
+        for batch in batches:
+            for _, part in _parts(batch.column(0)):
+                found[:-1] += np.bincount(bags(part, vocabulary)[1], minlength=found.size - 1)
+                found[-1] += len(part)
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(found[some])], names=["word", "n"])
+
+    counts = (
+        docs.select(F.col(text_col).alias("text"))
+        .mapInArrow(count, "word int, n bigint")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
+    )
+    out = np.zeros(keys.size + 1, np.int64)
+    out[counts.column("word").to_numpy()] = counts.column("n").to_numpy()
+    return int(out[-1]), out[:-1]
+
+
+def association(toxic: np.ndarray, clean: np.ndarray, all_toxic: int, all_clean: int) -> np.ndarray:
+    """Phi squared, with Yates' correction, of a word (in so many examples of each label) and the label."""
+    toxic, clean = toxic.astype(float), clean.astype(float)
+    both, every = toxic + clean, all_toxic + all_clean
+    apart = np.maximum(0, np.abs(toxic * (all_clean - clean) - clean * (all_toxic - toxic)) - every / 2)
+    spread = both * (every - both) * float(all_toxic) * float(all_clean)
+    return np.where(spread > 0, apart**2 / np.where(spread > 0, spread, 1), 0.0)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -157,59 +212,47 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     sample: int = SAMPLE,
+    sample_chars: int = SAMPLE_CHARS,
 ) -> Model:
     """Model of labelled rows that are not held out (crc32 of the id modulo 5 is 0)."""
     chosen = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col, 5, 0))
         .groupBy(F.col(id_col).cast("bigint").alias("id"))
         .agg(F.max(F.col(label_col).cast("int")).alias("label"))
-        .orderBy(F.xxhash64("id"), "id")
+        .select("id", "label", F.xxhash64("id").alias("turn"))
+        .orderBy("turn", "id")
         .limit(sample)
     )
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    rows = stored(rows.join(F.broadcast(chosen), "id").select("id", "label", "text"), "toxicity-sample")
-    size = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = size.get(1, 0), size.get(0, 0)
-    df = (
-        rows.mapInArrow(_presence, "key bigint, label int")
-        .groupBy("key")
-        .agg(F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b"))
+    rows = rows.where(F.length("text") <= sample_chars // LONG)
+    rows = rows.join(F.broadcast(chosen), "id").groupBy("id", "label", "turn").agg(F.max("text").alias("text"))
+    rows = stored(rows, "toxicity-sample")
+    sizes = rows.select("turn", F.length("text").alias("chars")).toArrow()  # at most `sample` rows
+    turn = np.sort(sizes.column("turn").to_numpy())
+    chars = sizes.column("chars").to_numpy()[np.argsort(sizes.column("turn").to_numpy(), kind="stable")]
+    fits = turn[np.cumsum(chars) <= sample_chars]
+    found = (
+        rows.where(F.col("turn") <= (int(fits[-1]) if fits.size else -(1 << 63)))
+        .select("id", "label", "text")
+        .mapInArrow(_bags, "id bigint, label int, word array<bigint>, n array<int>")
+        .toArrow()  # bounded by `sample_chars`
+        .sort_by("id")
+        .combine_chunks()
     )
-    chi = (toxic + clean) * F.pow(F.col("a") * (clean - F.col("b")) - F.col("b") * (toxic - F.col("a")), 2)
-    chi = chi / ((F.col("a") + F.col("b")) * (toxic + clean - F.col("a") - F.col("b")))
-    told = (F.col("a") >= MIN_EXAMPLES) & (F.col("a") * clean > F.col("b") * toxic) & (F.col("a") + F.col("b") < toxic + clean)
-    best = df.where(told).withColumn("chi", chi).orderBy(F.desc("chi"), "key").limit(TERMS).collect()
-    keys = np.array([r["key"] for r in best], np.int64).view(np.uint64)
-    common = np.array([r["a"] + r["b"] for r in best])
-    idf = np.concatenate([np.log(1 + (toxic + clean) / np.maximum(common, 1)), [np.log(2)]])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = HashIndex()
-        vocabulary.add(keys)
-        for batch in batches:
-            for first, part in _parts(batch.column(2)):
-                table = counts_of(part, vocabulary)
-                there = [np.flatnonzero(row) for row in table]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, len(part)),
-                        batch.column(1).slice(first, len(part)),
-                        pa.array([t.tolist() for t in there], pa.list_(pa.int32())),
-                        pa.array([row[t].tolist() for row, t in zip(table, there, strict=True)], pa.list_(pa.int32())),
-                    ],
-                    names=["id", "label", "term", "n"],
-                )
-
-    examples = rows.mapInArrow(count, "id bigint, label int, term array<int>, n array<int>").collect()  # `sample` rows
-    examples.sort(key=lambda r: (r["id"], r["label"], r["term"], r["n"]))
-    table = np.zeros((len(examples), keys.size + 1))
-    for i, r in enumerate(examples):
-        table[i, r["term"]] = r["n"]
-    vectors = _vectors(table, idf)
-    some = vectors.any(axis=1)
-    labelled = np.array([r["label"] for r in examples], np.int64)
-    ids = np.array([r["id"] for r in examples], np.int64)
-    return Model(keys, idf, vectors[some], labelled[some], ids[some])
+    ids, label = (found.column(c).to_numpy().astype(np.int64) for c in ("id", "label"))
+    size = found.column("word").combine_chunks().value_lengths().to_numpy().astype(np.int64)
+    word, n = (found.column(c).combine_chunks().flatten().to_numpy() for c in ("word", "n"))
+    keys, word = np.unique(word.view(np.uint64), return_inverse=True)
+    word, n = word.astype(np.int32), n.astype(np.int32)
+    first = np.concatenate([[0], np.cumsum(size)])
+    toxic = label == 1
+    of_toxic = np.repeat(toxic, size)
+    with_word = np.bincount(word, minlength=keys.size)
+    with_toxic = np.bincount(word[of_toxic], minlength=keys.size)
+    told = association(with_toxic, with_word - with_toxic, int(toxic.sum()), int((~toxic).sum()))
+    documents, frequency = _frequencies(docs, text_col, keys)
+    value = np.log((documents + 1) / (frequency + 0.5)) * (FLOOR + told)
+    return Model(keys, value, first, word, n, toxic.astype(np.int64), ids)
 
 
 def score_toxicity(
@@ -219,7 +262,8 @@ def score_toxicity(
 
     A text without words, null ones too, has the rate of label 1 among the examples as
     its score; without examples all scores are 0. Labels that are null or without a
-    document are skipped, of repeated ones the greater counts. Rows are judged one by
+    document are skipped, of repeated ones the greater counts, as does the greatest of
+    several texts of one id. Rows are judged one by
     one; other columns are not looked at; an empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col).state)
