@@ -143,12 +143,11 @@ class BlockMaxIndex:
         heavy, light = order[:cut], order[cut:]
         start, count = self.list[words[heavy]], self.list[words[heavy] + 1] - self.list[words[heavy]]
         at = _ranges(start, count)
-        bound = np.bincount(self.example[at], self.posted[at] * np.repeat(weights[heavy], count), self.examples)
+        bound = common + np.bincount(self.example[at], self.posted[at] * np.repeat(weights[heavy], count), self.examples)
         start, count = self.part[words[light]], self.part[words[light] + 1] - self.part[words[light]]
         at = _ranges(start, count)
         most = np.bincount(self.part_block[at], self.part_most[at] * np.repeat(weights[light], count), self.blocks)
-        bound += most[self.block]
-        bound += common
+        bound = bound + most[self.block]
         first = np.argpartition(-bound, k - 1)[:k]
         cosine = self._cosines(first)
         also = (bound >= cosine.min() - 1e-5) & (bound > 0)
