@@ -8,7 +8,7 @@ from wardledger.operators.clean import interval_slice, latest_per_key
 from wardledger.operators.flatten import flatten_resource
 from wardledger.operators.membership import key_set, without_match
 from wardledger.operators.responses import parse_responses
-from wardledger.operators.rules import entity_findings, rules
+from wardledger.operators.rules import entity_findings, evaluate, rules
 from wardledger.plans.derived_clinic import DerivedClinic
 from wardledger.sources.resources import RESOURCES
 
@@ -61,17 +61,39 @@ def test_group_limit_before_the_shuffle(stored):
     assert len(limits) == 2 and any("Partial" in line for line in limits)
 
 
-def test_small_reference_is_broadcast_and_child_not_shuffled(stored):
-    known = key_set(stored["encounter"], "satusehat_id")
+@pytest.fixture(scope="module")
+def known(spark, stored, tmp_path_factory):
+    """The key table of a run."""
+    keys = f"{tmp_path_factory.mktemp('keys')}/keys"
+    key_set(stored["encounter"], "satusehat_id").write.parquet(keys)
+    return spark.read.parquet(keys)
+
+
+def test_small_key_table_is_broadcast_and_child_not_shuffled(stored, known):
     plan = physical(without_match(stored["observation"], "satusehat_encounter_id", known))
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "hashpartitioning" not in plan
 
 
-def test_large_reference_shuffles_keys_only(stored):
-    known = key_set(stored["encounter"], "satusehat_id", max_rows=400)
-    assert not known.fits
-    plan = physical(without_match(stored["observation"], "satusehat_encounter_id", known))
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "hashpartitioning" not in plan
+def test_large_key_table_is_one_exchange_a_side(spark, stored, known):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(without_match(stored["observation"].select("name", "satusehat_encounter_id"), "satusehat_encounter_id", known))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and plan.count("hashpartitioning") == 2, plan
+
+
+def test_no_job_while_findings_are_built(spark, folder):
+    tracker = spark.sparkContext.statusTracker()
+    clinic = DerivedClinic(spark, folder)
+    tables = {name: clinic[name] for name in {t for r in rules() for t in (r.source, r.reference) if t}}
+    registry = clinic.rule_registry()
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        evaluate(tables, "2026-08-12", registry=registry)
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_row_rules_scan_once(stored):

@@ -1,80 +1,24 @@
-"""Rows whose key is (not) in another table, without trusting sizes or key spread.
+"""Rows whose key is not in another table.
 
-A key set is reduced to distinct keys before anything else, so a key held by a
-third of all rows is one row per map task. Its size is then measured:
-
-* small: broadcast, the large side is neither shuffled nor sorted;
-* else: distinct child keys are anti-joined with the key set (both sides already
-  reduced) and the few keys without a match select the child rows, by broadcast
-  when they fit and by a salted join when they do not.
+The other table is reduced to its distinct keys, which a batch run stores once. The rest
+is one plain join: the sizes of stored keys let the planner broadcast them or not, and a
+key held by a third of all rows is split at run time, since only the side of the key set
+has to hold each key once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.text import populated
-from ..session import cut_lineage
-
-MAX_BROADCAST_ROWS = 500_000
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
-
-
-@dataclass(frozen=True)
-class KeySet:
-    """Distinct populated keys (column ``_key``) with their measured size."""
-
-    keys: DataFrame
-    rows: int
-    text_bytes: int
-    max_rows: int = MAX_BROADCAST_ROWS
-    max_bytes: int = MAX_BROADCAST_BYTES
-
-    @property
-    def fits(self) -> bool:
-        return self.rows <= self.max_rows and self.text_bytes <= self.max_bytes
-
-
-def _measured(keys: DataFrame, max_rows: int, max_bytes: int) -> KeySet:
-    keys = cut_lineage(keys)
-    size = keys.selectExpr("count(*) AS rows", "coalesce(sum(octet_length(_key)), 0) AS bytes").first()
-    return KeySet(keys, size["rows"], size["bytes"], max_rows, max_bytes)
-
 
-def key_set(
-    df: DataFrame,
-    key: str,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-) -> KeySet:
-    """Distinct populated values of the SQL text ``key``, written once and measured."""
-    keys = df.selectExpr(f"{key} AS _key").where(populated("_key")).distinct()
-    return _measured(keys, max_rows, max_bytes)
 
+def key_set(df: DataFrame, key: str) -> DataFrame:
+    """Distinct populated values of the SQL text ``key`` as the column ``_key``."""
+    return df.selectExpr(f"{key} AS _key").where(populated("_key")).distinct()
 
-def without_match(child: DataFrame, key: str, known: KeySet) -> DataFrame:
-    """Rows of ``child`` with a populated ``key`` that is not in ``known``.
 
-    Nothing fans out: ``known`` holds each key once and only the columns of
-    ``child`` come back, duplicates included.
-    """
+def without_match(child: DataFrame, key: str, known: DataFrame) -> DataFrame:
+    """Rows of ``child`` with a populated ``key`` that is not in ``known``, duplicates included."""
     keyed = child.selectExpr("*", f"{key} AS _key").where(populated("_key"))
-    if known.fits:
-        return keyed.join(F.broadcast(known.keys), "_key", "left_anti").drop("_key")
-    missing = _measured(
-        keyed.select("_key").distinct().join(known.keys, "_key", "left_anti"),
-        known.max_rows,
-        known.max_bytes,
-    )
-    if missing.fits:
-        return keyed.join(F.broadcast(missing.keys), "_key", "left_semi").drop("_key")
-    # Any spread of the salts is right because every key carries all of them; the
-    # partition number tells equal copies apart and is the same in a repeated task.
-    salt = f"CAST(pmod(xxhash64(*, spark_partition_id()), {SALTS}) AS int) AS _salt"
-    salted = keyed.selectExpr("*", salt)
-    spread = missing.keys.selectExpr("_key", f"explode(sequence(0, {SALTS - 1})) AS _salt")
-    return salted.join(spread, ["_key", "_salt"], "left_semi").drop("_key", "_salt")
+    return keyed.join(known, "_key", "left_anti").drop("_key")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import filled, literal, populated
-from .membership import KeySet, key_set, without_match
+from .membership import key_set, without_match
 
 TEXT, STAMP = T.StringType(), T.TimestampNTZType()
 
@@ -144,11 +144,11 @@ def as_finding(rule: Rule, as_of: str) -> dict[str, str]:
 
 
 def entity_findings(
-    entity: DataFrame, group: list[Rule], as_of: str, known: Mapping[str, KeySet] | None = None
+    entity: DataFrame, group: list[Rule], as_of: str, known: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
     """Findings of several rules of one entity, in one pass over it.
 
-    References must fit a broadcast (``known`` by rule); each key is there once,
+    ``known`` holds the distinct keys of the references, by rule; each key is there once,
     so the marking join keeps the row count. Then the numbers of the violated
     rules are exploded: rows without a violation are gone before any text is built.
     """
@@ -157,12 +157,8 @@ def entity_findings(
         if not rule.needs_reference:
             violations.append(rule.violation)
             continue
-        keys = known[rule.rule_id]
-        if not keys.fits:
-            raise ValueError(f"{rule.rule_id}: reference too large for one pass")
-        marks = keys.keys.selectExpr(f"_key AS _key{i}", f"true AS _known{i}")
-        keyed = entity.selectExpr("*", f"{rule.key} AS _key{i}")
-        entity = keyed.join(F.broadcast(marks), f"_key{i}", "left")
+        marks = known[rule.rule_id].selectExpr(f"_key AS _key{i}", f"true AS _known{i}")
+        entity = entity.selectExpr("*", f"{rule.key} AS _key{i}").join(marks, f"_key{i}", "left")
         violations.append(f"{populated(f'_key{i}')} AND _known{i} IS NULL")
     numbers = ", ".join(f"CASE WHEN {violation} THEN {i} END" for i, violation in enumerate(violations))
     hits = entity.selectExpr("*", f"explode(array({numbers})) AS _rule").where("_rule IS NOT NULL")
@@ -176,21 +172,31 @@ def entity_findings(
     return hits.selectExpr(*out)
 
 
-def reference_findings(entity: DataFrame, rule: Rule, known: KeySet, as_of: str) -> DataFrame:
+def reference_findings(entity: DataFrame, rule: Rule, known: DataFrame, as_of: str) -> DataFrame:
     """Findings of one rule whose key must exist in a reference."""
     unmatched = without_match(entity.select(*rule.columns), rule.key, known)
     return unmatched.selectExpr(*[f"{text} AS {name}" for name, text in as_finding(rule, as_of).items()])
 
 
-def known_keys(rule: Rule, tables: Mapping[str, DataFrame], **bounds: int) -> KeySet:
-    return key_set(tables[rule.reference], rule.reference_key, **bounds)
+Slot = tuple[str, str]
 
 
-def check(rule: Rule, tables: Mapping[str, DataFrame], as_of: str, known: KeySet | None = None) -> DataFrame:
-    """Findings of one rule over its tables."""
+def reference_slots(chosen: list[Rule]) -> list[Slot]:
+    """Tables and key texts that the rules refer to, each once."""
+    return list(dict.fromkeys((r.reference, r.reference_key) for r in chosen if r.needs_reference))
+
+
+def known_keys(slot: Slot, tables: Mapping[str, DataFrame]) -> DataFrame:
+    reference, key = slot
+    return key_set(tables[reference], key)
+
+
+def check(rule: Rule, tables: Mapping[str, DataFrame], as_of: str, known: DataFrame | None = None) -> DataFrame:
+    """Findings of one rule over its tables; ``known``: the stored keys of its reference."""
     entity = tables[rule.source]
     if rule.needs_reference:
-        return reference_findings(entity, rule, known or known_keys(rule, tables), as_of)
+        keys = known_keys((rule.reference, rule.reference_key), tables) if known is None else known
+        return reference_findings(entity, rule, keys, as_of)
     return entity_findings(entity, [rule], as_of)
 
 
@@ -202,41 +208,36 @@ def assert_contract(df: DataFrame) -> DataFrame:
     return df
 
 
+def active(registry: DataFrame) -> DataFrame:
+    """Ids of the rules of this library that are ACTIVE in a registry, one row a rule."""
+    known = F.col("rule_id").isin(list(REGISTRY)) & (F.col("status") == "ACTIVE")
+    return registry.where(known).select("rule_id").distinct()
+
+
 def evaluate(
     tables: Mapping[str, DataFrame],
     as_of: str,
     rule_ids: list[str] | None = None,
     registry: DataFrame | None = None,
-    **bounds: int,
+    stored_keys: Mapping[Slot, DataFrame] | None = None,
 ) -> DataFrame:
     """Union of the findings of all rules; with ``registry`` only of those that are ACTIVE in it.
 
-    Rules with the same reference column share one measured key set. All rules of
-    an entity run in one pass, but for those whose reference is too large to be
-    broadcast: these follow on their own.
+    All rules of an entity run in one pass. ``stored_keys`` replaces the keys that are
+    read from the references. No Spark job runs before an action on the result.
     """
-    shared: dict[tuple[str, str], KeySet] = {}
-    known: dict[str, KeySet] = {}
+    chosen = rules(rule_ids)
+    slots = {slot: (stored_keys or {}).get(slot) for slot in reference_slots(chosen)}
+    keys = {slot: known_keys(slot, tables) if df is None else df for slot, df in slots.items()}
+    known = {r.rule_id: keys[r.reference, r.reference_key] for r in chosen if r.needs_reference}
     by_entity: dict[str, list[Rule]] = {}
-    parts: list[DataFrame] = []
-    for rule in rules(rule_ids):
-        if rule.needs_reference:
-            slot = (rule.reference, rule.reference_key)
-            if slot not in shared:
-                shared[slot] = known_keys(rule, tables, **bounds)
-            known[rule.rule_id] = shared[slot]
-            if not shared[slot].fits:
-                parts.append(reference_findings(tables[rule.source], rule, shared[slot], as_of))
-                continue
+    for rule in chosen:
         by_entity.setdefault(rule.source, []).append(rule)
-    for source, group in by_entity.items():
-        parts.append(entity_findings(tables[source], group, as_of, known))
+    parts = [entity_findings(tables[source], group, as_of, known) for source, group in by_entity.items()]
     found = reduce(DataFrame.unionByName, map(assert_contract, parts))
     if registry is None:
         return found
-    # One row a registered rule at most.
-    active = registry.where(F.col("rule_id").isin(list(REGISTRY)) & (F.col("status") == "ACTIVE"))
-    return found.join(F.broadcast(active.select("rule_id").distinct()), "rule_id", "left_semi").select(found.columns)
+    return found.join(F.broadcast(active(registry)), "rule_id", "left_semi").select(found.columns)
 
 
 # ---- fixed values: the eight active rules and the texts of their findings ---

@@ -15,7 +15,7 @@ from ..operators.clean import clean_columns, clean_text, latest_per_key, lost_wi
 from ..operators.flatten import ACCEPTED, REJECT, flatten_resource, rejects_sql
 from ..operators.profile import FLAT_SUFFIX, list_tables, row_counts
 from ..operators.responses import parse_responses
-from ..operators.rules import ENCOUNTER_TABLE, evaluate, rules
+from ..operators.rules import ENCOUNTER_TABLE, FINDING, Slot, active, evaluate, known_keys, reference_slots, rules
 from ..session import tune
 from ..sources.readers import day_of, load_bronze
 from ..sources.resources import RESOURCES, Resource
@@ -125,6 +125,12 @@ class Medallion:
                     tables[spec.silver_table] = newest_versions(tables[spec.silver_table], spec.grain)
         return tables
 
+    def store_keys(self, tables: Mapping[str, DataFrame]) -> dict[Slot, DataFrame]:
+        """Distinct keys of every reference, written once a run."""
+        names = {slot: self.layout.stored("silver", f"{slot[0]}_keys") for slot in reference_slots(rules())}
+        self._each(lambda slot: overwrite_table(known_keys(slot, tables), names[slot]), names)
+        return {slot: self.spark.table(name) for slot, name in names.items()}
+
     def build_gold(
         self,
         registry: DataFrame,
@@ -136,7 +142,11 @@ class Medallion:
         tables = self.silver_tables(newest_only)
         overwrite_table(registry, self.layout.table("gold", "audit_rule"))
         rule = self.table("gold", "audit_rule")
-        findings = evaluate({**tables, **code_lists}, as_of, registry=rule)
+        tables |= code_lists
+        fired = [r["rule_id"] for r in active(rule).collect()]  # one row a rule of the library
+        findings = self.spark.createDataFrame([], FINDING)
+        if fired:
+            findings = evaluate(tables, as_of, fired, stored_keys=self.store_keys(tables))
         if newest_only:
             findings = findings.dropDuplicates(["finding_id"])
         stored = self.layout.table("gold", "audit_finding")

@@ -61,26 +61,3 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     store.deleteOnExit(where)
     return store.makeQualified(where).toString()
-
-
-def _has_checkpoint_dir(spark: SparkSession) -> bool:
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir():
-        return True
-    if configured:
-        context.setCheckpointDir(configured)
-        return True
-    if context.master.startswith("local[") or context.master == "local":
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardledger-checkpoint-"))
-        return True
-    return False
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from there.
-
-    A cluster without ``spark.checkpoint.dir`` gets the frame back unchanged: it
-    is then recomputed at each use, never kept in a machine-local folder.
-    """
-    return df.checkpoint(eager=True) if _has_checkpoint_dir(df.sparkSession) else df
