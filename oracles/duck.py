@@ -176,48 +176,84 @@ def children(view_name: str) -> str:
 
 
 # ---- responses ----------------------------------------------------------------
+# Column and the place of its value in the body, for refused and for accepted documents.
+REFUSED = {
+    "error_severity": "$.issue[0].severity",
+    "error_code": "$.issue[0].code",
+    "error_message": "$.issue[0].details.text",
+    "error_expression": "$.issue[0].expression[0]",
+}
+ACCEPTED = {
+    "submitted_resource_id": "$.id",
+    "submitted_last_updated": "$.meta.lastUpdated",
+    "submitted_version_id": "$.meta.versionId",
+}
+HEAD = "STATUS CODE:"
+
+
+def _answers(spec) -> str:
+    """One row per answer text."""
+    rows = typed(spec.table)
+    if not spec.is_array:
+        return f"SELECT *, api_response AS answer FROM ({rows}) AS b WHERE api_response IS NOT NULL"
+    listed = f"SELECT *, TRY_CAST(api_response AS JSON) AS whole FROM ({rows}) AS b"
+    places = "CAST(range(CAST(json_array_length(whole) AS BIGINT)) AS INTEGER[])"
+    return (
+        f"SELECT * EXCLUDE (whole), CAST(json_extract(whole, '$[' || response_idx || ']') AS VARCHAR) AS answer "
+        f"FROM (SELECT *, unnest({places}) AS response_idx FROM ({listed}) AS l WHERE json_type(whole) = 'ARRAY') AS p"
+    )
+
+
 def responses(resource: str) -> str:
+    """Three kinds of answers, each read in its own way, then the fields of their bodies."""
     spec = RESOURCES[resource]
-    fields = bronze_fields(spec.table)
-    if spec.is_array:
-        answers = (
-            "SELECT *, unnest(answers)::VARCHAR AS answer, CAST(unnest(range(len(answers))) AS INTEGER) AS response_idx "
-            "FROM (SELECT *, CASE WHEN json_type(TRY_CAST(api_response AS JSON)) = 'ARRAY' "
-            f"THEN CAST(TRY_CAST(api_response AS JSON) AS JSON[]) END AS answers FROM ({typed(spec.table)}) AS b) AS l"
-        )
-    else:
-        answers = f"SELECT *, api_response AS answer FROM ({typed(spec.table)}) AS b WHERE api_response IS NOT NULL"
-    bodies = f"""SELECT *,
-        CASE WHEN answer LIKE 'STATUS CODE:%' THEN regexp_extract(answer, '(\\{{.*)', 1)
-             WHEN json_valid(answer) AND json_extract_string(answer, '$.response') IS NOT NULL
-                  THEN json_extract_string(answer, '$.response')
-             WHEN json_valid(answer) THEN answer END AS body,
-        CASE WHEN answer LIKE 'STATUS CODE:%'
-                  THEN TRY_CAST(regexp_extract(answer, 'STATUS CODE:\\s*(\\d+)', 1) AS INTEGER)
-             WHEN json_valid(answer)
-                  THEN TRY_CAST(json_extract_string(answer, '$.status_code') AS INTEGER)
-        END AS submission_http_status
-        FROM ({answers}) AS a"""
-
-    def at(path: str) -> str:
-        return f"json_extract_string(body, '$.{path}')"
-
-    kind = at("resourceType")
-    failed = f"{kind} = 'OperationOutcome'"
-    done = f"{kind} <> 'OperationOutcome'"
-    lead = _cleaned(fields, DROPPED)
+    digits = f"trim(split_part(substr(answer, {len(HEAD) + 1}), '{{', 1), chr(32) || chr(9) || chr(10) || chr(13))"
+    inner = "json_extract_string(document, '$.response')"
+    # kind -> (which answers, body, HTTP status)
+    kinds = {
+        "headed": (
+            f"starts_with(answer, '{HEAD}')",
+            "nullif(substr(answer, strpos(answer, '{')), answer)",
+            f"TRY_CAST(string_split_regex({digits}, '[^0-9]')[1] AS INTEGER)",
+        ),
+        "wrapped": (
+            f"document IS NOT NULL AND {inner} IS NOT NULL",
+            inner,
+            "TRY_CAST(json_extract_string(document, '$.status_code') AS INTEGER)",
+        ),
+        "bare": (
+            f"document IS NOT NULL AND {inner} IS NULL",
+            "answer",
+            "TRY_CAST(json_extract_string(document, '$.status_code') AS INTEGER)",
+        ),
+        "other": ("document IS NULL", "CAST(NULL AS VARCHAR)", "CAST(NULL AS INTEGER)"),
+    }
+    headed = kinds["headed"][0]
+    read = " UNION ALL ".join(
+        f"SELECT *, {body} AS body, {status} AS submission_http_status FROM answers "
+        f"WHERE {which if kind == 'headed' else f'NOT {headed} AND {which}'}"
+        for kind, (which, body, status) in kinds.items()
+    )
+    paths = ["$.resourceType", *REFUSED.values(), *ACCEPTED.values()]
+    fields = f"SELECT *, json_extract_string(body, {paths}) AS found FROM ({read}) AS r"
+    sides = (
+        f"SELECT *, found[1] = 'OperationOutcome' AS is_submission_error, "
+        f"list_transform(found, lambda v: CASE found[1] WHEN 'OperationOutcome' THEN v END) AS refused, "
+        f"list_transform(found, lambda v: CASE found[1] WHEN 'OperationOutcome' THEN NULL ELSE v END) AS accepted "
+        f"FROM ({fields}) AS f"
+    )
+    shown = [f"refused[{i}] AS {name}" for i, name in enumerate(REFUSED, 2)]
+    for i, name in enumerate(ACCEPTED, 2 + len(REFUSED)):
+        value = f"CASE WHEN found[1] IS NOT NULL THEN accepted[{i}] END"
+        shown.append(f"{f'TRY_CAST({value} AS TIMESTAMP)' if name.endswith('updated') else value} AS {name}")
+    lead = _cleaned(bronze_fields(spec.table), DROPPED)
     index = "response_idx, " if spec.is_array else ""
-    return f"""SELECT {lead}, api_response, {index}submission_http_status,
-        {kind} AS response_resource_type,
-        ({failed}) AS is_submission_error,
-        CASE WHEN {failed} THEN {at('issue[0].severity')} END AS error_severity,
-        CASE WHEN {failed} THEN {at('issue[0].code')} END AS error_code,
-        CASE WHEN {failed} THEN {at('issue[0].details.text')} END AS error_message,
-        CASE WHEN {failed} THEN {at('issue[0].expression[0]')} END AS error_expression,
-        CASE WHEN {done} THEN {at('id')} END AS submitted_resource_id,
-        CASE WHEN {done} THEN TRY_CAST({at('meta.lastUpdated')} AS TIMESTAMP) END AS submitted_last_updated,
-        CASE WHEN {done} THEN {at('meta.versionId')} END AS submitted_version_id
-        FROM ({bodies}) AS p"""
+    answers = f"SELECT *, TRY_CAST(answer AS JSON) AS document FROM ({_answers(spec)}) AS a"
+    return _cte(
+        {"answers": answers},
+        f"SELECT {lead}, api_response, {index}submission_http_status, found[1] AS response_resource_type, "
+        f"is_submission_error, {', '.join(shown)} FROM ({sides}) AS s",
+    )
 
 
 # ---- gold ---------------------------------------------------------------------
@@ -252,21 +288,6 @@ def registry(as_text: bool = True) -> str:
     return f"SELECT {', '.join(out)} FROM ({shipped} UNION ALL {local}) AS r"
 
 
-def _finding(rule_id: str, source: str, alias: str, patient: str, encounter: str, actual: str, why: str) -> str:
-    rule = REGISTRY[rule_id]
-    key = f"{alias}.{rule.entity_id}"
-    return f"""SELECT md5('NA' || '|{rule_id}|{rule.entity_type}|' || {key}) AS finding_id,
-        CAST(NULL AS VARCHAR) AS audit_run_id, '{rule_id}' AS rule_id, 1 AS rule_version,
-        '{rule.audit_domain}' AS audit_domain, '{rule.focus_area}' AS focus_area,
-        '{rule.entity_type}' AS entity_type, {key} AS entity_id, {patient} AS patient_id,
-        {encounter} AS encounter_id, {actual} AS actual_value, {_quoted(rule.expected)} AS expected_value,
-        '{rule.severity}' AS severity, 'OPEN' AS status, {AS_OF} AS detected_at,
-        CAST(NULL AS TIMESTAMP) AS resolved_at, 'Frappe' AS source_system, {key} AS source_record_id,
-        'silver.{source}:{rule.entity_id}=' || {key} AS evidence_reference, {why} AS explanation,
-        CAST(NULL AS VARCHAR) AS reviewer_id, CAST(NULL AS VARCHAR) AS review_note,
-        CAST(NULL AS VARCHAR) AS resolution_code"""
-
-
 def _parts() -> dict[str, str]:
     return {
         "patients": master("tabPatient"),
@@ -279,131 +300,149 @@ def _parts() -> dict[str, str]:
     }
 
 
-def _checks() -> dict[str, tuple[list[str], str]]:
-    """Rule -> the parts it reads and its SELECT."""
-    checks = {}
+#: What a violating row shows: rule -> (part, patient, encounter, shown value, explanation around it).
+SHOWN = {
+    "CTL-TERM-ICD10-001": (
+        "conditions", "patient", "satusehat_encounter_id", "icd_code",
+        "Diagnosis code '%' tidak ditemukan di bronze.icd_10 (ICD-10 2010)",
+    ),
+    "CTL-TERM-ICD9CM-001": (
+        "procedures", "patient_ihs", "satusehat_encounter_id", "code",
+        "Procedure code '%' tidak ditemukan di bronze.icd_9cm (ICD-9-CM 2010)",
+    ),
+    "CTL-REF-COND-ENC-001": (
+        "conditions", "patient", "satusehat_encounter_id", "satusehat_encounter_id",
+        "Condition mereferensikan Encounter (satusehat_encounter_id = '%') yang tidak ditemukan di "
+        "silver.encounter_fhir_resource",
+    ),
+    "CTL-REF-PROC-ENC-001": (
+        "procedures", "patient_ihs", "satusehat_encounter_id", "satusehat_encounter_id",
+        "Procedure mereferensikan Encounter (satusehat_encounter_id = '%') yang tidak ditemukan di "
+        "silver.encounter_fhir_resource",
+    ),
+    "CTL-REF-OBS-ENC-001": (
+        "observations", "patient", "satusehat_encounter_id", "satusehat_encounter_id",
+        "Observation mereferensikan Encounter (satusehat_encounter_id = '%') yang tidak ditemukan di "
+        "silver.encounter_fhir_resource",
+    ),
+    "CTL-STRUCT-ENC-STATUS-001": (
+        "encounters", "patient", "satusehat_id", "fhir_status",
+        "Encounter.status ('%') bukan salah satu dari 3 status yang wajib dikirim SatuSehat: "
+        "arrived, in-progress, finished",
+    ),
+    "CTL-TEMPORAL-ENC-001": (
+        "encounters", "patient", "satusehat_id", "concat_ws(' > ', period_start, period_end)",
+        "Encounter.period_start (%) lebih besar dari period_end (%) -- timeline tidak mungkin",
+    ),
+    "CTL-IDENT-PAT-FORMAT-001": (
+        "patients", "name", "NULL", "uid",
+        "Patient.uid ('%') tidak berformat 16 digit numerik. Catatan: ini format-check saja -- "
+        "definisi resmi field uid belum dikonfirmasi (lihat rule_basis = UNVERIFIED)",
+    ),
+}
+#: Values that no set holds, as set differences, and predicates of single rows.
+MISSING = {
+    "CTL-TERM-ICD10-001": ("trim(icd_code)", "icd10", "trim(CODE)"),
+    "CTL-TERM-ICD9CM-001": ("trim(code)", "icd9", "trim(CODE)"),
+    "CTL-REF-COND-ENC-001": ("satusehat_encounter_id", "encounters", "satusehat_id"),
+    "CTL-REF-PROC-ENC-001": ("satusehat_encounter_id", "encounters", "satusehat_id"),
+    "CTL-REF-OBS-ENC-001": ("satusehat_encounter_id", "encounters", "satusehat_id"),
+}
+WRONG = {
+    "CTL-STRUCT-ENC-STATUS-001": (
+        "length(trim(fhir_status)) > 0 AND NOT list_contains(['arrived', 'in-progress', 'finished'], fhir_status)"
+    ),
+    "CTL-TEMPORAL-ENC-001": "date_diff('microsecond', period_end, period_start) > 0",
+    "CTL-IDENT-PAT-FORMAT-001": (
+        "length(trim(uid)) > 0 AND (length(trim(uid)) <> 16 OR translate(trim(uid), '0123456789', '') <> '')"
+    ),
+}
+
+
+def _violations(rule_id: str) -> str:
+    """What the rows that break a rule have of their own."""
+    part, patient, encounter, value, why = SHOWN[rule_id]
+    if rule_id in WRONG:
+        which = WRONG[rule_id]
+    else:
+        key, known, known_key = MISSING[rule_id]
+        which = f"{key} IN (SELECT {key} FROM {part} WHERE length(trim({key})) > 0 EXCEPT SELECT {known_key} FROM {known})"
+    pieces = [_quoted(piece) for piece in why.split("%")]
+    filling = ["CAST(period_start AS VARCHAR)", "CAST(period_end AS VARCHAR)"] if len(pieces) > 2 else [value]
+    text = " || ".join(x for pair in zip(pieces, [*filling, "''"]) for x in pair)
+    return (
+        f"SELECT '{rule_id}' AS rule_id, {REGISTRY[rule_id].entity_id} AS entity_id, {patient} AS patient_id, "
+        f"CAST({encounter} AS VARCHAR) AS encounter_id, {value} AS actual_value, {text} AS explanation "
+        f"FROM {part} WHERE {which}"
+    )
 
-    def add(rule_id: str, needs: list[str], select: str, rest: str) -> None:
-        checks[rule_id] = (needs, f"{select} {rest}")
 
-    add(
-        "CTL-TERM-ICD10-001", ["conditions", "icd10"],
-        _finding(
-            "CTL-TERM-ICD10-001", "condition_fhir_resource", "c", "c.patient", "c.satusehat_encounter_id", "c.icd_code",
-            "'Diagnosis code ''' || c.icd_code || ''' tidak ditemukan di bronze.icd_10 (ICD-10 2010)'",
-        ),
-        "FROM conditions c LEFT JOIN icd10 r ON TRIM(c.icd_code) = TRIM(r.CODE) "
-        "WHERE c.icd_code IS NOT NULL AND TRIM(c.icd_code) <> '' AND r.CODE IS NULL",
-    )
-    add(
-        "CTL-TERM-ICD9CM-001", ["procedures", "icd9"],
-        _finding(
-            "CTL-TERM-ICD9CM-001", "procedure_fhir_resource", "p", "p.patient_ihs", "p.satusehat_encounter_id", "p.code",
-            "'Procedure code ''' || p.code || ''' tidak ditemukan di bronze.icd_9cm (ICD-9-CM 2010)'",
-        ),
-        "FROM procedures p LEFT JOIN icd9 r ON TRIM(p.code) = TRIM(r.CODE) "
-        "WHERE p.code IS NOT NULL AND TRIM(p.code) <> '' AND r.CODE IS NULL",
-    )
-    for rule_id, part, kind, patient in (
-        ("CTL-REF-COND-ENC-001", "conditions", "Condition", "x.patient"),
-        ("CTL-REF-PROC-ENC-001", "procedures", "Procedure", "x.patient_ihs"),
-        ("CTL-REF-OBS-ENC-001", "observations", "Observation", "x.patient"),
-    ):
-        add(
-            rule_id, [part, "encounters"],
-            _finding(
-                rule_id, f"{kind.lower()}_fhir_resource", "x", patient, "x.satusehat_encounter_id",
-                "x.satusehat_encounter_id",
-                f"'{kind} mereferensikan Encounter (satusehat_encounter_id = ''' || x.satusehat_encounter_id || "
-                "''') yang tidak ditemukan di silver.encounter_fhir_resource'",
-            ),
-            f"FROM {part} x LEFT JOIN encounters e ON x.satusehat_encounter_id = e.satusehat_id "
-            "WHERE x.satusehat_encounter_id IS NOT NULL AND TRIM(x.satusehat_encounter_id) <> '' "
-            "AND e.satusehat_id IS NULL",
-        )
-    add(
-        "CTL-STRUCT-ENC-STATUS-001", ["encounters"],
-        _finding(
-            "CTL-STRUCT-ENC-STATUS-001", "encounter_fhir_resource", "e", "e.patient", "e.satusehat_id", "e.fhir_status",
-            "'Encounter.status (''' || e.fhir_status || ''') bukan salah satu dari 3 status yang wajib dikirim "
-            "SatuSehat: arrived, in-progress, finished'",
-        ),
-        "FROM encounters e WHERE e.fhir_status IS NOT NULL AND TRIM(e.fhir_status) <> '' "
-        "AND e.fhir_status NOT IN ('arrived', 'in-progress', 'finished')",
-    )
-    start, end = "CAST(e.period_start AS VARCHAR)", "CAST(e.period_end AS VARCHAR)"
-    add(
-        "CTL-TEMPORAL-ENC-001", ["encounters"],
-        _finding(
-            "CTL-TEMPORAL-ENC-001", "encounter_fhir_resource", "e", "e.patient", "e.satusehat_id",
-            f"{start} || ' > ' || {end}",
-            f"'Encounter.period_start (' || {start} || ') lebih besar dari period_end (' || {end} || "
-            "') -- timeline tidak mungkin'",
-        ),
-        "FROM encounters e WHERE e.period_start IS NOT NULL AND e.period_end IS NOT NULL "
-        "AND e.period_start > e.period_end",
-    )
-    add(
-        "CTL-IDENT-PAT-FORMAT-001", ["patients"],
-        _finding(
-            "CTL-IDENT-PAT-FORMAT-001", "tabPatient", "t", "t.name", "CAST(NULL AS VARCHAR)", "t.uid",
-            "'Patient.uid (''' || t.uid || ''') tidak berformat 16 digit numerik. Catatan: ini format-check saja "
-            "-- definisi resmi field uid belum dikonfirmasi (lihat rule_basis = UNVERIFIED)'",
-        ),
-        "FROM patients t WHERE t.uid IS NOT NULL AND TRIM(t.uid) <> '' "
-        "AND NOT regexp_matches(TRIM(t.uid), '^[0-9]{16}$')",
+def _facts() -> str:
+    """What all findings of a rule share."""
+    rows = [
+        (r.rule_id, r.audit_domain, r.focus_area, r.entity_type, r.expected, r.severity, f"silver.{r.source}:{r.entity_id}=")
+        for r in REGISTRY.values()
+    ]
+    values = ", ".join("(" + ", ".join(map(_quoted, row)) + ")" for row in rows)
+    names = "rule_id, audit_domain, focus_area, entity_type, expected_value, severity, place"
+    return f"SELECT * FROM (VALUES {values}) AS v({names})"
+
+
+EMPTY = {
+    "audit_run_id": "VARCHAR", "resolved_at": "TIMESTAMP", "reviewer_id": "VARCHAR", "review_note": "VARCHAR",
+    "resolution_code": "VARCHAR",
+}
+
+
+def _contract(rule_ids: Iterable[str]) -> str:
+    empty = ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in EMPTY.items())
+    return (
+        "SELECT v.*, f.* EXCLUDE (rule_id, place), 1 AS rule_version, 'OPEN' AS status, 'Frappe' AS source_system, "
+        f"entity_id AS source_record_id, place || entity_id AS evidence_reference, {AS_OF} AS detected_at, {empty}, "
+        "md5(concat_ws('|', 'NA', v.rule_id, entity_type, entity_id)) AS finding_id "
+        f"FROM ({' UNION ALL '.join(map(_violations, rule_ids))}) AS v JOIN ({_facts()}) AS f ON f.rule_id = v.rule_id"
     )
-    return checks
 
 
 def check(rule_id: str) -> str:
-    needs, select = _checks()[rule_id]
-    parts = _parts()
-    return _cte({n: parts[n] for n in parts if n in needs}, select)
+    needed = {SHOWN[rule_id][0], *MISSING.get(rule_id, ())}
+    return _cte({n: sql for n, sql in _parts().items() if n in needed}, _contract([rule_id]))
 
 
-def _gold_parts() -> dict[str, str]:
+def gold_parts() -> dict[str, str]:
     parts = _parts()
     parts["rules"] = registry(False)
-    parts["findings"] = " UNION ALL ".join(select for _, select in _checks().values())
+    parts["findings"] = _contract(SHOWN)
     return parts
 
 
-RUN = f"""SELECT md5(COALESCE(CAST(w.stamp AS VARCHAR), 'NA') || '|' || COALESCE(CAST(v.top AS VARCHAR), 'NA'))
-        AS audit_run_id, COALESCE(f.first_at, {AS_OF}) AS started_at, COALESCE(f.last_at, {AS_OF}) AS finished_at,
-        CAST(v.top AS VARCHAR) AS rule_set_version, CAST(w.stamp AS VARCHAR) AS data_snapshot,
-        'SUCCESS' AS status, w.n AS records_scanned, f.n AS findings_created
-    FROM (SELECT max(modified) AS stamp, count(*) AS n FROM (
-            SELECT modified FROM patients UNION ALL SELECT modified FROM conditions
-            UNION ALL SELECT modified FROM observations UNION ALL SELECT modified FROM procedures
-            UNION ALL SELECT modified FROM encounters) AS u) AS w,
-         (SELECT max(version) AS top FROM rules WHERE status = 'ACTIVE') AS v,
-         (SELECT count(*) AS n, min(detected_at) AS first_at, max(detected_at) AS last_at FROM findings) AS f"""
+def _run() -> str:
+    """Rows, rules and findings as one list of facts, added up at once."""
+    changes = [f"SELECT modified AS changed, NULL AS version, NULL AS seen FROM {p}" for p in _parts() if not p.startswith("icd")]
+    changes.append("SELECT NULL, version, NULL FROM rules WHERE status = 'ACTIVE'")
+    changes.append("SELECT NULL, NULL, detected_at FROM findings")
+    totals = (
+        "SELECT CAST(max(changed) AS VARCHAR) AS data_snapshot, CAST(max(version) AS VARCHAR) AS rule_set_version, "
+        "count(changed) AS records_scanned, count(seen) AS findings_created, "
+        f"ifnull(min(seen), {AS_OF}) AS started_at, ifnull(max(seen), {AS_OF}) AS finished_at FROM facts"
+    )
+    return (
+        f"WITH facts AS ({' UNION ALL '.join(changes)}) SELECT *, 'SUCCESS' AS status, "
+        "md5(ifnull(data_snapshot, 'NA') || '|' || ifnull(rule_set_version, 'NA')) AS audit_run_id "
+        f"FROM ({totals}) AS t"
+    )
 
 
 def findings() -> str:
-    return _cte(_gold_parts(), "SELECT * FROM findings")
+    return _cte(gold_parts(), "FROM findings")
 
 
 def run() -> str:
-    return _cte(_gold_parts(), RUN)
-
-
-def overview() -> str:
-    return _cte(
-        {**_gold_parts(), "runs": RUN},
-        "SELECT records_scanned, rule_set_version, data_snapshot, status, started_at, finished_at, "
-        "(SELECT count(*) FROM rules WHERE status = 'ACTIVE') AS applicable_checks, "
-        "(SELECT count(*) FROM rules) AS total_rules_in_registry FROM runs",
-    )
-
-
-def over_findings(select: str) -> str:
-    return _cte(_gold_parts(), select)
+    return _cte({**gold_parts(), "runs": _run()}, "FROM runs")
 
 
 def row_counts(names: list[str]) -> str:
-    parts = _gold_parts()
+    parts = gold_parts()
     sources = {"audit_finding": "findings", "audit_rule": "rules", "tabPatient": "patients"}
     sources |= {f"{p[:-1]}_fhir_resource": p for p in ("encounters", "conditions", "observations", "procedures")}
     sources |= {n: f"({master(n)}) AS m" for n in names if n in MASTER_TABLES and n not in sources}
@@ -416,8 +455,6 @@ def row_counts(names: list[str]) -> str:
     return _cte(parts, counts)
 
 
-
-
 def rejects() -> str:
     """Payloads that no flat table holds, by table, day and reason."""
     out = []
@@ -445,7 +482,7 @@ def rejects() -> str:
 
 def stored_counts() -> str:
     """Rows of every table of the three layers after one run over the feed."""
-    parts = _gold_parts()
+    parts = gold_parts()
     sources = {f"bronze.{t}": f"({typed(t)}) AS b" for t in [*MASTER_TABLES, *(r.table for r in RESOURCES.values())]}
     sources |= {f"bronze.{n}": f"({code_list(n)}) AS c" for n in CODE_LISTS}
     sources |= {f"silver.{t}": f"({master(t)}) AS m" for t in MASTER_TABLES}
