@@ -77,7 +77,7 @@ def test_coerce(spark, text, kind, expected):
 
 
 PASS = {"doc": "name"}
-VIEW = View.from_text("Thing", "id id\nname label")
+VIEW = View("Thing", (("id", "id"), ("name", "label")))
 
 
 def frame(spark, *payloads):
@@ -106,7 +106,7 @@ def test_view_column_wins_over_passthrough(spark):
 
 
 def test_for_each(spark):
-    view = View.from_text("Thing", "id id\nforEach: part\nsize n.first()")
+    view = View("Thing", (("id", "id"),), "part", (("size", "n.first()"),))
     parts = ["[]", "[{\"n\":[1]}]", "[{\"n\":1},{},{\"n\":3}]", "{\"n\":9}", "null"]
     df = frame(spark, *[f'{{"resourceType":"Thing","id":"{i}","part":{p}}}' for i, p in enumerate(parts)])
     got = flatten(df, view, PASS, index_column="i")
@@ -142,7 +142,7 @@ def test_view_from_json(spark, tmp_path):
     )
     (tmp_path / "v.json").write_text(text)
     view = View.load(str(tmp_path / "v.json"))
-    assert view == View.from_text("Thing", "id id\nforEach: part\nn n")
+    assert view == View("Thing", (("id", "id"),), "part", (("n", "n"),))
 
 
 def test_children(spark):

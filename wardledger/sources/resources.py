@@ -1,7 +1,7 @@
 """The sixteen exchanged resources as configuration.
 
-Passthrough columns are text, ``name`` or ``name<-source``; every resource
-starts with the columns of ``DOCUMENT``.
+Passthrough columns are output names with their source columns; every resource
+starts with those of ``DOCUMENT``.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from .views import VIEWS, View
 class Resource:
     name: str
     table: str
-    carried: str
+    carried: dict[str, str]
     types: dict[str, str] = field(default_factory=dict)
     renames: dict[str, str] = field(default_factory=dict)
     is_array: bool = False
@@ -28,11 +28,7 @@ class Resource:
     @property
     def passthrough(self) -> dict[str, str]:
         """Output name -> source column."""
-        pairs = {}
-        for token in f"{DOCUMENT} {self.carried}".split():
-            target, _, source = token.partition("<-")
-            pairs[target] = source or target
-        return pairs
+        return DOCUMENT | self.carried
 
     @property
     def grain(self) -> tuple[str, ...]:
@@ -51,92 +47,126 @@ class Resource:
         return f"{self.name}_satusehat_data_submission_audit"
 
 
+def same(*names: str) -> dict[str, str]:
+    """Columns that keep their names."""
+    return {name: name for name in names}
+
+
 # ---- fixed values: carried columns, types and names of the silver tables ----
-DOCUMENT = "frappe_doc_name<-name modified docstatus"
+DOCUMENT = {"frappe_doc_name": "name", "modified": "modified", "docstatus": "docstatus"}
 ID = {"id": "fhir_id"}
 ID_AND_STATUS = {"id": "fhir_id", "status": "fhir_status"}
 
 _ALL = (
     Resource(
         "allergy_intolerance", "tabAllergyIntolerance_SatuSehat",
-        "encounter_satusehat patient_name patient_ihs practitioner_ihs satusehat_encounter_id "
-        "frappe_status<-status satusehat_id",
+        {
+            **same(
+                "encounter_satusehat", "patient_name", "patient_ihs", "practitioner_ihs", "satusehat_encounter_id",
+            ),
+            "frappe_status": "status",
+            **same("satusehat_id"),
+        },
         renames=ID,
     ),
     Resource(
         "careplan", "tabCarePlan_SatuSehat",
-        "encounter_satusehat patient_name patient_ihs practitioner_ihs satusehat_encounter_id "
-        "satusehat_id",
+        same(
+            "encounter_satusehat", "patient_name", "patient_ihs", "practitioner_ihs", "satusehat_encounter_id",
+            "satusehat_id",
+        ),
         renames=ID,
     ),
     Resource(
         "composition", "tabComposition_SatuSehat",
-        "encounter_satusehat composition_title patient_ihs practitioner_ihs "
-        "satusehat_encounter_id satusehat_id",
+        same(
+            "encounter_satusehat", "composition_title", "patient_ihs", "practitioner_ihs", "satusehat_encounter_id",
+            "satusehat_id",
+        ),
         renames=ID,
     ),
     Resource(
         "condition", "tabCondition_SatuSehat",
-        "encounter_satusehat patient patient_name patient_ihs satusehat_encounter_id icd_code "
-        "diagnosis_display validation_status satusehat_id",
+        same(
+            "encounter_satusehat", "patient", "patient_name", "patient_ihs", "satusehat_encounter_id", "icd_code",
+            "diagnosis_display", "validation_status", "satusehat_id",
+        ),
         renames=ID,
     ),
     Resource(
         "diagnostic_report", "tabDiagnosticReport_SatuSehat",
-        "encounter_satusehat servicerequest_satusehat specimen_satusehat observation_satusehat "
-        "patient_name patient_ihs practitioner_ihs satusehat_id",
+        same(
+            "encounter_satusehat", "servicerequest_satusehat", "specimen_satusehat", "observation_satusehat",
+            "patient_name", "patient_ihs", "practitioner_ihs", "satusehat_id",
+        ),
         types={"issued": "TIMESTAMP"},
         renames=ID,
     ),
     Resource(
         "encounter", "tabEncounter_SatuSehat",
-        "patient patient_name patient_ihs practitioner practitioner_name practitioner_ihs "
-        "start_time organization_id location_id satusehat_id frappe_status<-status",
+        {
+            **same(
+                "patient", "patient_name", "patient_ihs", "practitioner", "practitioner_name", "practitioner_ihs",
+                "start_time", "organization_id", "location_id", "satusehat_id",
+            ),
+            "frappe_status": "status",
+        },
         types={"period_start": "TIMESTAMP", "period_end": "TIMESTAMP"},
         renames=ID_AND_STATUS,
     ),
     Resource(
         "episode_of_care", "tabEpisodeOfCare_SatuSehat",
-        "encounter_satusehat patient_name patient_ihs satusehat_id",
+        same(
+            "encounter_satusehat", "patient_name", "patient_ihs", "satusehat_id",
+        ),
         types={"period_start": "TIMESTAMP"},
         renames=ID,
     ),
     Resource(
         "imaging_study", "tabImagingStudy_SatuSehat",
-        "servicerequest_satusehat patient_name patient_ihs satusehat_encounter_id "
-        "satusehat_servicerequest_id satusehat_id",
+        same(
+            "servicerequest_satusehat", "patient_name", "patient_ihs", "satusehat_encounter_id",
+            "satusehat_servicerequest_id", "satusehat_id",
+        ),
         types={"started": "TIMESTAMP", "number_of_instances": "INT"},
         renames=ID,
     ),
     Resource(
         "immunization", "tabImmunization_SatuSehat",
-        "encounter_satusehat patient_name patient_ihs practitioner_ihs satusehat_encounter_id "
-        "satusehat_id",
-        types={
-            "occurrence_datetime": "TIMESTAMP",
-            "primary_source": "BOOLEAN",
-            "expiration_date": "DATE",
-        },
+        same(
+            "encounter_satusehat", "patient_name", "patient_ihs", "practitioner_ihs", "satusehat_encounter_id",
+            "satusehat_id",
+        ),
+        types={"occurrence_datetime": "TIMESTAMP", "primary_source": "BOOLEAN", "expiration_date": "DATE"},
         renames=ID,
     ),
     Resource(
         "medication_dispense", "tabMedicationDispense_SatuSehat",
-        "medication_request_satusehat patient_name patient_ihs practitioner_ihs "
-        "satusehat_encounter_id frappe_status<-status",
+        {
+            **same(
+                "medication_request_satusehat", "patient_name", "patient_ihs", "practitioner_ihs",
+                "satusehat_encounter_id",
+            ),
+            "frappe_status": "status",
+        },
         types={"when_handed_over": "TIMESTAMP"},
         renames=ID_AND_STATUS,
     ),
     Resource(
         "medication_statement", "tabMedicationStatement_SatuSehat",
-        "encounter_satusehat patient_name patient_ihs satusehat_encounter_id item_code "
-        "satusehat_id",
+        same(
+            "encounter_satusehat", "patient_name", "patient_ihs", "satusehat_encounter_id", "item_code",
+            "satusehat_id",
+        ),
         types={"date_asserted": "TIMESTAMP"},
         renames=ID,
     ),
     Resource(
         "observation", "tabObservation_SatuSehat",
-        "encounter_satusehat vital_signs patient patient_name patient_ihs practitioner_ihs "
-        "satusehat_encounter_id validation_status satusehat_ids",
+        same(
+            "encounter_satusehat", "vital_signs", "patient", "patient_name", "patient_ihs", "practitioner_ihs",
+            "satusehat_encounter_id", "validation_status", "satusehat_ids",
+        ),
         types={"effective_datetime": "TIMESTAMP", "value": "DOUBLE"},
         renames=ID,
         is_array=True,
@@ -144,28 +174,36 @@ _ALL = (
     ),
     Resource(
         "procedure", "tabProcedure_SatuSehat",
-        "encounter_satusehat clinical_procedure patient_name patient_ihs practitioner_ihs "
-        "satusehat_encounter_id satusehat_id",
+        same(
+            "encounter_satusehat", "clinical_procedure", "patient_name", "patient_ihs", "practitioner_ihs",
+            "satusehat_encounter_id", "satusehat_id",
+        ),
         renames=ID,
     ),
     Resource(
         "questionnaire_response", "tabQuestionnaireResponse_SatuSehat",
-        "encounter_satusehat patient_name patient_ihs practitioner_ihs satusehat_encounter_id "
-        "keluhan_utama riwayat_alergi satusehat_id",
+        same(
+            "encounter_satusehat", "patient_name", "patient_ihs", "practitioner_ihs", "satusehat_encounter_id",
+            "keluhan_utama", "riwayat_alergi", "satusehat_id",
+        ),
         types={"authored": "TIMESTAMP"},
         renames=ID,
     ),
     Resource(
         "service_request", "tabServiceRequest_SatuSehat",
-        "encounter_satusehat patient_name patient_ihs practitioner_ihs satusehat_encounter_id "
-        "satusehat_id",
+        same(
+            "encounter_satusehat", "patient_name", "patient_ihs", "practitioner_ihs", "satusehat_encounter_id",
+            "satusehat_id",
+        ),
         types={"authored_on": "TIMESTAMP"},
         renames=ID,
     ),
     Resource(
         "specimen", "tabSpecimen_SatuSehat",
-        "encounter_satusehat servicerequest_satusehat patient_name patient_ihs practitioner_ihs "
-        "satusehat_id",
+        same(
+            "encounter_satusehat", "servicerequest_satusehat", "patient_name", "patient_ihs", "practitioner_ihs",
+            "satusehat_id",
+        ),
         types={"collected_datetime": "TIMESTAMP"},
         renames=ID,
     ),

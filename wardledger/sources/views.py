@@ -1,8 +1,7 @@
 """View definitions: which flat columns a FHIR resource yields.
 
-Each view is text, one ``column  path`` pair per line. A line ``forEach: path``
-starts the columns of a nested element. The public JSON form of a view
-definition can be loaded as well.
+Each view pairs columns with paths; ``nested`` are the columns of an element of
+``for_each``. The public JSON form of a view definition can be loaded as well.
 """
 
 from __future__ import annotations
@@ -19,19 +18,6 @@ class View:
     for_each: str | None = None
     nested: tuple[tuple[str, str], ...] = field(default=())
 
-    @classmethod
-    def from_text(cls, resource: str, text: str) -> "View":
-        columns: list[tuple[str, str]] = []
-        nested: list[tuple[str, str]] = []
-        for_each = None
-        for line in filter(None, map(str.strip, text.splitlines())):
-            if line.startswith("forEach:"):
-                for_each = line.partition(":")[2].strip()
-                continue
-            name, path = line.split(maxsplit=1)
-            (columns if for_each is None else nested).append((name, path))
-        return cls(resource, tuple(columns), for_each, tuple(nested))
-
     @classmethod
     def from_json(cls, text: str) -> "View":
         definition = json.loads(text)
@@ -60,219 +46,287 @@ class View:
 
 # ---- fixed values: flat columns and their paths -----------------------------
 VIEWS: dict[str, View] = {
-    "allergy_intolerance": View.from_text("AllergyIntolerance", """
-        id                   id
-        identifier_value     identifier.where(use='official').value.first()
-        clinical_status      clinicalStatus.coding.first().code
-        verification_status  verificationStatus.coding.first().code
-        category             category.first()
-        code                 code.coding.first().code
-        code_display         code.coding.first().display
-        code_text            code.text
-        patient_ref          patient.reference
-        encounter_ref        encounter.reference
-        recorder_ref         recorder.reference
-    """),
-    "careplan": View.from_text("CarePlan", """
-        id             id
-        status         status
-        intent         intent
-        title          title
-        description    description
-        category_code  category.first().coding.first().code
-        subject_ref    subject.reference
-        encounter_ref  encounter.reference
-        author_ref     author.reference
-    """),
-    "composition": View.from_text("Composition", """
-        id             id
-        status         status
-        type_code      type.coding.first().code
-        type_display   type.coding.first().display
-        subject_ref    subject.reference
-        encounter_ref  encounter.reference
-        date           date
-        author_ref     author.first().reference
-        title          title
-    """),
-    "composition_section": View.from_text("Composition", """
-        composition_id  id
-        forEach: section
-        section_title   title
-        section_code    code.coding.first().code
-    """),
-    "condition": View.from_text("Condition", """
-        id               id
-        clinical_status  clinicalStatus.coding.first().code
-        category_code    category.first().coding.first().code
-        code             code.coding.first().code
-        code_display     code.coding.first().display
-        subject_ref      subject.reference
-        subject_display  subject.display
-        encounter_ref    encounter.reference
-    """),
-    "diagnostic_report": View.from_text("DiagnosticReport", """
-        id                  id
-        status              status
-        category_code       category.first().coding.first().code
-        code                code.coding.first().code
-        code_display        code.coding.first().display
-        subject_ref         subject.reference
-        encounter_ref       encounter.reference
-        effective_datetime  effectiveDateTime
-        issued              issued
-        performer_ref       performer.first().reference
-        based_on_ref        basedOn.first().reference
-        conclusion_code     conclusionCode.first().coding.first().code
-    """),
-    "diagnostic_report_result": View.from_text("DiagnosticReport", """
-        report_id               id
-        forEach: result
-        result_observation_ref  reference
-    """),
-    "encounter": View.from_text("Encounter", """
-        id                    id
-        identifier_value      identifier.first().value
-        status                status
-        class_code            class.code
-        class_display         class.display
-        subject_ref           subject.reference
-        subject_display       subject.display
-        period_start          period.start
-        period_end            period.end
-        location_ref          location.first().location.reference
-        service_provider_ref  serviceProvider.reference
-    """),
-    "encounter_participant": View.from_text("Encounter", """
-        encounter_id              id
-        forEach: participant
-        participant_type_code     type.first().coding.first().code
-        participant_type_display  type.first().coding.first().display
-        individual_ref            individual.reference
-        individual_display        individual.display
-    """),
-    "episode_of_care": View.from_text("EpisodeOfCare", """
-        id                         id
-        status                     status
-        identifier_value           identifier.first().value
-        type_code                  type.first().coding.first().code
-        patient_ref                patient.reference
-        managing_organization_ref  managingOrganization.reference
-        period_start               period.start
-    """),
-    "imaging_study": View.from_text("ImagingStudy", """
-        id                   id
-        identifier_value     identifier.first().value
-        status               status
-        subject_ref          subject.reference
-        encounter_ref        encounter.reference
-        started              started
-        based_on_ref         basedOn.first().reference
-        modality_code        modality.first().code
-        number_of_series     numberOfSeries
-        number_of_instances  numberOfInstances
-    """),
-    "immunization": View.from_text("Immunization", """
-        id                   id
-        status               status
-        vaccine_code         vaccineCode.coding.first().code
-        vaccine_display      vaccineCode.coding.first().display
-        patient_ref          patient.reference
-        encounter_ref        encounter.reference
-        occurrence_datetime  occurrenceDateTime
-        primary_source       primarySource
-        lot_number           lotNumber
-        expiration_date      expirationDate
-        performer_ref        performer.first().actor.reference
-        reason_code          reasonCode.first().coding.first().code
-    """),
-    "medication_dispense": View.from_text("MedicationDispense", """
-        id                            id
-        identifier_value              identifier.where(use='official').value.first()
-        status                        status
-        medication_ref                medicationReference.reference
-        subject_ref                   subject.reference
-        context_ref                   context.reference
-        when_handed_over              whenHandedOver
-        authorizing_prescription_ref  authorizingPrescription.first().reference
-        dosage_text                   dosageInstruction.first().text
-    """),
-    "medication_statement": View.from_text("MedicationStatement", """
-        id                      id
-        status                  status
-        category_code           category.coding.first().code
-        medication_code         medicationCodeableConcept.coding.first().code
-        medication_display      medicationCodeableConcept.coding.first().display
-        subject_ref             subject.reference
-        context_ref             context.reference
-        date_asserted           dateAsserted
-        information_source_ref  informationSource.reference
-        note_text               note.first().text
-    """),
-    "observation": View.from_text("Observation", """
-        id                  id
-        status              status
-        category_code       category.first().coding.first().code
-        code                code.coding.first().code
-        code_display        code.coding.first().display
-        subject_ref         subject.reference
-        encounter_ref       encounter.reference
-        performer_ref       performer.first().reference
-        effective_datetime  effectiveDateTime
-        value               valueQuantity.value
-        unit                valueQuantity.unit
-    """),
-    "procedure": View.from_text("Procedure", """
-        id             id
-        status         status
-        category_code  category.coding.first().code
-        code           code.coding.first().code
-        code_display   code.coding.first().display
-        subject_ref    subject.reference
-        encounter_ref  encounter.reference
-        performer_ref  performer.first().actor.reference
-    """),
-    "questionnaire_response": View.from_text("QuestionnaireResponse", """
-        id             id
-        status         status
-        questionnaire  questionnaire
-        subject_ref    subject.reference
-        encounter_ref  encounter.reference
-        authored       authored
-        author_ref     author.reference
-        source_ref     source.reference
-    """),
-    "questionnaire_response_item": View.from_text("QuestionnaireResponse", """
-        questionnaire_response_id  id
-        forEach: item
-        link_id         linkId
-        question_text   text
-        answer_string   answer.first().valueString
-        answer_boolean  answer.first().valueBoolean
-    """),
-    "service_request": View.from_text("ServiceRequest", """
-        id                id
-        identifier_value  identifier.first().value
-        status            status
-        intent            intent
-        category_code     category.first().coding.first().code
-        code              code.coding.first().code
-        code_display      code.coding.first().display
-        subject_ref       subject.reference
-        encounter_ref     encounter.reference
-        authored_on       authoredOn
-        requester_ref     requester.reference
-        performer_ref     performer.first().reference
-    """),
-    "specimen": View.from_text("Specimen", """
-        id                  id
-        identifier_value    identifier.where(use='official').value.first()
-        status              status
-        type_code           type.coding.first().code
-        subject_ref         subject.reference
-        request_ref         request.first().reference
-        collected_datetime  collection.collectedDateTime
-        collector_ref       collection.collector.reference
-    """),
+    "allergy_intolerance": View(
+        "AllergyIntolerance",
+        (
+            ("id", "id"),
+            ("identifier_value", "identifier.where(use='official').value.first()"),
+            ("clinical_status", "clinicalStatus.coding.first().code"),
+            ("verification_status", "verificationStatus.coding.first().code"),
+            ("category", "category.first()"),
+            ("code", "code.coding.first().code"),
+            ("code_display", "code.coding.first().display"),
+            ("code_text", "code.text"),
+            ("patient_ref", "patient.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("recorder_ref", "recorder.reference"),
+        ),
+    ),
+    "careplan": View(
+        "CarePlan",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("intent", "intent"),
+            ("title", "title"),
+            ("description", "description"),
+            ("category_code", "category.first().coding.first().code"),
+            ("subject_ref", "subject.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("author_ref", "author.reference"),
+        ),
+    ),
+    "composition": View(
+        "Composition",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("type_code", "type.coding.first().code"),
+            ("type_display", "type.coding.first().display"),
+            ("subject_ref", "subject.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("date", "date"),
+            ("author_ref", "author.first().reference"),
+            ("title", "title"),
+        ),
+    ),
+    "composition_section": View(
+        "Composition",
+        (
+            ("composition_id", "id"),
+        ),
+        for_each="section",
+        nested=(
+            ("section_title", "title"),
+            ("section_code", "code.coding.first().code"),
+        ),
+    ),
+    "condition": View(
+        "Condition",
+        (
+            ("id", "id"),
+            ("clinical_status", "clinicalStatus.coding.first().code"),
+            ("category_code", "category.first().coding.first().code"),
+            ("code", "code.coding.first().code"),
+            ("code_display", "code.coding.first().display"),
+            ("subject_ref", "subject.reference"),
+            ("subject_display", "subject.display"),
+            ("encounter_ref", "encounter.reference"),
+        ),
+    ),
+    "diagnostic_report": View(
+        "DiagnosticReport",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("category_code", "category.first().coding.first().code"),
+            ("code", "code.coding.first().code"),
+            ("code_display", "code.coding.first().display"),
+            ("subject_ref", "subject.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("effective_datetime", "effectiveDateTime"),
+            ("issued", "issued"),
+            ("performer_ref", "performer.first().reference"),
+            ("based_on_ref", "basedOn.first().reference"),
+            ("conclusion_code", "conclusionCode.first().coding.first().code"),
+        ),
+    ),
+    "diagnostic_report_result": View(
+        "DiagnosticReport",
+        (
+            ("report_id", "id"),
+        ),
+        for_each="result",
+        nested=(
+            ("result_observation_ref", "reference"),
+        ),
+    ),
+    "encounter": View(
+        "Encounter",
+        (
+            ("id", "id"),
+            ("identifier_value", "identifier.first().value"),
+            ("status", "status"),
+            ("class_code", "class.code"),
+            ("class_display", "class.display"),
+            ("subject_ref", "subject.reference"),
+            ("subject_display", "subject.display"),
+            ("period_start", "period.start"),
+            ("period_end", "period.end"),
+            ("location_ref", "location.first().location.reference"),
+            ("service_provider_ref", "serviceProvider.reference"),
+        ),
+    ),
+    "encounter_participant": View(
+        "Encounter",
+        (
+            ("encounter_id", "id"),
+        ),
+        for_each="participant",
+        nested=(
+            ("participant_type_code", "type.first().coding.first().code"),
+            ("participant_type_display", "type.first().coding.first().display"),
+            ("individual_ref", "individual.reference"),
+            ("individual_display", "individual.display"),
+        ),
+    ),
+    "episode_of_care": View(
+        "EpisodeOfCare",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("identifier_value", "identifier.first().value"),
+            ("type_code", "type.first().coding.first().code"),
+            ("patient_ref", "patient.reference"),
+            ("managing_organization_ref", "managingOrganization.reference"),
+            ("period_start", "period.start"),
+        ),
+    ),
+    "imaging_study": View(
+        "ImagingStudy",
+        (
+            ("id", "id"),
+            ("identifier_value", "identifier.first().value"),
+            ("status", "status"),
+            ("subject_ref", "subject.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("started", "started"),
+            ("based_on_ref", "basedOn.first().reference"),
+            ("modality_code", "modality.first().code"),
+            ("number_of_series", "numberOfSeries"),
+            ("number_of_instances", "numberOfInstances"),
+        ),
+    ),
+    "immunization": View(
+        "Immunization",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("vaccine_code", "vaccineCode.coding.first().code"),
+            ("vaccine_display", "vaccineCode.coding.first().display"),
+            ("patient_ref", "patient.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("occurrence_datetime", "occurrenceDateTime"),
+            ("primary_source", "primarySource"),
+            ("lot_number", "lotNumber"),
+            ("expiration_date", "expirationDate"),
+            ("performer_ref", "performer.first().actor.reference"),
+            ("reason_code", "reasonCode.first().coding.first().code"),
+        ),
+    ),
+    "medication_dispense": View(
+        "MedicationDispense",
+        (
+            ("id", "id"),
+            ("identifier_value", "identifier.where(use='official').value.first()"),
+            ("status", "status"),
+            ("medication_ref", "medicationReference.reference"),
+            ("subject_ref", "subject.reference"),
+            ("context_ref", "context.reference"),
+            ("when_handed_over", "whenHandedOver"),
+            ("authorizing_prescription_ref", "authorizingPrescription.first().reference"),
+            ("dosage_text", "dosageInstruction.first().text"),
+        ),
+    ),
+    "medication_statement": View(
+        "MedicationStatement",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("category_code", "category.coding.first().code"),
+            ("medication_code", "medicationCodeableConcept.coding.first().code"),
+            ("medication_display", "medicationCodeableConcept.coding.first().display"),
+            ("subject_ref", "subject.reference"),
+            ("context_ref", "context.reference"),
+            ("date_asserted", "dateAsserted"),
+            ("information_source_ref", "informationSource.reference"),
+            ("note_text", "note.first().text"),
+        ),
+    ),
+    "observation": View(
+        "Observation",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("category_code", "category.first().coding.first().code"),
+            ("code", "code.coding.first().code"),
+            ("code_display", "code.coding.first().display"),
+            ("subject_ref", "subject.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("performer_ref", "performer.first().reference"),
+            ("effective_datetime", "effectiveDateTime"),
+            ("value", "valueQuantity.value"),
+            ("unit", "valueQuantity.unit"),
+        ),
+    ),
+    "procedure": View(
+        "Procedure",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("category_code", "category.coding.first().code"),
+            ("code", "code.coding.first().code"),
+            ("code_display", "code.coding.first().display"),
+            ("subject_ref", "subject.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("performer_ref", "performer.first().actor.reference"),
+        ),
+    ),
+    "questionnaire_response": View(
+        "QuestionnaireResponse",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("questionnaire", "questionnaire"),
+            ("subject_ref", "subject.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("authored", "authored"),
+            ("author_ref", "author.reference"),
+            ("source_ref", "source.reference"),
+        ),
+    ),
+    "questionnaire_response_item": View(
+        "QuestionnaireResponse",
+        (
+            ("questionnaire_response_id", "id"),
+        ),
+        for_each="item",
+        nested=(
+            ("link_id", "linkId"),
+            ("question_text", "text"),
+            ("answer_string", "answer.first().valueString"),
+            ("answer_boolean", "answer.first().valueBoolean"),
+        ),
+    ),
+    "service_request": View(
+        "ServiceRequest",
+        (
+            ("id", "id"),
+            ("identifier_value", "identifier.first().value"),
+            ("status", "status"),
+            ("intent", "intent"),
+            ("category_code", "category.first().coding.first().code"),
+            ("code", "code.coding.first().code"),
+            ("code_display", "code.coding.first().display"),
+            ("subject_ref", "subject.reference"),
+            ("encounter_ref", "encounter.reference"),
+            ("authored_on", "authoredOn"),
+            ("requester_ref", "requester.reference"),
+            ("performer_ref", "performer.first().reference"),
+        ),
+    ),
+    "specimen": View(
+        "Specimen",
+        (
+            ("id", "id"),
+            ("identifier_value", "identifier.where(use='official').value.first()"),
+            ("status", "status"),
+            ("type_code", "type.coding.first().code"),
+            ("subject_ref", "subject.reference"),
+            ("request_ref", "request.first().reference"),
+            ("collected_datetime", "collection.collectedDateTime"),
+            ("collector_ref", "collection.collector.reference"),
+        ),
+    ),
 }
 # ---- end of fixed values ----------------------------------------------------
