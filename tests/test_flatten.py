@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from wardledger.functions.fhirpath import coerce, steps_of, value_at
+from wardledger.functions.fhirpath import Shape, coerce, steps_of, value_at
 from wardledger.operators.flatten import flatten, flatten_children, flatten_rejects, flatten_resource
 from wardledger.sources.resources import CHILD_VIEWS, RESOURCES
 from wardledger.sources.schemas import bronze_fields
@@ -50,6 +50,32 @@ def test_paths(spark, document, path, expected):
     assert at(spark, document, path) == expected
 
 
+    assert read_at(spark, document, path) == expected
+
+
+def read_at(spark, document, path, *more):
+    shape = Shape([path, *more])
+    df = spark.createDataFrame([(json.dumps(document),)], "p string").selectExpr("try_parse_json(p) AS n")
+    if not shape.empty:
+        df = df.selectExpr("n", f"{shape.column('n')} AS r")
+    return df.selectExpr(f"{shape.value('n', 'r', path)} AS v").first()["v"]
+
+
+def test_paths_that_contradict(spark):
+    """A member that is a list for one path and none for another, or text and parent at once."""
+    both = {"k": ["p", "q"], "c": {"text": "t"}}
+    assert [read_at(spark, both, "k.first()", "k"), read_at(spark, both, "k", "k.first()")] == ["p", "p"]
+    assert [read_at(spark, both, "c", "c.text"), read_at(spark, both, "c.text", "c")] == ['{"text":"t"}', "t"]
+    assert Shape(["c.text", "c", "k.first()", "k"]).type_text() == "struct<c: struct<text: string>, k: array<string>>"
+
+
+def test_one_lookup_reads_a_payload(spark):
+    view = VIEWS["encounter"]
+    shape = Shape(path for _, path in view.columns)
+    outside = [path for _, path in view.columns if "where(" in path]
+    assert set(path for _, path in view.columns) - shape._inside == set(outside)
+
+
 @pytest.mark.parametrize("path", ["", "a..b", "a.where(x>1)", "first()", "a.last()", "a.b-c"])
 def test_other_forms_are_refused(path):
     with pytest.raises(ValueError):

@@ -10,6 +10,8 @@ step over several elements maps and flattens.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
+from typing import Any
 
 _STEP = re.compile(
     r"(?:^|\.)(?:(?P<first>first\(\))|where\((?P<field>\w+)='(?P<text>[^']*)'\)|(?P<name>[A-Za-z_]\w*))(?=\.|$)"
@@ -63,6 +65,12 @@ def collection(node: str, steps: list[tuple[str, ...]]) -> str:
     return found
 
 
+def _first_of_walk(node: str, steps: list[tuple[str, ...]]) -> str:
+    """The general way, only where the first member is there at all."""
+    present = f"try_variant_get({node}, '$.{steps[0][1]}', 'variant') IS NOT NULL"
+    return f"WHEN {present} THEN {text_at(f'get({collection(node, steps)}, 0)', '$')}"
+
+
 def value_at(node: str, path: str) -> str:
     """First value of ``path`` below the VARIANT column ``node``, as text.
 
@@ -71,20 +79,78 @@ def value_at(node: str, path: str) -> str:
     spelling, the field is just absent. Only other spellings walk the collection.
     """
     steps = steps_of(path)
-    general = text_at(f"get({collection(node, steps)}, 0)", "$")
-    present = f"try_variant_get({node}, '$.{steps[0][1]}', 'variant') IS NOT NULL"
     if any(step[0] == "where" for step in steps):
-        return f"CASE WHEN {present} THEN {general} END"
+        return f"CASE {_first_of_walk(node, steps)} END"
     usual = "$" + "".join(f".{s[1]}" if s[0] == "get" else "[0]" for s in steps)
     direct = text_at(node, usual)
-    settled = f"{direct} IS NOT NULL AND NOT startswith({direct}, '[')"
-    branches = f"WHEN {settled} THEN {direct} "
+    branches = f"WHEN {_settled(direct)} THEN {direct} "
     above = usual[: usual.rindex(".")]
     if above != "$" and steps[-1][0] == "get":
         parent = f"try_variant_get({node}, '{above}', 'variant')"
         listed = f"try_variant_get({node}, '{above}[0]', 'variant') IS NOT NULL"
         branches += f"WHEN {direct} IS NULL AND {is_element(parent)} AND NOT {listed} THEN NULL "
-    return f"CASE {branches}WHEN {present} THEN {general} END"
+    return f"CASE {branches}{_first_of_walk(node, steps)} END"
+
+
+def _settled(direct: str) -> str:
+    return f"{direct} IS NOT NULL AND NOT startswith({direct}, '[')"
+
+
+class Shape:
+    """The usual spelling of many paths as one struct type, so that one lookup reads them all.
+
+    A path whose spelling contradicts that of an earlier one, and one with ``where``, stays
+    outside and is looked up on its own. A member in another spelling is NULL in the struct.
+    """
+
+    def __init__(self, paths: Iterable[str]) -> None:
+        self._members: dict[str, Any] = {}
+        self._inside = {path for path in paths if self._add(steps_of(path))}
+
+    def _add(self, steps: list[tuple[str, ...]]) -> bool:
+        if any(step[0] == "where" for step in steps):
+            return False
+        members, place = self._members, 0
+        while place < len(steps):
+            name, place = steps[place][1], place + 1
+            lists = 0
+            while place < len(steps) and steps[place][0] == "first":
+                lists, place = lists + 1, place + 1
+            kind = "string" if place == len(steps) else "struct"
+            known = members.setdefault(name, (lists, kind, {}))
+            if known[:2] != (lists, kind):
+                return False
+            members = known[2]
+        return True
+
+    @property
+    def empty(self) -> bool:
+        return not self._inside
+
+    def type_text(self, members: dict[str, Any] | None = None) -> str:
+        fields = []
+        for name, (lists, kind, below) in (self._members if members is None else members).items():
+            text = "string" if kind == "string" else self.type_text(below)
+            fields.append(f"{name}: {'array<' * lists}{text}{'>' * lists}")
+        return f"struct<{', '.join(fields)}>"
+
+    def column(self, node: str) -> str:
+        """SQL text of the lookup."""
+        return f"try_variant_get({node}, '$', '{self.type_text()}')"
+
+    def value(self, node: str, read: str, path: str) -> str:
+        """As ``value_at``; ``read`` is the column that holds ``column(node)``."""
+        if path not in self._inside:
+            return value_at(node, path)
+        steps = steps_of(path)
+        parts = [read]
+        for step in steps:
+            parts.append(f"{parts[-1]}.`{step[1]}`" if step[0] == "get" else f"get({parts[-1]}, 0)")
+        direct, parent = parts[-1], parts[-2]
+        branches = f"WHEN {_settled(direct)} THEN {direct} "
+        if len(steps) > 1 and steps[-1][0] == "get":
+            branches += f"WHEN {direct} IS NULL AND {parent} IS NOT NULL THEN NULL "
+        return f"CASE {branches}{_first_of_walk(node, steps)} END"
 
 
 def coerce(value: str, type_name: str) -> str:

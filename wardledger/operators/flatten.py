@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fhirpath import coerce, is_element, members, text_at, value_at
+from ..functions.fhirpath import Shape, coerce, is_element, members, text_at
 from ..functions.text import strict_json
 from ..sources.resources import RESOURCES, Resource
 from ..sources.views import VIEWS, View
@@ -79,10 +79,13 @@ def flatten(
         position = "_item_position"
 
     out = dict(passthrough)
-    for node, pairs in (("_node", view.columns), ("_item", view.nested)):
+    for node, read, pairs in (("_node", "_read", view.columns), ("_item", "_item_read", view.nested)):
+        shape = Shape(path for _, path in pairs)
+        if not shape.empty:
+            rows = rows.selectExpr("*", f"{shape.column(node)} AS {read}")
         for name, path in pairs:
             target = renames.get(name, name)
-            out[target] = coerce(value_at(node, path), types.get(target, "STRING"))
+            out[target] = coerce(shape.value(node, read, path), types.get(target, "STRING"))
     if index_column:
         out[index_column] = position
     if tagged:
