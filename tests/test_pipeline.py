@@ -29,7 +29,10 @@ def test_batch_run_equals_lazy_chain(spark, folder, tmp_path):
 
     for name in ("encounter", "observation"):
         assert job.table("silver", RESOURCES[name].silver_table).count() == clinic.flat(name).count()
-        assert spark.table(job.layout.view(RESOURCES[name].audit_table)).count() == clinic.responses(name).count()
+        # Another session of the catalog reads what the lazy chain parses; only the days differ.
+        answers = spark.newSession().table(job.layout.table("silver", RESOURCES[name].audit_table)).drop("modified", "load_date")
+        expected = clinic.responses(name).drop("modified")
+        assert Counter(map(tuple, answers.select(expected.columns).collect())) == Counter(map(tuple, expected.collect()))
         assert job.table("silver", RESOURCES[name].parent_table).count() == clinic.parent(name).count()
 
     rejected = job.table("silver", "flatten_rejects").where("table_name = 'encounter_fhir_resource'")

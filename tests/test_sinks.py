@@ -128,7 +128,7 @@ def test_views_of_two_environments(spark):
         layout.create(spark)
         overwrite_table(spark.range(rows), layout.table("gold", "audit_rule"))
         publish(spark, layout, ["audit_rule"])
-    assert [spark.table(Layout(s).view("audit_rule")).count() for s in ("__one", "__two")] == [1, 2]
+    assert [spark.newSession().table(Layout(s).view("audit_rule")).count() for s in ("__one", "__two")] == [1, 2]
 
 
 def test_a_late_row_is_not_lost(spark, layout, tmp_path):

@@ -38,22 +38,19 @@ def filled(template: str) -> str:
 END_OF_JSON = "~end of text~"
 
 
-def strict_json(text: Column | str) -> Column:
-    """JSON text as VARIANT; NULL when it is not one whole value.
+def strict_json(text: str) -> str:
+    """SQL text: JSON text as VARIANT; NULL when it is not one whole value.
 
     The parser ignores what follows a value. Inside a list with a mark behind it,
     such a text leaves no list of two, so it is refused at the price of one parse.
     A text that holds the mark gets its own hash for a mark.
     """
-    text = F.col(text) if isinstance(text, str) else text
-    mark = F.when(F.contains(text, F.lit(END_OF_JSON)), F.md5(text)).otherwise(END_OF_JSON)
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    pair = F.array(F.try_variant_get(listed, "$", "array<variant>"))
-    whole = F.transform(
-        pair,
-        lambda p: F.when((F.size(p) == 2) & (F.try_variant_get(p[1], "$", "string") == mark), p[0]),
-    )
-    return F.get(whole, 0)
+    end = literal(END_OF_JSON)
+    mark = f"CASE WHEN contains({text}, {end}) THEN md5({text}) ELSE {end} END"
+    listed = f"""try_parse_json(concat('[', {text}, ',"', {mark}, '"]'))"""
+    pair = f"array(try_variant_get({listed}, '$', 'array<variant>'))"
+    own = f"size(p) = 2 AND try_variant_get(p[1], '$', 'string') = {mark}"
+    return f"get(transform({pair}, p -> CASE WHEN {own} THEN p[0] END), 0)"
 
 
 def timestamp_text(column: Column | str) -> Column:

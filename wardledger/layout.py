@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 LAYERS = ("bronze", "silver", "gold")
 STORE = "__store"
+PUBLISHED = "published"
 
 
 def database_of(table: str) -> str:
@@ -42,11 +43,12 @@ class Layout:
         return f"{store_of(self.database(layer))}.{name}"
 
     def view(self, name: str) -> str:
-        """Name of a session view: of this environment only, like the tables."""
-        return f"{name}{self.suffix}"
+        """A published table, in a database of its own of this environment."""
+        return f"{PUBLISHED}{self.suffix}.{name}"
 
     def create(self, spark: SparkSession) -> None:
         for layer in LAYERS:
             for name in (self.database(layer), store_of(self.database(layer))):
                 where = f" LOCATION '{self.root}/{name}'" if self.root else ""
                 spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{PUBLISHED}{self.suffix}`")

@@ -25,7 +25,7 @@ REASONS = ("missing", "unreadable", "foreign")
 def _tagged_elements(df: DataFrame, carried: list[str], payload: str, is_array: bool, resource: str) -> DataFrame:
     """Elements of the resource, or one row with the reason where a payload has none."""
     document = F.col("_document")
-    parsed = df.select(*carried, F.col(payload).isNull().alias("_missing"), strict_json(payload).alias("_document"))
+    parsed = df.select(*carried, F.col(payload).isNull().alias("_missing"), F.expr(strict_json(payload)).alias("_document"))
     resources = F.try_variant_get(document, "$", "array<variant>") if is_array else F.array(document)
     listed = parsed.select(*carried, "_missing", resources.alias("_resources"))
     placed = F.transform("_resources", lambda e, i: F.struct(i.alias("_position"), e.alias("_node")))
@@ -40,7 +40,7 @@ def _tagged_elements(df: DataFrame, carried: list[str], payload: str, is_array:
 
 def _elements(df: DataFrame, carried: list[str], payload: str, is_array: bool) -> DataFrame:
     document = F.col("_document")
-    parsed = df.select(*carried, strict_json(payload).alias("_document"))
+    parsed = df.select(*carried, F.expr(strict_json(payload)).alias("_document"))
     resources = F.try_variant_get(document, "$", "array<variant>") if is_array else F.array(document)
     return parsed.select(*carried, F.posexplode(resources).alias("_position", "_node"))
 

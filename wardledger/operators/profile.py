@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..layout import Layout
+from ..sources.sinks import publish_view
 
 # ---- fixed values: gold tables open to readers, and the name endings --------
 PUBLISHED = (
@@ -67,8 +68,8 @@ def publish(
 ) -> DataFrame:
     """Expose allow-listed tables as views; report ``ready``, ``missing`` or ``failed`` and why.
 
-    Views carry the environment in their name, so those of two environments stand
-    side by side. A table that does not exist is skipped and one that cannot be read
+    Views lie in a database of the environment, so those of two environments stand
+    side by side and other sessions of the catalog read them. A table that does not exist is skipped and one that cannot be read
     does not stop the others.
     """
     report: list[tuple[str, str, str | None]] = []
@@ -80,7 +81,7 @@ def publish(
         table = spark.table(full)
         error = read_error(table)
         if error is None:
-            table.createOrReplaceTempView(layout.view(name))
+            publish_view(spark, layout.view(name), f"SELECT * FROM {full}")
         report.append((name, "failed" if error else "ready", error))
     return spark.createDataFrame(report, "table_name string, status string, reason string")
 

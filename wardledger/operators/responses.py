@@ -7,12 +7,12 @@ costs one more parse of the inner text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ..functions.fhirpath import text_at
 from ..functions.text import strict_json
-from .clean import clean_text
+from .clean import clean_columns
 
 # ---- fixed values: markers of the response shapes ---------------------------
 STATUS_PREFIX = "STATUS CODE:"
@@ -22,19 +22,18 @@ ERROR_TYPE = "OperationOutcome"
 # ---- end of fixed values ----------------------------------------------------
 
 
-def _with_body(df: DataFrame, node: str, prefixed: Column | None) -> DataFrame:
-    """Add ``_body`` (VARIANT) and ``submission_http_status``."""
-    wrapped = F.expr(text_at(node, "$.response"))
-    code = F.expr(text_at(node, "$.status_code")).try_cast("int")
-    body = F.when(wrapped.isNotNull(), strict_json(wrapped)).otherwise(F.col(node))
-    if prefixed is not None:
-        text = F.col("api_response")
-        stated = F.regexp_extract(text, STATUS_PATTERN, 1).try_cast("int")
-        unwrapped = strict_json(F.regexp_extract(text, BODY_PATTERN, 1))
-        body = F.when(prefixed, unwrapped).otherwise(body)
-        code = F.when(prefixed, stated).otherwise(code)
-    kept = [c for c in df.columns if c != node]
-    return df.select(*kept, code.alias("submission_http_status"), body.alias("_body"))
+def _body_columns(is_array: bool) -> list[str]:
+    """``submission_http_status`` and ``_body`` (VARIANT) of the VARIANT column ``_response``."""
+    wrapped = text_at("_response", "$.response")
+    body = f"CASE WHEN {wrapped} IS NOT NULL THEN {strict_json(wrapped)} ELSE _response END"
+    code = f"try_cast({text_at('_response', '$.status_code')} AS int)"
+    if not is_array:
+        headed = f"startswith(api_response, '{STATUS_PREFIX}')"
+        stated = f"try_cast(regexp_extract(api_response, r'{STATUS_PATTERN}', 1) AS int)"
+        below = strict_json(f"regexp_extract(api_response, r'{BODY_PATTERN}', 1)")
+        body = f"CASE WHEN {headed} THEN {below} ELSE {body} END"
+        code = f"CASE WHEN {headed} THEN {stated} ELSE {code} END"
+    return [f"{code} AS submission_http_status", f"{body} AS _body"]
 
 
 def _outcome_columns() -> list[str]:
@@ -60,24 +59,39 @@ def _outcome_columns() -> list[str]:
     ]
 
 
+DROPS = ("payload_json", "_user_tags", "_comments", "_assign", "_liked_by")
+
+
+def _projections(schema: T.StructType, is_array: bool, index_column: str, drop: tuple[str, ...]) -> list[list[str]]:
+    """The columns of each step, from answered rows to the parsed responses."""
+    cleaned = clean_columns(schema, drop, keep_raw=("api_response",))
+    kept = [f"`{f.name}`" for f in schema.fields if f.name not in drop]
+    lead = [c for c in kept if c != "`api_response`"] + ["`api_response`"]
+    steps = [cleaned, [*kept, f"{strict_json('api_response')} AS _response"]]
+    if is_array:
+        elements = "posexplode(try_variant_get(_response, '$', 'array<variant>'))"
+        steps.append([*kept, f"{elements} AS (`{index_column}`, _response)"])
+        lead.append(f"`{index_column}`")
+    steps.append([*lead, *_body_columns(is_array)])
+    steps.append([*lead, "submission_http_status", *_outcome_columns()])
+    return steps
+
+
 def parse_responses(
-    bronze: DataFrame,
-    is_array: bool = False,
-    index_column: str = "response_idx",
-    drop: tuple[str, ...] = ("payload_json", "_user_tags", "_comments", "_assign", "_liked_by"),
+    bronze: DataFrame, is_array: bool = False, index_column: str = "response_idx", drop: tuple[str, ...] = DROPS
 ) -> DataFrame:
     """One row per response (per list element when ``is_array``)."""
-    kept = [c for c in bronze.columns if c not in drop]
-    answered = bronze.where(F.col("api_response").isNotNull())
-    cleaned = clean_text(answered.select(*kept), keep_raw=("api_response",))
-    parsed = cleaned.select(*kept, strict_json("api_response").alias("_response"))
-    lead = [c for c in kept if c != "api_response"] + ["api_response"]
-    if is_array:
-        elements = F.try_variant_get(F.col("_response"), "$", "array<variant>")
-        parsed = parsed.select(*kept, F.posexplode(elements).alias(index_column, "_response"))
-        bodies = _with_body(parsed, "_response", None)
-        lead.append(index_column)
-    else:
-        prefixed = F.col("api_response").startswith(STATUS_PREFIX)
-        bodies = _with_body(parsed, "_response", prefixed)
-    return bodies.selectExpr(*lead, "submission_http_status", *_outcome_columns())
+    df = bronze.where("api_response IS NOT NULL")
+    for columns in _projections(bronze.schema, is_array, index_column, drop):
+        df = df.selectExpr(*columns)
+    return df
+
+
+def responses_sql(
+    table: str, schema: T.StructType, is_array: bool = False, index_column: str = "response_idx", drop: tuple[str, ...] = DROPS
+) -> str:
+    """The same as one statement over the stored ``table``, for a view of the catalog."""
+    sql = f"(SELECT * FROM {table} WHERE api_response IS NOT NULL)"
+    for columns in _projections(schema, is_array, index_column, drop):
+        sql = f"(SELECT {', '.join(columns)} FROM {sql})"
+    return sql[1:-1]

@@ -14,7 +14,7 @@ from ..layout import Layout
 from ..operators.clean import clean_columns, clean_text, latest_per_key, lost_winners, merge_latest
 from ..operators.flatten import ACCEPTED, REJECT, flatten_resource, rejects_sql
 from ..operators.profile import FLAT_SUFFIX, list_tables, row_counts
-from ..operators.responses import parse_responses
+from ..operators.responses import responses_sql
 from ..operators.rules import ENCOUNTER_TABLE, FINDING, Slot, active, evaluate, known_keys, reference_slots, rules
 from ..session import tune
 from ..sources.readers import day_of, load_bronze
@@ -98,8 +98,9 @@ class Medallion:
         overwrite_interval(tagged, held, start, end, partition_by=[REJECT])
         shown = ", ".join(f"`{c}`" for c in [*(c for c in tagged.columns if c != REJECT), LOAD_DATE])
         flat = self.layout.table("silver", spec.silver_table)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {flat} AS SELECT {shown} FROM {held} WHERE {REJECT} = '{ACCEPTED}'")
-        publish_view(parse_responses(self.table("bronze", spec.table), is_array=spec.is_array), self.layout.view(spec.audit_table))
+        publish_view(self.spark, flat, f"SELECT {shown} FROM {held} WHERE {REJECT} = '{ACCEPTED}'")
+        answers = responses_sql(bronze, self.table("bronze", spec.table).schema, spec.is_array)
+        publish_view(self.spark, self.layout.table("silver", spec.audit_table), answers)
 
     def build_silver(self, start: Day, end: Day) -> None:
         """Current state by merge; parents, flat resources, rejects and day totals of the interval."""
@@ -109,7 +110,7 @@ class Medallion:
             rejects_sql(self.layout.stored("silver", spec.silver_table), spec.silver_table, LOAD_DATE) for spec in RESOURCES.values()
         ]
         rejects = self.layout.table("silver", "flatten_rejects")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {rejects} AS {' UNION ALL '.join(left_out)}")
+        publish_view(self.spark, rejects, " UNION ALL ".join(left_out))
         flat = {name: self.layout.table("silver", name) for name in SCANNED if name not in MASTER_TABLES}
         days = [day_totals(read_interval(self.spark, table, start, end), name) for name, table in flat.items()]
         overwrite_interval(reduce(DataFrame.unionAll, days), self.layout.stored("silver", "day_totals"), start, end, LOAD_DATE)
@@ -155,10 +156,7 @@ class Medallion:
         totals = self.layout.stored("gold", "finding_totals")
         overwrite_table(finding_totals(self.table("gold", "audit_finding")), totals)
         for one in rules():
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW {self.layout.table('gold', one.table)} AS "
-                f"SELECT * FROM {stored} WHERE rule_id = '{one.rule_id}'"
-            )
+            publish_view(self.spark, self.layout.table("gold", one.table), f"SELECT * FROM {stored} WHERE rule_id = '{one.rule_id}'")
         if newest_only:
             run = audit_run(tables, rule, self.table("gold", "audit_finding"), as_of)
         else:
@@ -188,7 +186,7 @@ class Medallion:
         for name in list_tables(self.spark, self.layout.database("bronze")):
             export_sample(self.table("bronze", name), f"{folder}/bronze/{name}.csv")
         for spec in RESOURCES.values():
-            view = self.layout.view(spec.audit_table)
+            view = self.layout.table("silver", spec.audit_table)
             if self.spark.catalog.tableExists(view):
                 export_csv(self.spark.table(view), f"{folder}/silver/{spec.audit_table}.csv")
         for name in list_tables(self.spark, self.layout.database("silver"), FLAT_SUFFIX):

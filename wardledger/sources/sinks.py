@@ -1,4 +1,4 @@
-"""Writes: tables that are replaced in one step, session views and CSV exports.
+"""Writes: tables that are replaced in one step, views and CSV exports.
 
 Data lie in a store database beside the layer; what a reader opens is a view in the layer
 that names the current build. A new build is written first and the view is switched when
@@ -88,9 +88,9 @@ def stored_table(spark: SparkSession, table: str) -> DataFrame | None:
     return spark.table(_in_store(spark, table, build)) if build else None
 
 
-def publish_view(df: DataFrame, name: str) -> None:
-    """A name that is computed anew at every read."""
-    df.createOrReplaceTempView(name)
+def publish_view(spark: SparkSession, name: str, select: str) -> None:
+    """A view of the catalog, which any session reads and which is computed anew at every read."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
 
 
 _LOCK, _INSIDE = Lock(), [0, ""]
