@@ -489,7 +489,6 @@ def stored_counts() -> str:
     for r in RESOURCES.values():
         sources[f"silver.{r.parent_table}"] = f"({typed(r.table)}) AS p"
         sources[f"silver.{r.silver_table}"] = f"({flat(r.name)}) AS f"
-        sources[f"silver.{r.audit_table}"] = f"({responses(r.name)}) AS a"
     sources["silver.flatten_rejects"] = f"({rejects()}) AS r"
     sources |= {"gold.audit_rule": "rules", "gold.audit_finding": "findings", "gold.audit_run": "(SELECT 1 AS one) AS o"}
     sources |= {f"gold.{r.table}": f"(SELECT * FROM findings WHERE rule_id = '{r.rule_id}') AS k" for r in REGISTRY.values()}

@@ -27,6 +27,7 @@ PUBLISHED = (
     "audit_check_terminology_icd10_validity",
 )
 FLAT_SUFFIX = "_fhir_resource"
+ANSWERS_SUFFIX = "_submission_audit"
 # ---- end of fixed values ----------------------------------------------------
 
 LOG = logging.getLogger(__name__)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..layout import LAYERS, Layout
-from ..operators.profile import list_tables, row_counts
+from ..operators.profile import ANSWERS_SUFFIX, list_tables, row_counts
 from ..session import shared_folder
 from ..sources import derived
 from ..sources.readers import load_bronze
@@ -64,9 +64,12 @@ class StoredClinic:
         return self.spark.table(self.job.layout.table("silver", "flatten_rejects"))
 
     def profile(self) -> DataFrame:
-        """Row counts of every table that discovery finds in the three layers, read from file footers."""
+        """Row counts of every stored table that discovery finds in the three layers, read from file footers.
+
+        The answers are left out: their views parse at every read.
+        """
         names = [(layer, name) for layer in LAYERS for name in list_tables(self.spark, self.job.layout.database(layer))]
-        return row_counts({f"{layer}.{name}": self.table(layer, name) for layer, name in names})
+        return row_counts({f"{layer}.{n}": self.table(layer, n) for layer, n in names if not n.endswith(ANSWERS_SUFFIX)})
 
 
 def merged_master(spark: SparkSession, folder: str, table: str) -> DataFrame:
