@@ -389,8 +389,10 @@ _ICD = (
 FEED_DAYS = ("2026-07-01", "2026-07-13")
 _FEED_STAMP = (
     "'2026-07-' || substr(t, 6, 2) || ' ' || lpad(CAST(CAST(substr(t, 1, 4) AS INT) % 24 AS STRING), 2, '0') || ':' || "
-    "substr(t, 9, 2) || ':' || substr(t, 12, 2) || '.' || substr(t, 15, 2) || substr(t, 18, 2) || "
-    "coalesce(nullif(substr(t, 21, 2), ''), '00')"
+    "substr(t, 9, 2) || ':' || substr(t, 12, 2) || '.' || substr(t, 15, 2) || "
+    # Times on whole minutes differ in their last digits only.
+    "CASE WHEN substr(t, 18, 2) = '00' THEN coalesce(nullif(substr(t, 23, 4), ''), '0000') "
+    "ELSE substr(t, 18, 2) || coalesce(nullif(substr(t, 21, 2), ''), '00') END"
 )
 
 
