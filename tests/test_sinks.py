@@ -4,6 +4,7 @@ import pytest
 
 from wardledger.layout import Layout
 from wardledger.operators.profile import health, list_tables, publish, row_counts
+from wardledger.session import tune
 from wardledger.sources.readers import day_of, read_source
 from wardledger.sources import sinks
 from wardledger.sources.sinks import (
@@ -226,3 +227,21 @@ def test_buckets_and_partitions_are_pruned(spark, layout):
     assert "SelectedBucketsCount: 1 out of 8" in plan and spark.table(table).where("id = '77'").count() == 1
     plan = spark.table(table).where("part = 1")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^]]*part", plan) and spark.table(table).where("part = 1").count() == 167
+
+
+def test_days_are_written_by_the_tasks_that_read_them(spark, layout):
+    """No shuffle holds the rows of a load a second time; a long interval still brings a day together."""
+    table, store = layout.table("bronze", "direct"), "bronze__t__store.direct_days"
+    rows = spark.range(0, 300, 1, 3).selectExpr("cast(id AS string) AS name", "timestamp_ntz'2026-07-01' + make_interval(0, 0, 0, id % 2) AS modified")
+    overwrite_interval(rows, table, "2026-07-01", "2026-07-03")
+    files = spark.table(store).selectExpr("load_date", "input_file_name() AS f").distinct().collect()
+    assert len(files) == 6 and all(r["f"].endswith(".zstd.parquet") for r in files)
+    overwrite_interval(rows, table, "2026-01-01", "2026-12-31")
+    files = spark.table(store).where("_build = 2").selectExpr("input_file_name() AS f").distinct().collect()
+    assert len(files) == 2 and spark.table(table).count() == 300
+
+
+def test_shuffle_files_go_with_their_query(spark, layout):
+    assert tune(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    df = spark.range(50).repartition(3, "id").groupBy("id").count()
+    assert len(df.collect()) == len(df.collect()) == df.count() == 50
