@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from wardledger.functions.text import filled, nested_to_json, timestamps_to_text
 from wardledger.operators.clean import clean_text, current_state, interval_slice, latest_per_key, lost_winners, merge_latest, typed_projection
+from wardledger.sources import derived
 from wardledger.sources.schemas import (
     bronze_fields,
     bronze_schema,
@@ -129,3 +130,12 @@ def test_filled_template(spark):
     df = spark.createDataFrame([("it's", None)], "a string, b string")
     got = df.selectExpr(f"{filled(chr(39) + '{a}' + chr(39) + ' \\ ok')} AS x", f"{filled('{a}-{b}')} AS y").first()
     assert got["x"] == "'it's' \\ ok" and got["y"] is None
+
+
+def test_sorted_raw_rows_are_spread_by_size(spark, tmp_path, monkeypatch):
+    """A task that sorts whole raw rows gets no more of them when the table grows."""
+    spark.range(0, 4000, 1, 1).selectExpr("id AS o_orderkey", "id AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    stored = sum(f.stat().st_size for f in (tmp_path / "orders.parquet").glob("*.parquet"))
+    monkeypatch.setattr(derived, "SORTED_BYTES", stored // 20)
+    spread = spark.sql(f"SELECT * FROM {derived.parquet_relation(spark, str(tmp_path), sorted_rows=True)('orders')}")
+    assert spread.rdd.getNumPartitions() >= 20 and spread.distinct().count() == spread.count() == 4000
