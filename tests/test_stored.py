@@ -4,6 +4,7 @@ import re
 
 import pytest
 from compare import connect, differences
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from wardledger.layout import Layout
@@ -139,3 +140,12 @@ def test_rejects_of_a_day_survive_a_narrower_run(spark, folder):
     assert len({day for day, why in before if why != "none"}) > 2
     build("2026-07-02", "2026-07-03")
     assert counts() == before
+
+
+def test_the_feed_is_spread_by_ranges_of_its_key(spark, folder):
+    ranged = spark.sql(f"SELECT * FROM {derived.parquet_relation(spark, folder, by_range=True)('orders')}")
+    dealt = spark.sql(f"SELECT * FROM {derived.parquet_relation(spark, folder)('orders')}")
+    key = F.col("o_orderkey")
+    spans = sorted((r["low"], r["high"]) for r in ranged.groupBy(F.spark_partition_id()).agg(F.min(key).alias("low"), F.max(key).alias("high")).collect())
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert ranged.count() == dealt.count() and ranged.exceptAll(dealt).isEmpty()
