@@ -4,6 +4,7 @@ import pytest
 from reference import components as plain
 from reference import shingles
 
+from wardledger.llm import jaccard, shared
 from wardledger.llm.components import components
 from wardledger.llm.jaccard import Rule, bands, jaccard_components
 
@@ -75,3 +76,27 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40) if i != 20] + [(9, 3), (3, 3), (70, 60), (None, 1), (100, 99), (99, 100)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert found == {i: 0 if i <= 20 else 21 for i in range(41)} | {60: 60, 70: 60, 99: 99, 100: 99}
+
+
+def test_near_copies_cost_a_pair_each_and_leave_no_tables(spark, monkeypatch, tmp_path):
+    r = random.Random(7)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(80):
+        copy = list(base)
+        copy[r.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    compared, linked = [], jaccard.linked
+
+    def counted(pairs, sets, rule):
+        compared.append(pairs.count())
+        return linked(pairs, sets, rule)
+
+    monkeypatch.setattr(jaccard, "linked", counted)
+    monkeypatch.setattr(shared, "shared_path", lambda spark, name: f"file://{tmp_path}/{name}-{len(list(tmp_path.iterdir()))}-{r.random()}")
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"), rule=Rule(words=5, num=80, den=100))
+    left = {p.name.split("-")[0] + "-" + p.name.split("-")[1] for p in tmp_path.iterdir() if p.name.startswith("jaccard")}
+    assert left == {"jaccard-nodes"}
+    texts = dict(rows)
+    assert {x["doc_id"]: x["component_id"] for x in found.collect()} == plain(texts, 5, 80, 100)
+    assert sum(compared) < 1.5 * len(rows)
