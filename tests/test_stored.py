@@ -149,3 +149,15 @@ def test_the_feed_is_spread_by_ranges_of_its_key(spark, folder):
     spans = sorted((r["low"], r["high"]) for r in ranged.groupBy(F.spark_partition_id()).agg(F.min(key).alias("low"), F.max(key).alias("high")).collect())
     assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
     assert ranged.count() == dealt.count() and ranged.exceptAll(dealt).isEmpty()
+
+
+def test_each_task_of_the_feed_takes_its_base_rows_in_order(spark, tmp_path):
+    keys = [(7 * i) % 500 for i in range(500)] + [None, 3, 3]
+    rows = spark.createDataFrame([(k, f"s{i}") for i, k in enumerate(keys)], "o_orderkey long, o_orderstatus string").coalesce(1)
+    rows.write.parquet(f"{tmp_path}/orders.parquet")
+    ranged = spark.sql(f"SELECT * FROM {derived.parquet_relation(spark, str(tmp_path), by_range=True)('orders')}")
+    tasks = ranged.rdd.glom().collect()
+    for task in tasks:
+        found = [-1 if r["o_orderkey"] is None else r["o_orderkey"] for r in task]
+        assert found == sorted(found)
+    assert sorted(r["o_orderstatus"] for task in tasks for r in task) == sorted(f"s{i}" for i in range(len(keys)))
