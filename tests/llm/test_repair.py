@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from wardledger.llm import kernels, repair
 from wardledger.llm.kernels import slices
 from wardledger.llm.repair import END, PieceEncoder, compress, encode_documents, make_block, read_shards, tokenizer_path, write_shards
 
@@ -105,3 +106,24 @@ def test_pieces_of_one_hash_are_told_apart(monkeypatch, texts):
     group = list(texts.values())[:12]
     encoder = PieceEncoder(tokenizer_path())
     assert by_pieces(encoder, group) == direct(encoder, group) and by_pieces(encoder, group[::-1]) == direct(encoder, group[::-1])
+
+
+def test_pieces_have_the_ids_of_their_own(encoder):
+    words = [" of", " the", " Straße", " ", "  ", " \t", "\n", "x", "", " naïve ", "  y", "　", " <|endoftext|>", " a" * 3, " " + "long" * 12_000]
+    pieces = [words[i * i % len(words)].encode() for i in range(400)] + [f" w{i}".encode() for i in range(20_000)]
+    for some in (pieces, [b"", b"x"], [b" of"], [b"x"], []):
+        ids, count = encoder._encode_pieces(some)
+        assert ids.dtype == np.uint16 and count.sum() == ids.size
+        direct = [encoder.tokenizer.encode(p.decode(), add_special_tokens=False).ids for p in some]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(count))[:-1]] == direct
+
+
+def test_remembered_pieces_are_compared_in_blocks_of_eight_bytes(monkeypatch):
+    """A piece of up to eight bytes is one comparison, not one a byte."""
+    compared = []
+    monkeypatch.setattr(repair, "span_blocks", lambda *a: compared.append(kernels.span_blocks(*a)) or compared[-1])
+    encoder = repair.PieceEncoder(tokenizer_path())
+    text = np.frombuffer(" seven77 sevens7 a".encode() * 50, np.uint8)
+    texts = kernels.Texts(text, np.array([0, text.size]), 0)
+    first, second = encoder.encode(texts)[0], encoder.encode(texts)[0]
+    assert (first == second).all() and [c[0].size for c in compared] == [0, 0, 150, 150]
