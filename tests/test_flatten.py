@@ -216,3 +216,29 @@ def test_tagged_rows_are_the_flat_rows_and_the_rest(spark, folder, name):
     assert left_out.where("_reject = 'missing'").count() == missing > 0
     assert left_out.count() == bronze.count() - flat.select("frappe_doc_name").distinct().count()
     assert tagged._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+@pytest.mark.parametrize("name", ["encounter", "observation"])
+@pytest.mark.parametrize("tagged", [False, True])
+def test_a_payload_is_not_searched_and_its_parse_is_generated(spark, folder, name, tagged):
+    """The guard against trailing text costs a hash: no search of the text, no function over a list around the parse."""
+    from wardledger.plans.derived_clinic import DerivedClinic
+
+    bronze = DerivedClinic(spark, folder).bronze(RESOURCES[name].table)
+    plan = flatten_resource(bronze, name, tagged)._jdf.queryExecution().optimizedPlan().toString()
+    parse = next(line for line in plan.splitlines() if "parseJson" in line)
+    assert "lambda" not in parse and "contains(" not in plan.lower() and plan.count("md5(") == 1
+
+
+def test_null_and_foreign_documents_are_told_apart(spark):
+    payloads = [
+        None, "null", " null ", "7", '"Encounter"', '[{"resourceType":"Encounter"}]', '{"resourceType":["Encounter"]}',
+        '{"resourceType":"Encounter"},7', "{", "", '{"resourceType":"Encounter","id":"a"} ',
+    ]
+    rows = [(f"d{i}", text) for i, text in enumerate(payloads)]
+    df = spark.createDataFrame(rows, "name string, payload_json string")
+    view = View("Encounter", (("id", "id"),))
+    tagged = flatten(df, view, {"name": "name"}, index_column="place", tagged=True).collect()
+    expected = ["missing", *["foreign"] * 6, "unreadable", "unreadable", "unreadable", "none"]
+    assert [r["_reject"] for r in sorted(tagged, key=lambda r: int(r["name"][1:]))] == expected
+    assert [(r["name"], r["id"], r["place"]) for r in tagged if r["place"] is not None] == [("d10", "a", 0)]
