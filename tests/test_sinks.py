@@ -261,3 +261,15 @@ def test_payloads_are_stored_tight(spark, layout, tmp_path):
     size = sum(Path(unquote(urlparse(r["f"]).path)).stat().st_size for r in own)
     assert size < 0.97 * sum(f.stat().st_size for f in (tmp_path / "usual").glob("*.parquet"))
     assert spark.table(table).count() == 60000
+
+
+def test_distinct_texts_have_no_dictionary(spark, layout):
+    import pyarrow.parquet as pq
+
+    texts = ("'P' || id AS payload_json", "'R' || id AS api_response", "'a' || id % 3 AS kind")
+    table = layout.table("bronze", "texts")
+    sinks.overwrite_table(spark.range(2000).coalesce(1).selectExpr(*texts), table)
+    file = spark.table(table).selectExpr("input_file_name() AS f").first()["f"]
+    group = pq.ParquetFile(unquote(urlparse(file).path)).metadata.row_group(0)
+    held = {group.column(i).path_in_schema: group.column(i).has_dictionary_page for i in range(group.num_columns)}
+    assert held == {"payload_json": False, "api_response": False, "kind": True}

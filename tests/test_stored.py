@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from wardledger.layout import Layout
+from wardledger.operators.clean import interval_slice
 from wardledger.plans.dashboard import checked
 from wardledger.plans.medallion import Medallion
 from wardledger.plans.stored_clinic import LOADS, StoredClinic
@@ -161,3 +162,15 @@ def test_each_task_of_the_feed_takes_its_base_rows_in_order(spark, tmp_path):
         found = [-1 if r["o_orderkey"] is None else r["o_orderkey"] for r in task]
         assert found == sorted(found)
     assert sorted(r["o_orderstatus"] for task in tasks for r in task) == sorted(f"s{i}" for i in range(len(keys)))
+
+
+def test_the_time_of_a_feed_is_made_once(spark, folder):
+    """A filter on it neither repeats it nor runs ahead of the spread."""
+    table = "tabDiagnosticReport_SatuSehat"
+    feed = derived.raw_table(spark, derived.parquet_relation(spark, folder, by_range=True), table, feed=True)
+    loaded = interval_slice(load_bronze(feed, table), *derived.FEED_DAYS).withColumn("day", F.to_date("modified"))
+    text = loaded._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("cast(l_shipdate") <= 2  # the time and the end
+    below = text[text.index("Generate explode"):]
+    assert "Filter" not in below
+    assert loaded.count() == spark.read.parquet(f"{folder}/lineitem.parquet").count()
